@@ -10,12 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-HREF = r"""(?i)<a\s[^>]*?href="([^"]*)\""""
+HREF = r'(?i)<a[ \t\r\n\f][^>]*?href="([^"]*)"'
 SCRIPT = r"(?is)<script[^>]*>.*?</script>"
 STYLE = r"(?is)<style[^>]*>.*?</style>"
 COMMENT = r"(?s)<!--.*?-->"
 TAG = r"<[^>]*>"
-BLANKS = r"\s+"
+BLANKS = r"[ \t\r\n\f]+"
 
 
 def _c(c: Column | str) -> Column:

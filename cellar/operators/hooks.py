@@ -14,8 +14,9 @@ from cellar.functions.keys import url_host
 # ---- value serializers (BINARY Column -> BINARY Column) ----------------------
 
 def base64_serializer(value: Column) -> Column:
-    """Serializer writing the base64 text of each value (native expression)."""
-    return F.encode(F.base64(value), "US-ASCII")
+    """Serializer writing the RFC 4648 base64 text of each value (native
+    expressions; Spark's ``base64`` may emit MIME line breaks, removed here)."""
+    return F.encode(F.replace(F.base64(value), F.lit("\r\n"), F.lit("")), "US-ASCII")
 
 
 def pandas_serializer(fn: Callable[[bytes], bytes]) -> Callable[[Column], Column]:

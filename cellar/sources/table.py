@@ -8,7 +8,6 @@ partition), scans, key lookups, domain scans and key-ordered compaction.
 from __future__ import annotations
 
 import re
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,10 +85,6 @@ class CrawlTable:
         as the family check does. Returns the added column names."""
         have = {f.name.lower(): f for f in self.spark.table(self.name).schema.fields}
         add = [f for f in wanted.fields if f.name.lower() not in have and f.name != "batch_id"]
-        clash = [f.name for f in wanted.fields if f.name.lower() in have and have[f.name.lower()].name != f.name]
-        if clash:
-            # same column under another case: the stored one is used
-            pass
         if add:
             self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({_ddl(T.StructType(add))})")
         return [f.name for f in add]
@@ -102,23 +97,28 @@ class CrawlTable:
 
     # ---- S4 ---------------------------------------------------------------
     def write_batch(self, puts: DataFrame, batch_id: int) -> None:
-        """Replace partition ``batch_id`` with ``puts`` (a retried batch rewrites,
-        never duplicates; a batch with no rows still clears a stale partition)."""
+        """Replace partition ``batch_id`` with ``puts``.
+
+        A retried batch rewrites its partition, never duplicates it; a batch
+        with no rows still clears a stale one. The partition directory is
+        written by path, so the same job may read the table's other partitions
+        (the existence check does), then registered in the catalog.
+        """
         extra = T.StructType([f for f in puts.schema.fields if f.name not in self.columns()])
         if extra.fields:
             self.evolve(extra)
-        cols = [c for c in self.columns() if c != "batch_id"]
+        schema = self.spark.table(self.name).schema
+        cols = [f for f in schema.fields if f.name != "batch_id"]
         have = set(puts.columns)
-        types = {f.name: f.dataType for f in self.spark.table(self.name).schema.fields}
-        sel = [F.col(c) if c in have else F.lit(None).cast(types[c]).alias(c) for c in cols]
-        view = f"__cellar_puts_{uuid.uuid4().hex[:12]}"
-        puts.select(*sel).createOrReplaceTempView(view)
-        try:
-            self.spark.sql(
-                f"INSERT OVERWRITE TABLE {self.name} PARTITION (batch_id = {int(batch_id)}) SELECT * FROM {view}"
-            )
-        finally:
-            self.spark.catalog.dropTempView(view)
+        sel = [F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+               for f in cols]
+        bid = int(batch_id)
+        puts.select(*sel).write.mode("overwrite").parquet(self.partition_path(bid))
+        self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS PARTITION (batch_id = {bid})")
+        self.spark.catalog.refreshTable(self.name)
+
+    def partition_path(self, batch_id: int) -> str:
+        return f"{self.location}/batch_id={int(batch_id)}"
 
     # ---- S2 / S3 / O2 / A4 ------------------------------------------------
     def scan(self, *columns: str) -> DataFrame:
