@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,6 @@ def base64_serializer(value: Column) -> Column:
 
 def pandas_serializer(fn: Callable[[bytes], bytes]) -> Callable[[Column], Column]:
     """Wrap an opaque bytes -> bytes function as an Arrow-batched pandas UDF."""
-    import pandas as pd
 
     @F.pandas_udf("binary")
     def _ser(s: pd.Series) -> pd.Series:

@@ -1,0 +1,115 @@
+import pytest
+from pyspark.sql import functions as F
+
+from cellar.operators.cells import cells, latest_cells, latest_wide
+from cellar.operators.hooks import base64_serializer, pandas_serializer, title_hook
+from cellar.operators.project import put_rows
+from cellar.options import CrawlOptions
+from helpers import rec, records, ts
+
+OPTS = CrawlOptions(table="t")
+
+
+def _cells(spark, rows, opts=OPTS):
+    c = cells(put_rows(records(spark, rows), opts, 0), opts)
+    return {(r.seq, r.family, r.qualifier): (None if r.value is None else bytes(r.value)) for r in c.collect()}
+
+
+def test_seed_and_path_rules(spark):
+    rows = [
+        rec(1, "http://a.b/", is_seed=True, path=" L "),
+        rec(2, "http://a.b/", is_seed=True, path=" "),
+        rec(3, "http://a.b/", is_seed=False, path="LL"),
+    ]
+    c = _cells(spark, rows)
+    assert c[(1, "curi", "is-seed")] == b"\xff"
+    assert c[(1, "curi", "path-from-seed")] == b"L"
+    assert (2, "curi", "is-seed") in c and (2, "curi", "path-from-seed") not in c
+    assert (3, "curi", "is-seed") not in c and (3, "curi", "path-from-seed") not in c
+
+
+def test_absent_vs_empty(spark):
+    rows = [
+        rec(1, "http://a.b/", via="  http://v/ ", request=b"", raw=b""),
+        rec(2, "http://a.b/", via=" \n", request=None, raw=None, size=0),
+        rec(3, "http://a.b/", via=" x"),
+    ]
+    c = _cells(spark, rows)
+    assert c[(1, "curi", "via")] == b"http://v/"
+    assert (1, "curi", "request") not in c
+    assert c[(1, "content", "raw_data")] == b""
+    assert (2, "curi", "via") not in c and c[(2, "content", "raw_data")] == b""
+    assert c[(3, "curi", "via")] == " x".encode()
+
+
+def test_two_clocks(spark):
+    rows = [rec(1, "http://a.b/", fetch=ts(5, 700), write=ts(900))]
+    c = cells(put_rows(records(spark, rows), OPTS, 0), OPTS).collect()
+    by_q = {r.qualifier: r.ts for r in c}
+    assert by_q["url"] == ts(5) and by_q["ip"] == ts(5)  # fetch time, truncated to ms
+    assert by_q["raw_data"] == ts(900) and by_q["request"] == ts(900)
+
+
+def test_latest_is_per_cell(spark):
+    rows = [
+        rec(1, "http://a.b/", via="http://v1/", fetch=ts(10), write=ts(10)),
+        rec(2, "http://a.b/", via=None, fetch=ts(20), write=ts(20), raw=b"new"),
+    ]
+    puts = put_rows(records(spark, rows), OPTS, 0)
+    w = latest_wide(puts, OPTS).first()
+    assert w.curi__via == "http://v1/"  # later write without via keeps the stored via
+    assert bytes(w.content__raw_data) == b"new"
+    lat = {(r.family, r.qualifier): r.seq for r in latest_cells(cells(puts, OPTS)).collect()}
+    assert lat[("curi", "via")] == 1 and lat[("content", "raw_data")] == 2
+
+
+def test_same_ms_higher_seq_wins(spark):
+    rows = [
+        rec(7, "http://a.b/", fetch=ts(10, 900), write=ts(10, 900), raw=b"seven"),
+        rec(8, "http://a.b/", fetch=ts(10, 100), write=ts(10, 100), raw=b"eight"),
+    ]
+    puts = put_rows(records(spark, rows), OPTS, 0)
+    assert bytes(latest_wide(puts, OPTS).first().content__raw_data) == b"eight"
+
+
+def test_url_and_content_from_different_writes(spark):
+    rows = [
+        rec(1, "http://a.b/", ip="1.1.1.1", fetch=ts(100), write=ts(100), raw=b"one"),
+        rec(2, "http://a.b/", ip="2.2.2.2", fetch=ts(50), write=ts(200), raw=b"two"),
+    ]
+    w = latest_wide(put_rows(records(spark, rows), OPTS, 0), OPTS).first()
+    assert w.curi__ip == "1.1.1.1" and bytes(w.content__raw_data) == b"two"
+
+
+def test_renamed_families(spark):
+    opts = OPTS.with_(content_family="newcontent", curi_family="meta", url_qualifier="target")
+    c = _cells(spark, [rec(1, "http://a.b/")], opts)
+    assert (1, "meta", "target") in c and (1, "newcontent", "raw_data") in c
+
+
+def test_option_validation():
+    with pytest.raises(ValueError):
+        CrawlOptions()
+    with pytest.raises(ValueError):
+        CrawlOptions(table="t", content_family="same", curi_family="same")
+    with pytest.raises(ValueError):
+        CrawlOptions(table="t", content_family="Curi")
+
+
+def test_serializers(spark):
+    import base64
+
+    c = _cells(spark, [rec(1, "http://a.b/", raw=bytes(range(200)))], OPTS.with_(serializer=base64_serializer))
+    assert c[(1, "content", "raw_data")] == base64.b64encode(bytes(range(200)))
+    assert c[(1, "curi", "url")] == base64.b64encode(b"http://a.b/")
+    rev = pandas_serializer(lambda b: b[::-1])
+    c = _cells(spark, [rec(1, "http://a.b/")], OPTS.with_(serializer=rev))
+    assert c[(1, "curi", "url")] == b"/b.a//:ptth"
+
+
+def test_content_hook_columns(spark):
+    raw = b"HTTP/1.1 200 OK\r\n\r\n<html><title> Hi  there </title></html>"
+    opts = OPTS.with_(content_hook=title_hook())
+    c = _cells(spark, [rec(1, "http://a.b/", raw=raw)], opts)
+    assert c[(1, "parse", "title")] == b"Hi there"
+    assert c[(1, "content", "raw_data")] == raw  # hook sees the body, cell keeps the headers
