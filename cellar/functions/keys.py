@@ -76,11 +76,19 @@ def domain_prefixes(domain: str, schemes: tuple[str, ...] = ("http", "https")) -
 
 
 def under_domain(key: Column | str, domain: str, schemes: tuple[str, ...] = ("http", "https")) -> Column:
-    """Key is for the domain or a subdomain. Built from ``startswith`` so the
-    Parquet scan gets pushed ``StringStartsWith`` filters plus exact-boundary checks."""
+    """Key is for the domain or a subdomain.
+
+    Written as ``(startswith(p1) OR startswith(p2)) AND exact-boundary-check``:
+    the first conjunct alone is what Parquet receives as pushed
+    ``StringStartsWith`` filters (row-group min/max pruning on key-ordered
+    files); the second removes look-alike hosts such as ``example.orgx``.
+    """
     k = _c(key)
-    cond = F.lit(False)
-    for p in domain_prefixes(domain, schemes):
+    prefixes = domain_prefixes(domain, schemes)
+    pushable = F.lit(False)
+    exact = F.lit(False)
+    for p in prefixes:
         boundary = F.substring(k, len(p) + 1, 1)
-        cond = cond | (k.startswith(p) & (boundary.isin(".", "/", ":", "?", "#", "") | (F.length(k) == len(p))))
-    return cond
+        pushable = pushable | k.startswith(p)
+        exact = exact | (k.startswith(p) & (boundary.isin(".", "/", ":", "?", "#", "") | (F.length(k) == len(p))))
+    return pushable & exact
