@@ -18,6 +18,7 @@ from cellar.operators import budget, gates
 from cellar.operators.metrics import status_counts
 from cellar.operators.project import put_rows
 from cellar.options import CrawlOptions
+from cellar.runtime import DEFAULT_BROADCAST_ROWS, ensure_checkpoint_dir
 from cellar.sources.crawl_log import normalize_records
 from cellar.sources.table import CrawlTable
 
@@ -35,15 +36,21 @@ def plan_ingest(
     keys: DataFrame | None = None,
     batch_id: int | None = None,
     already_bytes: int = 0,
+    materialize: bool = False,
 ) -> IngestPlan:
     """Decide every record and build the put rows, without writing.
 
     ``keys``: stored rows (anything with ``row_key``) the only-new modes check
     against; None means an empty table. ``already_bytes``: bytes written
-    before this input, for the byte budget.
+    before this input, for the byte budget. ``materialize``: checkpoint the
+    narrow statuses once, so the budget, the metrics and the write all reuse
+    them instead of re-running the existence check.
     """
     records = normalize_records(records)
     statuses = gates.write_status(records, keys, opts)
+    if materialize:
+        ensure_checkpoint_dir(records.sparkSession)
+        statuses = statuses.checkpoint(eager=True)
     cutoff = None
     if opts.max_total_bytes > 0:
         written = statuses.filter(F.col("status") == gates.WRITTEN)
@@ -52,12 +59,34 @@ def plan_ingest(
             "status",
             F.when(~budget.within_cutoff(cutoff), F.lit(gates.OVER_BUDGET)).otherwise(F.col("status")),
         )
-    puts = put_rows(gates.writable(records, keys, opts), opts, batch_id)
-    if cutoff is not None:
-        puts = puts.filter(budget.within_cutoff(cutoff))
+    if materialize:
+        puts = _puts_from_statuses(records, statuses, opts, keys, batch_id, cutoff)
+    else:
+        puts = _puts_direct(records, opts, keys, batch_id, cutoff)
     return IngestPlan(statuses, puts, cutoff)
 
 
+def _puts_direct(records, opts, keys, batch_id, cutoff) -> DataFrame:
+    puts = put_rows(gates.writable(records, keys, opts), opts, batch_id)
+    return puts.filter(budget.within_cutoff(cutoff)) if cutoff is not None else puts
+
+
+def _puts_from_statuses(records, statuses, opts, keys, batch_id, cutoff,
+                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Payload of the written records, selected by ``seq`` (unique per input).
+
+    The written set is counted first: within ``max_rows`` it is broadcast and
+    the records are filtered in place (no payload shuffle, no second existence
+    check); beyond it the write plan is recomputed from the records.
+    """
+    written = statuses.filter(F.col("status") == gates.WRITTEN).select("seq")
+    n = written.limit(max_rows + 1).count()
+    if n > max_rows:
+        return _puts_direct(records, opts, keys, batch_id, cutoff)
+    chosen = records.join(F.broadcast(written), "seq", "left_semi")
+    return put_rows(chosen, opts, batch_id)
+
+
 def side_output_rows(puts: DataFrame, fn) -> DataFrame:
     """Rows of a side output computed from the put rows with their body."""
     return fn(puts)
@@ -81,7 +110,7 @@ def ingest(
     keys = table.keys(exclude_batch=batch_id) if opts.only_new else None
     if already_bytes is None:
         already_bytes = written_bytes_before(table, batch_id) if opts.max_total_bytes > 0 else 0
-    plan = plan_ingest(records, opts, keys, batch_id, already_bytes)
+    plan = plan_ingest(records, opts, keys, batch_id, already_bytes, materialize=True)
     if opts.side_outputs:
         puts = plan.puts.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -96,16 +125,8 @@ def ingest(
     else:
         table.write_batch(plan.puts, batch_id)
     counts = status_counts(plan.statuses).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-    counts = counts.checkpoint(eager=True) if _has_ckpt(table) else counts.cache()
     record_metrics(table, counts, batch_id)
-    return counts
-
-
-def _has_ckpt(table: CrawlTable) -> bool:
-    from cellar.runtime import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(table.spark)
-    return True
+    return table.spark.read.parquet(metrics_path(table)).filter(F.col("batch_id") == F.lit(int(batch_id)))
 
 
 def metrics_path(table: CrawlTable) -> str:

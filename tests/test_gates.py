@@ -123,3 +123,16 @@ def test_annotate(spark):
 def test_within_cutoff_none_and_all():
     assert str(within_cutoff(None)) == str(F.lit(True))
     assert str(within_cutoff("none")) == str(F.lit(False))
+
+
+def test_materialized_puts_equal_direct(log1):
+    from cellar.plans.ingest import _puts_from_statuses
+
+    opts = BASE.with_(only_write_new=True, max_total_bytes=log1.max_total_bytes // 10)
+    existing = plan_ingest(log1.existing(), BASE, batch_id=0).puts
+    direct = plan_ingest(log1.incoming(), opts, keys=existing, batch_id=1)
+    mat = plan_ingest(log1.incoming(), opts, keys=existing, batch_id=1, materialize=True)
+    fallback = _puts_from_statuses(log1.incoming(), mat.statuses, opts, existing, 1, mat.cutoff, max_rows=0)
+    want = sorted(r.seq for r in direct.puts.select("seq").collect())
+    assert want and sorted(r.seq for r in mat.puts.select("seq").collect()) == want
+    assert sorted(r.seq for r in fallback.select("seq").collect()) == want
