@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cellar.operators import budget, gates
 from cellar.operators.metrics import status_counts
-from cellar.operators.project import put_rows
+from cellar.operators.project import put_rows, with_row_key
 from cellar.options import CrawlOptions
 from cellar.runtime import DEFAULT_BROADCAST_ROWS, ensure_checkpoint_dir
 from cellar.sources.crawl_log import normalize_records
@@ -110,7 +110,8 @@ def ingest(
     keys = table.keys(exclude_batch=batch_id) if opts.only_new else None
     if already_bytes is None:
         already_bytes = written_bytes_before(table, batch_id) if opts.max_total_bytes > 0 else 0
-    plan = plan_ingest(records, opts, keys, batch_id, already_bytes, materialize=True)
+    materialize = opts.only_new or opts.max_total_bytes > 0
+    plan = plan_ingest(records, opts, keys, batch_id, already_bytes, materialize=materialize)
     if opts.side_outputs:
         puts = plan.puts.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -124,11 +125,29 @@ def ingest(
             puts.unpersist()
     else:
         table.write_batch(plan.puts, batch_id)
+    write_rejects(table, records, opts, batch_id)
     counts = status_counts(plan.statuses).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
     record_metrics(table, counts, batch_id)
     return table.spark.read.parquet(metrics_path(table)).filter(F.col("batch_id") == F.lit(int(batch_id)))
 
 
+def rejects_path(table: CrawlTable) -> str:
+    return f"{table.location}_rejects"
+
+
+def write_rejects(table: CrawlTable, records: DataFrame, opts: CrawlOptions, batch_id: int) -> None:
+    """Records whose URL cannot become a row key, with the reason (one
+    partition per batch; a retried batch replaces its partition)."""
+    bad = (
+        with_row_key(normalize_records(records), opts)
+        .filter(F.col("key_reject").isNotNull())
+        .select("seq", "url", F.col("key_reject").alias("reason"), F.lit(int(batch_id)).cast("bigint").alias("batch_id"))
+    )
+    bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
+        rejects_path(table)
+    )
+
+
 def metrics_path(table: CrawlTable) -> str:
     return f"{table.location}_metrics"
 

@@ -91,6 +91,23 @@ RESPONSE_HEAD = "HTTP/1.1 200 OK\r\nX: "
 VIA_PREFIX = "  http://via.example.org/"
 
 
+_COUNTS: dict[tuple[str, float], int] = {}
+
+
+def _row_count(df: DataFrame, path: str) -> int:
+    """Row count of a read-only input (Parquet footers), memoised per file version."""
+    import os
+
+    try:
+        stamp = os.path.getmtime(path)
+    except OSError:  # not a local path: count every time
+        return df.count()
+    key = (os.path.abspath(path), stamp)
+    if key not in _COUNTS:
+        _COUNTS[key] = df.count()
+    return _COUNTS[key]
+
+
 def crawl_log(spark: SparkSession, sf_dir: str) -> CrawlLog:
     """Derive the crawl log: one fetch per event, page picked by a growing window.
 
@@ -99,7 +116,7 @@ def crawl_log(spark: SparkSession, sf_dir: str) -> CrawlLog:
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    n_pages, n_events = pages.count(), events.count()  # Parquet footers only
+    n_pages, n_events = _row_count(pages, f"{sf_dir}/pages.parquet"), _row_count(events, f"{sf_dir}/events.parquet")
 
     eid = F.col("event_id")
     ev = events.select(

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 
 def read_payload_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """``path, modificationTime, length, content`` of every file, as BINARY."""
+    """``path, modificationTime, length, content`` of every file, as BINARY.
+
+    Spark's file scan skips zero-length files, so an empty payload has no row
+    here; records carry empty payloads as ``raw_data = X''`` instead.
+    """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)

@@ -67,3 +67,35 @@ def test_hook_evolves_table_and_side_output(spark, tmp_path):
     got = {r.seq: r.parse__title for r in t.scan("seq", "parse__title").collect()}
     assert got == {1: None, 2: "T"}
     assert [r.link for r in spark.read.parquet(side).collect()] == ["http://l/1"]
+
+
+def test_rejects_table(spark):
+    from cellar.plans.ingest import rejects_path
+
+    t = _table(spark)
+    ingest(records(spark, [rec(1, "r:http://b.a/"), rec(2, "http://a.b/")]), t, 3)
+    got = [(r.seq, r.reason, r.batch_id) for r in spark.read.parquet(rejects_path(t)).collect()]
+    assert got == [(1, "already_keyed", 3)]
+    assert [r.seq for r in t.scan("seq").collect()] == [2]
+
+
+def test_payload_files(spark, tmp_path):
+    from cellar.sources.payload import read_payload_files
+
+    d = tmp_path / "payloads"
+    d.mkdir()
+    (d / "a.bin").write_bytes(b"\x00\xffHTTP")
+    (d / "b.bin").write_bytes(b"")
+    got = {r.path.rsplit("/", 1)[1]: bytes(r.content) for r in read_payload_files(spark, str(d)).collect()}
+    assert got == {"a.bin": b"\x00\xffHTTP"}  # zero-length files are not listed by Spark
+
+
+def test_latest_pivot_matches_wide(spark):
+    from cellar.operators.cells import cells, latest_from_cells_wide
+    from cellar.operators.project import put_rows
+
+    opts = CrawlOptions(table="t")
+    rows = [rec(1, "http://a.b/", via="v1"), rec(2, "http://a.b/", via=None, raw=b"x")]
+    c = cells(put_rows(records(spark, rows), opts, 0), opts)
+    w = latest_from_cells_wide(c, [("curi", "via"), ("content", "raw_data")]).first()
+    assert bytes(w["curi:via"]) == b"v1" and bytes(w["content:raw_data"]) == b"x"
