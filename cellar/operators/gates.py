@@ -112,7 +112,18 @@ def write_status(records: DataFrame, keys: DataFrame | None, opts: CrawlOptions)
         known = in_table | after_first
     else:
         known = F.lit(False)
-    status = (
+    status = status_expr(opts, known)
+    return ctrl.select("seq", "row_key", "write_ts", "content_size", status.alias("status"))
+
+
+STATUSES = (REJECTED, NOT_PROCESSED, UNWRITTEN, UNWRITTEN_SIZE, EXISTING, WRITTEN, OVER_BUDGET)
+
+
+def status_expr(opts: CrawlOptions, known: Column | None = None) -> Column:
+    """The decision chain over control columns (``row_key, bp, bw, sz``).
+    ``known``: key stored or written earlier in this input (only-new modes)."""
+    known = F.lit(False) if known is None else known
+    return (
         F.when(F.col("row_key").isNull(), F.lit(REJECTED))
         .when(~F.col("bp"), F.lit(NOT_PROCESSED))
         .when(F.lit(opts.only_process_new) & known, F.lit(NOT_PROCESSED))
@@ -121,7 +132,13 @@ def write_status(records: DataFrame, keys: DataFrame | None, opts: CrawlOptions)
         .when(F.lit(opts.only_write_new) & known, F.lit(EXISTING))
         .otherwise(F.lit(WRITTEN))
     )
-    return ctrl.select("seq", "row_key", "write_ts", "content_size", status.alias("status"))
+
+
+def with_status_flags(records: DataFrame, opts: CrawlOptions) -> DataFrame:
+    """Records plus row_key, key_reject and the gate flags bp, bw, sz."""
+    return with_row_key(records, opts).withColumns(
+        {"bp": _gate(opts.base_process_gate), "bw": _gate(opts.base_write_gate), "sz": size_ok(opts)}
+    )
 
 
 def annotate(records: DataFrame, statuses: DataFrame) -> DataFrame:

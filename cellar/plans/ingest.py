@@ -8,6 +8,7 @@ Plan shape (one Spark job per write, payload read once):
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -99,7 +100,7 @@ def ingest(
     opts: CrawlOptions | None = None,
     already_bytes: int | None = None,
 ) -> DataFrame:
-    """Write one batch into ``table`` and return its status counts (computed).
+    """Write one batch into ``table`` and return its status counts.
 
     Retrying the same ``batch_id`` with the same input gives the same table:
     the existence check ignores the batch's own partition and the write
@@ -107,11 +108,12 @@ def ingest(
     """
     opts = opts or table.opts
     table.ensure()
+    if not opts.only_new and opts.max_total_bytes <= 0 and not opts.side_outputs:
+        return _ingest_one_pass(records, table, batch_id, opts)
     keys = table.keys(exclude_batch=batch_id) if opts.only_new else None
     if already_bytes is None:
         already_bytes = written_bytes_before(table, batch_id) if opts.max_total_bytes > 0 else 0
-    materialize = opts.only_new or opts.max_total_bytes > 0
-    plan = plan_ingest(records, opts, keys, batch_id, already_bytes, materialize=materialize)
+    plan = plan_ingest(records, opts, keys, batch_id, already_bytes, materialize=True)
     if opts.side_outputs:
         puts = plan.puts.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -125,49 +127,64 @@ def ingest(
             puts.unpersist()
     else:
         table.write_batch(plan.puts, batch_id)
-    write_rejects(table, records, opts, batch_id)
-    counts = status_counts(plan.statuses).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+    n_rejected = plan.statuses.filter(F.col("status") == gates.REJECTED).limit(1).count()
+    if n_rejected:
+        write_rejects(table, records, opts, batch_id)
+    counts = status_counts(plan.statuses)
     record_metrics(table, counts, batch_id)
-    return table.spark.read.parquet(metrics_path(table)).filter(F.col("batch_id") == F.lit(int(batch_id)))
+    return table.metrics().filter(F.col("batch_id") == F.lit(int(batch_id)))
 
 
-def rejects_path(table: CrawlTable) -> str:
-    return f"{table.location}_rejects"
+def _ingest_one_pass(records: DataFrame, table: CrawlTable, batch_id: int, opts: CrawlOptions) -> DataFrame:
+    """Default mode (no existence check, no budget): every status is a per-row
+    expression, so the write job itself computes the status counts through
+    ``observe``; the input is read once. Rejects are collected only when the
+    observed count says there are any."""
+    from pyspark.sql import Observation
+
+    spark = table.spark
+    flagged = gates.with_status_flags(normalize_records(records), opts)
+    flagged = flagged.withColumn("__status", gates.status_expr(opts))
+    metrics = []
+    for s in gates.STATUSES:
+        hit = F.col("__status") == F.lit(s)
+        metrics.append(F.sum(F.when(hit, 1).otherwise(0)).cast("bigint").alias(f"n|{s}"))
+        metrics.append(F.sum(F.when(hit, F.col("content_size")).otherwise(0)).cast("bigint").alias(f"b|{s}"))
+    obs = Observation(f"cellar_ingest_{uuid.uuid4().hex[:12]}")
+    observed = flagged.observe(obs, *metrics)
+    puts = put_rows(observed.filter(F.col("__status") == F.lit(gates.WRITTEN)), opts, batch_id)
+    table.write_batch(puts, batch_id)
+    got = obs.get
+    rows = [(s, int(got[f"n|{s}"] or 0), int(got[f"b|{s}"] or 0), int(batch_id))
+            for s in gates.STATUSES if (got[f"n|{s}"] or 0) > 0]
+    if any(r[0] == gates.REJECTED for r in rows):
+        write_rejects(table, records, opts, batch_id)
+    counts = spark.createDataFrame(rows, "status string, records bigint, bytes bigint, batch_id bigint")
+    record_metrics(table, counts, batch_id)
+    return counts
 
 
 def write_rejects(table: CrawlTable, records: DataFrame, opts: CrawlOptions, batch_id: int) -> None:
-    """Records whose URL cannot become a row key, with the reason (one
-    partition per batch; a retried batch replaces its partition)."""
+    """Records whose URL cannot become a row key, with the reason."""
     bad = (
         with_row_key(normalize_records(records), opts)
         .filter(F.col("key_reject").isNotNull())
-        .select("seq", "url", F.col("key_reject").alias("reason"), F.lit(int(batch_id)).cast("bigint").alias("batch_id"))
+        .select("seq", "url", F.col("key_reject").alias("reason"))
     )
-    bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
-        rejects_path(table)
-    )
-
-
-def metrics_path(table: CrawlTable) -> str:
-    return f"{table.location}_metrics"
+    table.write_rejects(bad, batch_id)
 
 
 def record_metrics(table: CrawlTable, counts: DataFrame, batch_id: int) -> None:
     """Per-batch status counts, stored next to the table (one partition per batch)."""
-    counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
-        metrics_path(table)
-    )
+    table.write_metrics(counts, batch_id)
 
 
 def written_bytes_before(table: CrawlTable, batch_id: int) -> int:
     """Bytes written by batches before ``batch_id`` (from the metrics rows)."""
-    spark = table.spark
-    try:
-        m = spark.read.parquet(metrics_path(table))
-    except Exception:  # noqa: BLE001 - no metrics yet
-        return 0
+    table.ensure()
     row = (
-        m.filter((F.col("batch_id") < F.lit(int(batch_id))) & (F.col("status") == gates.WRITTEN))
+        table.metrics()
+        .filter((F.col("batch_id") < F.lit(int(batch_id))) & (F.col("status") == gates.WRITTEN))
         .agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("b"))
         .first()
     )

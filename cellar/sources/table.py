@@ -8,6 +8,7 @@ partition), scans, key lookups, domain scans and key-ordered compaction.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,11 @@ CELL_TYPES = {
 }
 
 
+# Side tables kept next to the crawl table (one partition per batch).
+METRICS_DDL = "status STRING, records BIGINT, bytes BIGINT"
+REJECTS_DDL = "seq BIGINT, url STRING, reason STRING"
+
+
 def put_schema(opts: CrawlOptions, extra: T.StructType | None = None) -> T.StructType:
     """Schema of stored put rows (without the ``batch_id`` partition column)."""
     fields = list(FIXED_FIELDS)
@@ -68,8 +74,17 @@ class CrawlTable:
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
+    @property
+    def metrics_table(self) -> str:
+        return f"{self.name}__metrics"
+
+    @property
+    def rejects_table(self) -> str:
+        return f"{self.name}__rejects"
+
     def ensure(self, extra: T.StructType | None = None) -> CrawlTable:
-        """Create the table with both families if missing, else add what is missing."""
+        """Create the table with both families if missing, else add what is
+        missing; also its per-batch metrics and rejects tables."""
         if not self.exists():
             schema = put_schema(self.opts, extra)
             self.spark.sql(
@@ -78,8 +93,48 @@ class CrawlTable:
             )
         else:
             self.evolve(put_schema(self.opts, extra))
+        for name, ddl, suffix in (
+            (self.metrics_table, METRICS_DDL, "_metrics"),
+            (self.rejects_table, REJECTS_DDL, "_rejects"),
+        ):
+            if not self.spark.catalog.tableExists(name):
+                self.spark.sql(
+                    f"CREATE TABLE IF NOT EXISTS {name} ({ddl}, batch_id BIGINT) USING parquet "
+                    f"PARTITIONED BY (batch_id) LOCATION '{self.location}{suffix}'"
+                )
         return self
 
+    def _overwrite_partition(self, table: str, rows: DataFrame, batch_id: int) -> None:
+        """Replace one partition of a side table from rows that do not read it."""
+        session = rows.sparkSession  # a micro-batch may carry its own session; views are per session
+        view = f"__cellar_rows_{uuid.uuid4().hex[:12]}"
+        rows.createOrReplaceTempView(view)
+        try:
+            session.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) SELECT * FROM {view}")
+        finally:
+            session.catalog.dropTempView(view)
+
+    def write_metrics(self, counts: DataFrame, batch_id: int) -> None:
+        """Per-batch status counts: ``status, records, bytes``."""
+        self._overwrite_partition(self.metrics_table, counts.select("status", "records", "bytes"), batch_id)
+
+    def write_rejects(self, rejects: DataFrame, batch_id: int) -> None:
+        """Records that could not be keyed: ``seq, url, reason``."""
+        self._overwrite_partition(self.rejects_table, rejects.select("seq", "url", "reason"), batch_id)
+
+    def metrics(self) -> DataFrame:
+        return self.spark.table(self.metrics_table)
+
+    def rejects(self) -> DataFrame:
+        return self.spark.table(self.rejects_table)
+
+    def get_property(self, key: str) -> str | None:
+        props = {r[0]: r[1] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
+        return props.get(key)
+
+    def set_property(self, key: str, value: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{key}' = '{value}')")
+
     def evolve(self, wanted: T.StructType) -> list[str]:
         """Add wanted columns the table lacks; names compare case-insensitively,
         as the family check does. Returns the added column names."""

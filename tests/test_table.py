@@ -70,11 +70,9 @@ def test_hook_evolves_table_and_side_output(spark, tmp_path):
 
 
 def test_rejects_table(spark):
-    from cellar.plans.ingest import rejects_path
-
     t = _table(spark)
     ingest(records(spark, [rec(1, "r:http://b.a/"), rec(2, "http://a.b/")]), t, 3)
-    got = [(r.seq, r.reason, r.batch_id) for r in spark.read.parquet(rejects_path(t)).collect()]
+    got = [(r.seq, r.reason, r.batch_id) for r in t.rejects().collect()]
     assert got == [(1, "already_keyed", 3)]
     assert [r.seq for r in t.scan("seq").collect()] == [2]
 
@@ -99,3 +97,17 @@ def test_latest_pivot_matches_wide(spark):
     c = cells(put_rows(records(spark, rows), opts, 0), opts)
     w = latest_from_cells_wide(c, [("curi", "via"), ("content", "raw_data")]).first()
     assert bytes(w["curi:via"]) == b"v1" and bytes(w["content:raw_data"]) == b"x"
+
+
+def test_one_pass_metrics_equal_status_counts(spark, log1):
+    from cellar.operators import gates
+    from cellar.operators.metrics import status_counts
+    from cellar.sources.crawl_log import MAX_CONTENT_BYTES
+
+    opts = CrawlOptions(table=f"t_{uuid.uuid4().hex[:8]}", max_content_bytes=MAX_CONTENT_BYTES,
+                        base_write_gate=F.octet_length("request") > 0)
+    t = CrawlTable(spark, opts)
+    got = sorted(tuple(r) for r in ingest(log1.records, t, 0).select("status", "records", "bytes").collect())
+    want = sorted(tuple(r) for r in status_counts(gates.write_status(log1.records, None, opts)).collect())
+    assert got == want and {g[0] for g in got} == {"written", "unwritten", "unwritten:size"}
+    assert t.scan().count() == dict((g[0], g[1]) for g in got)["written"]
