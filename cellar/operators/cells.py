@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cellar.operators.project import CELL_KINDS, hook_columns, to_bytes
 from cellar.options import CrawlOptions
+from cellar.runtime import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded, ensure_checkpoint_dir
 
 
 def _clock_col(clock: str) -> str:
@@ -53,36 +54,78 @@ def cells(puts: DataFrame, opts: CrawlOptions) -> DataFrame:
     )
 
 
-def latest_cells(cell_rows: DataFrame) -> DataFrame:
+def _bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """Checkpoint a per-key summary, then broadcast it only if its row count is
+    within ``max_rows`` (else leave the join to a shuffle)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return broadcast_if_bounded(df.checkpoint(eager=True), max_rows)
+
+
+def latest_cells(cell_rows: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """What a get returns: the newest version of every (row, family, qualifier).
 
     Versions order by (ts, seq): a later write in the same millisecond wins.
-    ``max_by`` is partially aggregated map-side, so at most one version per key
-    and task crosses the shuffle.
+    The winners are chosen from (key, cell, ts, seq) alone; values are then
+    attached by a semi join on the winning version, so payload versions are
+    never sorted or aggregated. Within ``max_broadcast_rows`` winners the join
+    is a broadcast and values do not move at all.
     """
     ver = F.struct("ts", "seq")
-    return cell_rows.groupBy("row_key", "family", "qualifier").agg(
-        F.max(ver).alias("v"), F.max_by("value", ver).alias("value")
-    ).select("row_key", "family", "qualifier", F.col("v.ts").alias("ts"), F.col("v.seq").alias("seq"), "value")
+    keys = ["row_key", "family", "qualifier"]
+    winners = cell_rows.select(*keys, "ts", "seq").groupBy(*keys).agg(F.max(ver).alias("v")).select(
+        *keys, F.col("v.ts").alias("ts"), F.col("v.seq").alias("seq")
+    )
+    win = _bounded(winners, max_broadcast_rows)
+    return cell_rows.join(win, [*keys, "ts", "seq"], "left_semi").select(*keys, "ts", "seq", "value")
 
 
-def latest_wide(puts: DataFrame, opts: CrawlOptions) -> DataFrame:
+def latest_wide(puts: DataFrame, opts: CrawlOptions, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One row per key with the newest non-NULL value of each cell column.
 
     Each column is resolved with its own clock and ignores writes that did not
     carry the cell, so a later write without ``via`` keeps the stored ``via``.
+    Small cells are resolved by ``max_by`` (partial aggregation on narrow
+    rows). BINARY cells (request, raw_data, binary hook cells) only get their
+    winning ``seq`` picked there; their bytes are fetched afterwards for the
+    winning versions only (broadcast semi join when the key count is within
+    ``max_broadcast_rows``), then joined back on ``row_key``.
     """
+    types = dict(puts.dtypes)
+    sources = _cell_sources(puts, opts)
+    small = [(c, clock) for _f, _q, c, clock, _k in sources if types[c] != "binary"]
+    big = [(c, clock) for _f, _q, c, clock, _k in sources if types[c] == "binary"]
     aggs = []
-    for _fam, _qual, col, clock, _kind in _cell_sources(puts, opts):
+    for col, clock in small:
         c = F.col(col)
-        ver = F.when(c.isNotNull(), F.struct(F.col(clock), F.col("seq")))
-        aggs.append(F.max_by(c, ver).alias(col))
+        aggs.append(F.max_by(c, F.when(c.isNotNull(), F.struct(F.col(clock), F.col("seq")))).alias(col))
+    for col, clock in big:
+        aggs.append(F.max(F.when(F.col(f"__has_{col}"), F.struct(F.col(clock), F.col("seq"))))["seq"].alias(f"__win_{col}"))
     aggs += [
         F.max(F.struct("fetch_ts", "seq"))["fetch_ts"].alias("fetch_ts"),
         F.max(F.struct("write_ts", "seq"))["write_ts"].alias("write_ts"),
         F.count(F.lit(1)).alias("n_versions"),
     ]
-    return puts.groupBy("row_key").agg(*aggs)
+    narrow = puts.select(
+        "row_key", "seq", "fetch_ts", "write_ts", *[c for c, _ in small],
+        *[F.col(c).isNotNull().alias(f"__has_{c}") for c, _ in big],
+    )
+    agg = narrow.groupBy("row_key").agg(*aggs)
+    order = ["row_key", *[c for c, _ in small], *[c for c, _ in big], "fetch_ts", "write_ts", "n_versions"]
+    if not big:
+        return agg.select(*order)
+    ensure_checkpoint_dir(agg.sparkSession)
+    agg = agg.checkpoint(eager=True)  # one row per key; cuts lineage, reused three times
+    picks = None
+    for col, _ in big:
+        p = agg.select("row_key", F.col(f"__win_{col}").alias("seq")).filter(F.col("seq").isNotNull())
+        picks = p if picks is None else picks.unionByName(p)
+    picks = broadcast_if_bounded(picks.distinct(), max_broadcast_rows)
+    cand = puts.select("row_key", "seq", *[c for c, _ in big]).join(picks, ["row_key", "seq"], "left_semi")
+    wins = agg.select("row_key", *[f"__win_{c}" for c, _ in big])
+    payload = cand.join(wins, "row_key").groupBy("row_key").agg(
+        *[F.first(F.when(F.col("seq") == F.col(f"__win_{c}"), F.col(c)), ignorenulls=True).alias(c) for c, _ in big]
+    )
+    return agg.join(payload, "row_key", "left").select(*order)
 
 
 def latest_from_cells_wide(cell_rows: DataFrame, qualifiers: list[tuple[str, str]]) -> DataFrame:

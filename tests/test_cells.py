@@ -113,3 +113,17 @@ def test_content_hook_columns(spark):
     c = _cells(spark, [rec(1, "http://a.b/", raw=raw)], opts)
     assert c[(1, "parse", "title")] == b"Hi there"
     assert c[(1, "content", "raw_data")] == raw  # hook sees the body, cell keeps the headers
+
+
+def test_latest_broadcast_and_shuffle_paths_agree(spark, log1):
+    from cellar.sources.crawl_log import MAX_CONTENT_BYTES
+
+    opts = OPTS.with_(max_content_bytes=MAX_CONTENT_BYTES)
+    puts = put_rows(log1.records, opts, 0)
+
+    def rows(df):
+        return sorted(tuple(str(v) for v in r) for r in df.collect())
+
+    assert rows(latest_wide(puts, opts)) == rows(latest_wide(puts, opts, max_broadcast_rows=0))
+    c = cells(puts, opts)
+    assert rows(latest_cells(c)) == rows(latest_cells(c, max_broadcast_rows=0))
