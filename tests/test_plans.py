@@ -75,10 +75,11 @@ def test_domain_scan_pushes_prefix(spark, stored):
     assert "StringStartsWith(row_key,r:http://org.example)" in p
 
 
-def test_latest_is_partially_aggregated(stored):
+def test_latest_fetches_only_winning_payload(stored):
     from cellar.operators.cells import latest_wide
     from cellar.operators.project import put_rows
 
     p = plan(latest_wide(put_rows(stored, OPTS, 0), OPTS))
-    assert re.search(r"(Sort|Hash|ObjectHash)Aggregate[^\n]*\n", p)
-    assert "partial_max_by" in p
+    # payload cells are never ordered by an aggregate: only the winning version is fetched
+    assert "max_by(content__raw_data" not in p and "max_by(curi__request" not in p
+    assert "BroadcastExchange" in p or "BroadcastHashJoin" in p
