@@ -141,16 +141,26 @@ def with_status_flags(records: DataFrame, opts: CrawlOptions) -> DataFrame:
     )
 
 
-def annotate(records: DataFrame, statuses: DataFrame) -> DataFrame:
-    """Append the size annotation to the records the size gate kept out."""
-    s = statuses.select("seq", "status")
-    return records.join(s, "seq", "left").withColumn(
+def annotate(records: DataFrame, statuses: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+    """Append the size annotation to the records the size gate kept out.
+
+    Only the ``seq`` of size-gated records is joined back (those are rare), and
+    it is broadcast after a count below ``max_broadcast_rows``, so records and
+    their payload stay where they are.
+    """
+    from cellar.runtime import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
+
+    flagged = statuses.filter(F.col("status") == UNWRITTEN_SIZE).select("seq", F.lit(True).alias("__size_gated"))
+    flagged = broadcast_if_bounded(flagged, max_broadcast_rows or DEFAULT_BROADCAST_ROWS)
+    out = records.join(flagged, "seq", "left")
+    empty = F.array().cast("array<string>")
+    return out.withColumn(
         "annotations",
         F.when(
-            F.col("status") == UNWRITTEN_SIZE,
-            F.array_append(F.coalesce("annotations", F.array().cast("array<string>")), F.lit(UNWRITTEN_SIZE)),
+            F.col("__size_gated"),
+            F.array_append(F.coalesce("annotations", empty), F.lit(UNWRITTEN_SIZE)),
         ).otherwise(F.col("annotations")),
-    )
+    ).drop("__size_gated")
 
 
 def writable(records: DataFrame, keys: DataFrame | None, opts: CrawlOptions) -> DataFrame:

@@ -234,8 +234,8 @@ FROM puts GROUP BY row_key""",
     ) + """SELECT pk.page_id, pk.row_key, CAST(coalesce(agg.n_versions, 0) AS BIGINT) AS n_versions, agg.max_seq
 FROM pk LEFT JOIN agg ON agg.row_key = pk.row_key""",
     "domain_scan": _with() + f"SELECT row_key, seq, url FROM puts WHERE {_domain('example.org')}",
-    "key_order": _with() + """SELECT row_key, seq,
-       CAST(row_number() OVER (PARTITION BY row_key ORDER BY seq) - 1 AS BIGINT) AS version_index FROM puts""",
+    "key_order": _with() + """SELECT row_key, seq, CAST(CASE WHEN seq < m // 5 THEN 0 ELSE 1 END AS BIGINT) AS batch_id
+FROM puts""",
     "ensure_table": _with() + "SELECT row_key, seq, CAST(0 AS BIGINT) AS batch_id FROM puts WHERE seq < m // 5",
     "evolve_table": _with() + f"""SELECT row_key, seq, CAST(CASE WHEN seq < m // 5 THEN 0 ELSE 1 END AS BIGINT) AS batch_id,
        CASE WHEN seq >= m // 5 THEN {TITLE_SQL} END AS title FROM puts""",

@@ -12,7 +12,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from cellar.functions import html
 from cellar.functions.body import response_body
@@ -294,8 +293,7 @@ def q_domain_scan(spark, sf_dir):
 def q_key_order(spark, sf_dir):
     t = _stored(spark, sf_dir)
     c = t.compact(scratch_path(spark, "compacted"))
-    w = Window.partitionBy("row_key").orderBy("seq")
-    return c.select("row_key", "seq", (F.row_number().over(w) - 1).cast("bigint").alias("version_index"))
+    return c.select("row_key", "seq", "batch_id")
 
 
 def q_ensure_table(spark, sf_dir):
