@@ -29,6 +29,7 @@ class IngestPlan:
     statuses: DataFrame  # seq, row_key, write_ts, content_size, status
     puts: DataFrame  # put rows to store
     cutoff: object  # budget cutoff (ts, seq), "none", or None
+    counts: list | None = None  # (status, records, bytes) when materialised
 
 
 def plan_ingest(
@@ -60,11 +61,15 @@ def plan_ingest(
             "status",
             F.when(~budget.within_cutoff(cutoff), F.lit(gates.OVER_BUDGET)).otherwise(F.col("status")),
         )
+    counts = None
     if materialize:
-        puts = _puts_from_statuses(records, statuses, opts, keys, batch_id, cutoff)
+        # one small aggregate over the checkpoint answers every later question
+        counts = [(r["status"], int(r["records"]), int(r["bytes"])) for r in status_counts(statuses).collect()]
+        n_written = sum(n for st, n, _ in counts if st == gates.WRITTEN)
+        puts = _puts_from_statuses(records, statuses, opts, keys, batch_id, cutoff, n_written=n_written)
     else:
         puts = _puts_direct(records, opts, keys, batch_id, cutoff)
-    return IngestPlan(statuses, puts, cutoff)
+    return IngestPlan(statuses, puts, cutoff, counts)
 
 
 def _puts_direct(records, opts, keys, batch_id, cutoff) -> DataFrame:
@@ -73,7 +78,7 @@ def _puts_direct(records, opts, keys, batch_id, cutoff) -> DataFrame:
 
 
 def _puts_from_statuses(records, statuses, opts, keys, batch_id, cutoff,
-                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                        max_rows: int = DEFAULT_BROADCAST_ROWS, n_written: int | None = None) -> DataFrame:
     """Payload of the written records, selected by ``seq`` (unique per input).
 
     The written set is counted first: within ``max_rows`` it is broadcast and
@@ -81,7 +86,7 @@ def _puts_from_statuses(records, statuses, opts, keys, batch_id, cutoff,
     check); beyond it the write plan is recomputed from the records.
     """
     written = statuses.filter(F.col("status") == gates.WRITTEN).select("seq")
-    n = written.limit(max_rows + 1).count()
+    n = n_written if n_written is not None else written.limit(max_rows + 1).count()
     if n > max_rows:
         return _puts_direct(records, opts, keys, batch_id, cutoff)
     chosen = records.join(F.broadcast(written), "seq", "left_semi")
@@ -127,12 +132,14 @@ def ingest(
             puts.unpersist()
     else:
         table.write_batch(plan.puts, batch_id)
-    n_rejected = plan.statuses.filter(F.col("status") == gates.REJECTED).limit(1).count()
-    if n_rejected:
+    if any(st == gates.REJECTED and n > 0 for st, n, _ in plan.counts):
         write_rejects(table, records, opts, batch_id)
-    counts = status_counts(plan.statuses)
+    counts = table.spark.createDataFrame(
+        [(st, n, b, int(batch_id)) for st, n, b in plan.counts],
+        "status string, records bigint, bytes bigint, batch_id bigint",
+    )
     record_metrics(table, counts, batch_id)
-    return table.metrics().filter(F.col("batch_id") == F.lit(int(batch_id)))
+    return counts
 
 
 def _ingest_one_pass(records: DataFrame, table: CrawlTable, batch_id: int, opts: CrawlOptions) -> DataFrame:
