@@ -71,6 +71,12 @@ def cutoff_key(
     return (row["ts"], row["seq"])
 
 
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive datetime, via its text form, so no
+    session or process time zone takes part."""
+    return F.lit(value.isoformat(sep=" ", timespec="microseconds")).cast("timestamp_ntz")
+
+
 def within_cutoff(cutoff, ts: str = "write_ts", seq: str = "seq") -> Column:
     """Predicate for rows at or before the cutoff in arrival order."""
     if cutoff is None:
@@ -78,7 +84,7 @@ def within_cutoff(cutoff, ts: str = "write_ts", seq: str = "seq") -> Column:
     if cutoff == "none":
         return F.lit(False)
     c_ts, c_seq = cutoff
-    t = F.lit(c_ts).cast("timestamp_ntz")
+    t = ntz_literal(c_ts)
     return (F.col(ts) < t) | ((F.col(ts) == t) & (F.col(seq) <= F.lit(c_seq)))
 
 

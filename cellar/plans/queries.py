@@ -17,6 +17,7 @@ from cellar.functions import html
 from cellar.functions.body import response_body
 from cellar.functions.keys import row_key
 from cellar.operators import gates
+from cellar.operators.budget import ntz_literal
 from cellar.operators.cells import cells, latest_cells, latest_wide
 from cellar.operators.hooks import base64_serializer, links, resolve_ip, title_hook
 from cellar.operators.metrics import status_counts, total_bytes
@@ -362,9 +363,9 @@ def _write_arrival_chunks(records: DataFrame, path: str, n: int) -> None:
     for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
         cond = F.lit(True)
         if lo is not None:
-            cond = cond & (F.col("write_ts") >= F.lit(lo).cast("timestamp_ntz"))
+            cond = cond & (F.col("write_ts") >= ntz_literal(lo))
         if hi is not None:
-            cond = cond & (F.col("write_ts") < F.lit(hi).cast("timestamp_ntz"))
+            cond = cond & (F.col("write_ts") < ntz_literal(hi))
         records.filter(cond).coalesce(1).write.parquet(f"{path}/chunk={i:04d}")
         time.sleep(0.02)
 

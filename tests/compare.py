@@ -92,7 +92,7 @@ def session(cores: int = 8):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("COMPARE_TZ", "UTC"))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
