@@ -64,14 +64,18 @@ def links(puts_with_body: DataFrame, body: str = "body") -> DataFrame:
 
 # ---- ip resolution ------------------------------------------------------------
 
-def resolve_ip(records: DataFrame, hosts: DataFrame) -> DataFrame:
+def resolve_ip(records: DataFrame, hosts: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """Fill ``ip`` from a host table where the record has none.
 
     Adds ``host`` and ``ip_status`` (given | resolved | missing). The host table
-    is reduced to one row per host first; the join strategy (broadcast when
-    the estimate is small, shuffle otherwise) is left to the planner.
+    is reduced to one row per host and broadcast only after a count within
+    ``max_broadcast_rows``; a larger one is joined by shuffle (AQE splits a hot
+    host's partition).
     """
+    from cellar.runtime import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
+
     h = hosts.groupBy("host").agg(F.min("ip").alias("__ip"))
+    h = broadcast_if_bounded(h, max_broadcast_rows or DEFAULT_BROADCAST_ROWS)
     r = records.withColumn("host", url_host("url"))
     out = r.join(h, "host", "left")
     status = (

@@ -18,10 +18,14 @@ TRUE_BYTES = b"\xff"
 
 
 def with_row_key(records: DataFrame, opts: CrawlOptions) -> DataFrame:
-    """Add ``row_key`` (NULL for URLs that cannot be keyed) and ``key_reject``."""
+    """Add ``row_key`` (NULL for records that cannot be stored) and ``key_reject``.
+
+    A record is rejected when its URL cannot be keyed or when it has no ip
+    (the ip cell is always written, so a put without one cannot be built).
+    """
     if "row_key" in records.columns:
         return records
-    reason = key_reject_reason("url")
+    reason = F.coalesce(key_reject_reason("url"), F.when(F.col("ip").isNull(), F.lit("missing_ip")))
     return records.withColumn("key_reject", reason).withColumn(
         "row_key", F.when(reason.isNull(), row_key("url", opts.md5_key))
     )

@@ -72,6 +72,7 @@ class CrawlOptions:
     base_write_gate: Column | None = None
     content_hook: Callable[[DataFrame], DataFrame] | None = None
     side_outputs: dict = field(default_factory=dict)
+    hosts: DataFrame | None = None  # host -> ip, used for records without an ip
 
     def __post_init__(self) -> None:
         self.validate()

@@ -48,7 +48,7 @@ def plan_ingest(
     narrow statuses once, so the budget, the metrics and the write all reuse
     them instead of re-running the existence check.
     """
-    records = normalize_records(records)
+    records = prepare_records(records, opts)
     statuses = gates.write_status(records, keys, opts)
     if materialize:
         ensure_checkpoint_dir(records.sparkSession)
@@ -72,6 +72,16 @@ def plan_ingest(
     return IngestPlan(statuses, puts, cutoff, counts)
 
 
+def prepare_records(records: DataFrame, opts: CrawlOptions) -> DataFrame:
+    """Full record contract; ips resolved from ``opts.hosts`` where missing."""
+    records = normalize_records(records)
+    if opts.hosts is not None:
+        from cellar.operators.hooks import resolve_ip
+
+        records = resolve_ip(records, opts.hosts).drop("host", "ip_status")
+    return records
+
+
 def _puts_direct(records, opts, keys, batch_id, cutoff) -> DataFrame:
     puts = put_rows(gates.writable(records, keys, opts), opts, batch_id)
     return puts.filter(budget.within_cutoff(cutoff)) if cutoff is not None else puts
@@ -150,7 +160,7 @@ def _ingest_one_pass(records: DataFrame, table: CrawlTable, batch_id: int, opts:
     from pyspark.sql import Observation
 
     spark = table.spark
-    flagged = gates.with_status_flags(normalize_records(records), opts)
+    flagged = gates.with_status_flags(prepare_records(records, opts), opts)
     flagged = flagged.withColumn("__status", gates.status_expr(opts))
     metrics = []
     for s in gates.STATUSES:
@@ -174,7 +184,7 @@ def _ingest_one_pass(records: DataFrame, table: CrawlTable, batch_id: int, opts:
 def write_rejects(table: CrawlTable, records: DataFrame, opts: CrawlOptions, batch_id: int) -> None:
     """Records whose URL cannot become a row key, with the reason."""
     bad = (
-        with_row_key(normalize_records(records), opts)
+        with_row_key(prepare_records(records, opts), opts)
         .filter(F.col("key_reject").isNotNull())
         .select("seq", "url", F.col("key_reject").alias("reason"))
     )

@@ -111,3 +111,13 @@ def test_one_pass_metrics_equal_status_counts(spark, log1):
     want = sorted(tuple(r) for r in status_counts(gates.write_status(log1.records, None, opts)).collect())
     assert got == want and {g[0] for g in got} == {"written", "unwritten", "unwritten:size"}
     assert t.scan().count() == dict((g[0], g[1]) for g in got)["written"]
+
+
+def test_ip_resolution_and_missing_ip_rejects(spark):
+    hosts = spark.createDataFrame([("a.b", "192.0.2.7")], "host string, ip string")
+    t = CrawlTable(spark, CrawlOptions(table=f"t_{uuid.uuid4().hex[:8]}", hosts=hosts))
+    ingest(records(spark, [rec(1, "http://a.b/x", ip=None), rec(2, "http://c.d/", ip=None),
+                           rec(3, "http://c.d/y", ip="10.0.0.3")]), t, 0)
+    got = {r.seq: r.curi__ip for r in t.scan("seq", "curi__ip").collect()}
+    assert got == {1: "192.0.2.7", 3: "10.0.0.3"}
+    assert [(r.seq, r.reason) for r in t.rejects().collect()] == [(2, "missing_ip")]
