@@ -48,9 +48,11 @@ def cells(puts: DataFrame, opts: CrawlOptions) -> DataFrame:
         )
         for fam, qual, col, clock, kind in _cell_sources(puts, opts)
     ]
-    present = F.filter(F.array(*structs), lambda s: s["value"].isNotNull())
-    return puts.select("row_key", "seq", F.explode(present).alias("c")).select(
-        "row_key", "seq", "c.family", "c.qualifier", "c.ts", "c.value"
+    # explode + a plain Filter node (no higher-order lambda), so it stays in codegen
+    return (
+        puts.select("row_key", "seq", F.explode(F.array(*structs)).alias("c"))
+        .select("row_key", "seq", "c.family", "c.qualifier", "c.ts", "c.value")
+        .filter(F.col("value").isNotNull())
     )
 
 
