@@ -81,27 +81,40 @@ def latest_cells(cell_rows: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCA
     return cell_rows.join(win, [*keys, "ts", "seq"], "left_semi").select(*keys, "ts", "seq", "value")
 
 
-def latest_wide(puts: DataFrame, opts: CrawlOptions, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def latest_wide(
+    puts: DataFrame,
+    opts: CrawlOptions,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    with_versions: bool = False,
+) -> DataFrame:
     """One row per key with the newest non-NULL value of each cell column.
 
     Each column is resolved with its own clock and ignores writes that did not
     carry the cell, so a later write without ``via`` keeps the stored ``via``.
     Small cells are resolved by ``max_by`` (partial aggregation on narrow
     rows). BINARY cells (request, raw_data, binary hook cells) only get their
-    winning ``seq`` picked there; their bytes are fetched afterwards for the
+    winning version picked there; their bytes are fetched afterwards for the
     winning versions only (broadcast semi join when the key count is within
-    ``max_broadcast_rows``), then joined back on ``row_key``.
+    ``max_broadcast_rows``), then joined back on ``row_key``. ``raw_data`` is
+    always written, so the narrow pass never reads it. ``with_versions`` adds
+    ``<column>__ver`` = struct(ts, seq) of each cell's winning version.
     """
     types = dict(puts.dtypes)
     sources = _cell_sources(puts, opts)
     small = [(c, clock) for _f, _q, c, clock, _k in sources if types[c] != "binary"]
     big = [(c, clock) for _f, _q, c, clock, _k in sources if types[c] == "binary"]
+    always = {opts.stored("raw_data")} if opts.serializer is None else set()
+
+    def ver(present, clock):
+        return F.when(present, F.struct(F.col(clock).alias("ts"), F.col("seq").alias("seq")))
+
     aggs = []
     for col, clock in small:
-        c = F.col(col)
-        aggs.append(F.max_by(c, F.when(c.isNotNull(), F.struct(F.col(clock), F.col("seq")))).alias(col))
+        v = ver(F.col(col).isNotNull(), clock)
+        aggs.append(F.max_by(F.col(col), v).alias(col))
+        aggs.append(F.max(v).alias(f"{col}__ver"))
     for col, clock in big:
-        aggs.append(F.max(F.when(F.col(f"__has_{col}"), F.struct(F.col(clock), F.col("seq"))))["seq"].alias(f"__win_{col}"))
+        aggs.append(F.max(ver(F.col(f"__has_{col}"), clock)).alias(f"{col}__ver"))
     aggs += [
         F.max(F.struct("fetch_ts", "seq"))["fetch_ts"].alias("fetch_ts"),
         F.max(F.struct("write_ts", "seq"))["write_ts"].alias("write_ts"),
@@ -109,27 +122,50 @@ def latest_wide(puts: DataFrame, opts: CrawlOptions, max_broadcast_rows: int = D
     ]
     narrow = puts.select(
         "row_key", "seq", "fetch_ts", "write_ts", *[c for c, _ in small],
-        *[F.col(c).isNotNull().alias(f"__has_{c}") for c, _ in big],
+        *[(F.lit(True) if c in always else F.col(c).isNotNull()).alias(f"__has_{c}") for c, _ in big],
     )
     agg = narrow.groupBy("row_key").agg(*aggs)
-    order = ["row_key", *[c for c, _ in small], *[c for c, _ in big], "fetch_ts", "write_ts", "n_versions"]
+    vers = [f"{c}__ver" for c, _ in small + big] if with_versions else []
+    order = ["row_key", *[c for c, _ in small], *[c for c, _ in big], "fetch_ts", "write_ts", "n_versions", *vers]
     if not big:
         return agg.select(*order)
     ensure_checkpoint_dir(agg.sparkSession)
     agg = agg.checkpoint(eager=True)  # one row per key; cuts lineage, reused three times
     picks = None
     for col, _ in big:
-        p = agg.select("row_key", F.col(f"__win_{col}").alias("seq")).filter(F.col("seq").isNotNull())
+        p = agg.select("row_key", F.col(f"{col}__ver.seq").alias("seq")).filter(F.col("seq").isNotNull())
         picks = p if picks is None else picks.unionByName(p)
     picks = broadcast_if_bounded(picks.distinct(), max_broadcast_rows)
     cand = puts.select("row_key", "seq", *[c for c, _ in big]).join(picks, ["row_key", "seq"], "left_semi")
-    wins = agg.select("row_key", *[f"__win_{c}" for c, _ in big])
+    wins = agg.select("row_key", *[F.col(f"{c}__ver.seq").alias(f"__win_{c}") for c, _ in big])
     payload = cand.join(wins, "row_key").groupBy("row_key").agg(
         *[F.first(F.when(F.col("seq") == F.col(f"__win_{c}"), F.col(c)), ignorenulls=True).alias(c) for c, _ in big]
     )
     return agg.join(payload, "row_key", "left").select(*order)
 
 
+def latest_cells_from_puts(puts: DataFrame, opts: CrawlOptions, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``latest_cells(cells(puts))`` computed from the wide rows: winners from
+    narrow columns, payload only for the winning versions, then unpivoted."""
+    wide = latest_wide(puts, opts, max_broadcast_rows, with_versions=True)
+    types = dict(puts.dtypes)
+    structs = [
+        F.struct(
+            F.lit(fam).alias("family"),
+            F.lit(qual).alias("qualifier"),
+            F.col(f"{col}__ver.ts").alias("ts"),
+            F.col(f"{col}__ver.seq").alias("seq"),
+            _value_bytes(col, kind, types[col]).alias("value"),
+        )
+        for fam, qual, col, _clock, kind in _cell_sources(puts, opts)
+    ]
+    return (
+        wide.select("row_key", F.explode(F.array(*structs)).alias("c"))
+        .select("row_key", "c.family", "c.qualifier", "c.ts", "c.seq", "c.value")
+        .filter(F.col("value").isNotNull())
+    )
+
+
 def latest_from_cells_wide(cell_rows: DataFrame, qualifiers: list[tuple[str, str]]) -> DataFrame:
     """Latest cells pivoted to one row per key over a fixed (family, qualifier) list."""
     names = [f"{f}:{q}" for f, q in qualifiers]

@@ -18,7 +18,7 @@ from cellar.functions.body import response_body
 from cellar.functions.keys import row_key
 from cellar.operators import gates
 from cellar.operators.budget import ntz_literal
-from cellar.operators.cells import cells, latest_cells, latest_wide
+from cellar.operators.cells import cells, latest_cells_from_puts, latest_wide
 from cellar.operators.hooks import base64_serializer, links, resolve_ip, title_hook
 from cellar.operators.metrics import status_counts, total_bytes
 from cellar.operators.project import with_row_key
@@ -193,7 +193,7 @@ def q_status_counts(spark, sf_dir):
 
 
 def q_latest_cells(spark, sf_dir):
-    lat = latest_cells(cells(_all_puts(_log(spark, sf_dir)), BASE))
+    lat = latest_cells_from_puts(_all_puts(_log(spark, sf_dir)), BASE)
     return lat.select("row_key", "family", "qualifier", "ts", "seq", F.md5("value").alias("value_md5"))
 
 

@@ -127,3 +127,16 @@ def test_latest_broadcast_and_shuffle_paths_agree(spark, log1):
     assert rows(latest_wide(puts, opts)) == rows(latest_wide(puts, opts, max_broadcast_rows=0))
     c = cells(puts, opts)
     assert rows(latest_cells(c)) == rows(latest_cells(c, max_broadcast_rows=0))
+
+
+def test_latest_cells_from_puts_equals_generic(spark, log1):
+    from cellar.operators.cells import latest_cells_from_puts
+    from cellar.sources.crawl_log import MAX_CONTENT_BYTES
+
+    opts = OPTS.with_(max_content_bytes=MAX_CONTENT_BYTES, content_hook=title_hook())
+    puts = put_rows(log1.records, opts, 0)
+
+    def rows(df):
+        return sorted(tuple(str(v) for v in r) for r in df.select("row_key", "family", "qualifier", "ts", "seq", "value").collect())
+
+    assert rows(latest_cells_from_puts(puts, opts)) == rows(latest_cells(cells(puts, opts)))
