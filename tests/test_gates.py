@@ -136,3 +136,20 @@ def test_materialized_puts_equal_direct(log1):
     want = sorted(r.seq for r in direct.puts.select("seq").collect())
     assert want and sorted(r.seq for r in mat.puts.select("seq").collect()) == want
     assert sorted(r.seq for r in fallback.select("seq").collect()) == want
+
+
+@pytest.mark.parametrize("only_write,only_process", [(False, False), (True, False), (False, True)])
+def test_hot_key_third_of_rows(spark, only_write, only_process):
+    """One URL holds a third of all fetches: results still equal the loop."""
+    rows = []
+    for i in range(900):
+        url = "http://hot.example.org/" if i % 3 == 0 else f"http://h{i % 97}.example.com/p{i % 13}"
+        rows.append(rec(i, url, write=ts((i * 7) % 400, i % 1000), raw=b"x" * ((i * 31) % 50)))
+    opts = BASE.with_(max_content_bytes=40, only_write_new=only_write, only_process_new=only_process,
+                      max_total_bytes=5000)
+    recs = records(spark, rows)
+    ctrl = [r.asDict() for r in gates.control_columns(recs, opts).collect()]
+    want = simulate(ctrl, [], opts)
+    plan = plan_ingest(recs, opts)
+    assert {r.seq: r.status for r in plan.statuses.collect()} == want
+    assert sorted(r.seq for r in plan.puts.select("seq").collect()) == sorted(s for s, v in want.items() if v == "written")
