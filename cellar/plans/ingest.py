@@ -103,11 +103,6 @@ def _puts_from_statuses(records, statuses, opts, keys, batch_id, cutoff,
     return put_rows(chosen, opts, batch_id)
 
 
-def side_output_rows(puts: DataFrame, fn) -> DataFrame:
-    """Rows of a side output computed from the put rows with their body."""
-    return fn(puts)
-
-
 def ingest(
     records: DataFrame,
     table: CrawlTable,
