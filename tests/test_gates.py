@@ -153,3 +153,25 @@ def test_hot_key_third_of_rows(spark, only_write, only_process):
     plan = plan_ingest(recs, opts)
     assert {r.seq: r.status for r in plan.statuses.collect()} == want
     assert sorted(r.seq for r in plan.puts.select("seq").collect()) == sorted(s for s, v in want.items() if v == "written")
+
+
+def test_md5_keys_match_plain_keys_one_to_one(log1):
+    for mode in ({"only_write_new": True}, {"only_process_new": True}, {}):
+        plain = BASE.with_(**mode)
+        hashed = BASE.with_(md5_key=True, **mode)
+        ex_p = plan_ingest(log1.existing(), BASE, batch_id=0).puts
+        ex_h = plan_ingest(log1.existing(), BASE.with_(md5_key=True), batch_id=0).puts
+        p = plan_ingest(log1.incoming(), plain, keys=ex_p).puts.select("seq", "row_key").collect()
+        h = plan_ingest(log1.incoming(), hashed, keys=ex_h).puts.select("seq", "row_key").collect()
+        assert sorted(r.seq for r in p) == sorted(r.seq for r in h)
+        import hashlib
+
+        by_seq = {r.seq: r.row_key for r in h}
+        assert all(by_seq[r.seq] == hashlib.md5(r.row_key.encode()).hexdigest() for r in p)
+
+
+def test_write_new_keys_unique(log1):
+    existing = plan_ingest(log1.existing(), BASE, batch_id=0).puts
+    puts = plan_ingest(log1.incoming(), BASE.with_(only_write_new=True), keys=existing).puts
+    keys = [r.row_key for r in puts.select("row_key").collect()]
+    assert len(keys) == len(set(keys)) == 37
