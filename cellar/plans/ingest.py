@@ -50,6 +50,8 @@ def plan_ingest(
     """
     records = prepare_records(records, opts)
     statuses = gates.write_status(records, keys, opts)
+    # the budget reads the join-based statuses a second time: materialise them once
+    materialize = materialize or (opts.only_new and opts.max_total_bytes > 0)
     if materialize:
         ensure_checkpoint_dir(records.sparkSession)
         statuses = statuses.checkpoint(eager=True)
