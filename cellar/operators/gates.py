@@ -27,9 +27,6 @@ WRITTEN = "written"
 OVER_BUDGET = "over_budget"
 REJECTED = "rejected"
 
-CONTROL = ["seq", "row_key", "key_reject", "write_ts", "content_size", "bp", "bw", "sz"]
-
-
 def _gate(c: Column | None) -> Column:
     return F.lit(True) if c is None else F.coalesce(c, F.lit(False))
 
@@ -42,16 +39,9 @@ def size_ok(opts: CrawlOptions) -> Column:
 def control_columns(records: DataFrame, opts: CrawlOptions) -> DataFrame:
     """Narrow per-record columns every decision needs (no payload when the
     records carry ``content_size``)."""
-    keyed = with_row_key(records, opts)
-    return keyed.select(
-        "seq",
-        "row_key",
-        "key_reject",
-        ms_floor("write_ts").alias("write_ts"),
-        "content_size",
-        _gate(opts.base_process_gate).alias("bp"),
-        _gate(opts.base_write_gate).alias("bw"),
-        size_ok(opts).alias("sz"),
+    flagged = with_status_flags(records, opts)
+    return flagged.select(
+        "seq", "row_key", "key_reject", ms_floor("write_ts").alias("write_ts"), "content_size", "bp", "bw", "sz"
     )
 
 
