@@ -1,9 +1,16 @@
 """Batch ingest: records -> decisions -> put rows -> crawl table.
 
-Plan shape (one Spark job per write, payload read once):
-  control columns (key, ms time, size, gate flags)  -> statuses (narrow joins)
-  budget cutoff over written control rows           -> (ts, seq) scalar
-  records -> gates [-> top-1 per key -> anti join]  -> cutoff filter -> put rows -> write
+Default mode (no existence check, no budget): one job. Statuses are per-row
+expressions, counted with ``observe`` while the filtered put rows are written.
+
+Only-new modes or a byte budget:
+  control columns (key, ms time, size, gate flags) -> statuses (narrow joins),
+      checkpointed once
+  budget cutoff over the written control rows      -> one (ts, seq) scalar
+  status counts (<= 7 rows)                        -> metrics, rejects, broadcast choice
+  records semi-joined to the written seqs (broadcast within a row bound, else
+      the gate plan again: top-1 per key -> anti join) -> put rows -> write
+The payload is read once, by the write job.
 """
 
 from __future__ import annotations
