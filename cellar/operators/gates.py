@@ -141,7 +141,7 @@ def annotate(records: DataFrame, statuses: DataFrame, max_broadcast_rows: int |
     from cellar.runtime import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
 
     flagged = statuses.filter(F.col("status") == UNWRITTEN_SIZE).select("seq", F.lit(True).alias("__size_gated"))
-    flagged = broadcast_if_bounded(flagged, max_broadcast_rows or DEFAULT_BROADCAST_ROWS)
+    flagged = broadcast_if_bounded(flagged, DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows)
     out = records.join(flagged, "seq", "left")
     empty = F.array().cast("array<string>")
     return out.withColumn(

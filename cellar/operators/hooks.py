@@ -75,7 +75,7 @@ def resolve_ip(records: DataFrame, hosts: DataFrame, max_broadcast_rows: int | N
     from cellar.runtime import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
 
     h = hosts.groupBy("host").agg(F.min("ip").alias("__ip"))
-    h = broadcast_if_bounded(h, max_broadcast_rows or DEFAULT_BROADCAST_ROWS)
+    h = broadcast_if_bounded(h, DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows)
     r = records.withColumn("host", url_host("url"))
     out = r.join(h, "host", "left")
     status = (

@@ -121,3 +121,20 @@ def test_ip_resolution_and_missing_ip_rejects(spark):
     got = {r.seq: r.curi__ip for r in t.scan("seq", "curi__ip").collect()}
     assert got == {1: "192.0.2.7", 3: "10.0.0.3"}
     assert [(r.seq, r.reason) for r in t.rejects().collect()] == [(2, "missing_ip")]
+
+
+def test_resolve_ip_and_annotate_shuffle_paths(spark):
+    from cellar.operators import gates
+    from cellar.operators.hooks import resolve_ip
+
+    hosts = spark.createDataFrame([("a.b", "192.0.2.7"), ("c.d", "192.0.2.9")], "host string, ip string")
+    r = records(spark, [rec(1, "http://a.b/x", ip=None), rec(2, "http://e.f/", ip=None), rec(3, "http://c.d/", ip="1.1.1.1")])
+    for bound in (1_000_000, 0):
+        got = {x.seq: (x.ip, x.ip_status) for x in resolve_ip(r, hosts, max_broadcast_rows=bound).collect()}
+        assert got == {1: ("192.0.2.7", "resolved"), 2: (None, "missing"), 3: ("1.1.1.1", "given")}
+    opts = CrawlOptions(table="t", max_content_bytes=3)
+    r2 = records(spark, [rec(1, "http://a.b/", raw=b"long"), rec(2, "http://a.b/", raw=b"ab")])
+    st = gates.write_status(r2, None, opts)
+    for bound in (1_000_000, 0):
+        got = {x.seq: x.annotations for x in gates.annotate(r2, st, max_broadcast_rows=bound).collect()}
+        assert got == {1: ["unwritten:size"], 2: []}
