@@ -59,9 +59,15 @@ def plan_ingest(
     statuses = gates.write_status(records, keys, opts)
     # the budget reads the join-based statuses a second time: materialise them once
     materialize = materialize or (opts.only_new and opts.max_total_bytes > 0)
+    observed = None
     if materialize:
+        from pyspark.sql import Observation
+
         ensure_checkpoint_dir(records.sparkSession)
-        statuses = statuses.checkpoint(eager=True)
+        obs = Observation(f"cellar_status_{uuid.uuid4().hex[:12]}")
+        # counts ride along with the checkpoint job (no extra pass)
+        statuses = statuses.observe(obs, *_status_metrics("status")).checkpoint(eager=True)
+        observed = _parse_metrics(obs.get)
     cutoff = None
     if opts.max_total_bytes > 0:
         written = statuses.filter(F.col("status") == gates.WRITTEN)
@@ -72,8 +78,11 @@ def plan_ingest(
         )
     counts = None
     if materialize:
-        # one small aggregate over the checkpoint answers every later question
-        counts = [(r["status"], int(r["records"]), int(r["bytes"])) for r in status_counts(statuses).collect()]
+        # counts answer every later question; recount only if the budget changed statuses
+        if cutoff is None:
+            counts = observed
+        else:
+            counts = [(r["status"], int(r["records"]), int(r["bytes"])) for r in status_counts(statuses).collect()]
         n_written = sum(n for st, n, _ in counts if st == gates.WRITTEN)
         puts = _puts_from_statuses(records, statuses, opts, keys, batch_id, cutoff, n_written=n_written)
     else:
@@ -166,18 +175,11 @@ def _ingest_one_pass(records: DataFrame, table: CrawlTable, batch_id: int, opts:
     spark = table.spark
     flagged = gates.with_status_flags(prepare_records(records, opts), opts)
     flagged = flagged.withColumn("__status", gates.status_expr(opts))
-    metrics = []
-    for s in gates.STATUSES:
-        hit = F.col("__status") == F.lit(s)
-        metrics.append(F.sum(F.when(hit, 1).otherwise(0)).cast("bigint").alias(f"n|{s}"))
-        metrics.append(F.sum(F.when(hit, F.col("content_size")).otherwise(0)).cast("bigint").alias(f"b|{s}"))
     obs = Observation(f"cellar_ingest_{uuid.uuid4().hex[:12]}")
-    observed = flagged.observe(obs, *metrics)
+    observed = flagged.observe(obs, *_status_metrics("__status"))
     puts = put_rows(observed.filter(F.col("__status") == F.lit(gates.WRITTEN)), opts, batch_id)
     table.write_batch(puts, batch_id)
-    got = obs.get
-    rows = [(s, int(got[f"n|{s}"] or 0), int(got[f"b|{s}"] or 0), int(batch_id))
-            for s in gates.STATUSES if (got[f"n|{s}"] or 0) > 0]
+    rows = [(st, n, b, int(batch_id)) for st, n, b in _parse_metrics(obs.get)]
     if any(r[0] == gates.REJECTED for r in rows):
         write_rejects(table, records, opts, batch_id)
     counts = spark.createDataFrame(rows, "status string, records bigint, bytes bigint, batch_id bigint")
@@ -185,6 +187,22 @@ def _ingest_one_pass(records: DataFrame, table: CrawlTable, batch_id: int, opts:
     return counts
 
 
+def _status_metrics(status: str) -> list:
+    """Per-status record and byte counts as ``observe`` aggregates."""
+    out = []
+    for st in gates.STATUSES:
+        hit = F.col(status) == F.lit(st)
+        out.append(F.sum(F.when(hit, 1).otherwise(0)).cast("bigint").alias(f"n|{st}"))
+        out.append(F.sum(F.when(hit, F.col("content_size")).otherwise(0)).cast("bigint").alias(f"b|{st}"))
+    return out
+
+
+def _parse_metrics(got: dict) -> list[tuple[str, int, int]]:
+    """(status, records, bytes) for every status that occurred."""
+    return [(st, int(got[f"n|{st}"] or 0), int(got[f"b|{st}"] or 0))
+            for st in gates.STATUSES if (got[f"n|{st}"] or 0) > 0]
+
+
 def write_rejects(table: CrawlTable, records: DataFrame, opts: CrawlOptions, batch_id: int) -> None:
     """Records whose URL cannot become a row key, with the reason."""
     bad = (

@@ -175,3 +175,14 @@ def test_write_new_keys_unique(log1):
     puts = plan_ingest(log1.incoming(), BASE.with_(only_write_new=True), keys=existing).puts
     keys = [r.row_key for r in puts.select("row_key").collect()]
     assert len(keys) == len(set(keys)) == 37
+
+
+@pytest.mark.parametrize("budget", [0, 200_000])
+def test_observed_counts_equal_recount(log1, budget):
+    from cellar.operators.metrics import status_counts
+
+    existing = plan_ingest(log1.existing(), BASE, batch_id=0).puts
+    opts = BASE.with_(only_write_new=True, max_total_bytes=budget)
+    plan = plan_ingest(log1.incoming(), opts, keys=existing, batch_id=1, materialize=True)
+    want = sorted((r.status, r.records, r.bytes) for r in status_counts(plan.statuses).collect())
+    assert sorted(plan.counts) == want
