@@ -8,7 +8,6 @@ partition), scans, key lookups, domain scans and key-ordered compaction.
 from __future__ import annotations
 
 import re
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,23 +103,26 @@ class CrawlTable:
                 )
         return self
 
-    def _overwrite_partition(self, table: str, rows: DataFrame, batch_id: int) -> None:
-        """Replace one partition of a side table from rows that do not read it."""
-        session = rows.sparkSession  # a micro-batch may carry its own session; views are per session
-        view = f"__cellar_rows_{uuid.uuid4().hex[:12]}"
-        rows.createOrReplaceTempView(view)
-        try:
-            session.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) SELECT * FROM {view}")
-        finally:
-            session.catalog.dropTempView(view)
+    def _overwrite_partition(self, table: str, location: str, rows: DataFrame, batch_id: int) -> None:
+        """Replace partition ``batch_id`` of ``table`` with ``rows``.
+
+        The partition directory is written by path (so the same job may read
+        the table's other partitions) and then registered in the catalog.
+        """
+        bid = int(batch_id)
+        rows.write.mode("overwrite").parquet(f"{location}/batch_id={bid}")
+        self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (batch_id = {bid})")
+        self.spark.catalog.refreshTable(table)
 
     def write_metrics(self, counts: DataFrame, batch_id: int) -> None:
         """Per-batch status counts: ``status, records, bytes``."""
-        self._overwrite_partition(self.metrics_table, counts.select("status", "records", "bytes"), batch_id)
+        rows = counts.select(F.col("status").cast("string"), F.col("records").cast("bigint"), F.col("bytes").cast("bigint"))
+        self._overwrite_partition(self.metrics_table, f"{self.location}_metrics", rows.coalesce(1), batch_id)
 
     def write_rejects(self, rejects: DataFrame, batch_id: int) -> None:
         """Records that could not be keyed: ``seq, url, reason``."""
-        self._overwrite_partition(self.rejects_table, rejects.select("seq", "url", "reason"), batch_id)
+        rows = rejects.select(F.col("seq").cast("bigint"), F.col("url").cast("string"), F.col("reason").cast("string"))
+        self._overwrite_partition(self.rejects_table, f"{self.location}_rejects", rows, batch_id)
 
     def metrics(self) -> DataFrame:
         return self.spark.table(self.metrics_table)
@@ -159,18 +161,17 @@ class CrawlTable:
         written by path, so the same job may read the table's other partitions
         (the existence check does), then registered in the catalog.
         """
-        extra = T.StructType([f for f in puts.schema.fields if f.name not in self.columns()])
+        schema = self.spark.table(self.name).schema
+        have = {f.name for f in schema.fields}
+        extra = T.StructType([f for f in puts.schema.fields if f.name not in have])
         if extra.fields:
             self.evolve(extra)
-        schema = self.spark.table(self.name).schema
+            schema = self.spark.table(self.name).schema
         cols = [f for f in schema.fields if f.name != "batch_id"]
-        have = set(puts.columns)
-        sel = [F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+        given = set(puts.columns)
+        sel = [F.col(f.name).cast(f.dataType) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name)
                for f in cols]
-        bid = int(batch_id)
-        puts.select(*sel).write.mode("overwrite").parquet(self.partition_path(bid))
-        self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS PARTITION (batch_id = {bid})")
-        self.spark.catalog.refreshTable(self.name)
+        self._overwrite_partition(self.name, self.location, puts.select(*sel), batch_id)
 
     def partition_path(self, batch_id: int) -> str:
         return f"{self.location}/batch_id={int(batch_id)}"
