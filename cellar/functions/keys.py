@@ -69,26 +69,14 @@ def nonblank_trimmed(s: Column | str) -> Column:
     return F.when(F.length(t) > 0, t)
 
 
-def domain_prefixes(domain: str, schemes: tuple[str, ...] = ("http", "https")) -> list[str]:
-    """Key prefixes covering every host under ``domain`` (and the domain itself)."""
-    rev = ".".join(reversed([p for p in domain.strip(".").split(".") if p]))
-    return [f"{KEY_SCHEME}{s}://{rev}" for s in schemes]
-
-
-def under_domain(key: Column | str, domain: str, schemes: tuple[str, ...] = ("http", "https")) -> Column:
-    """Key is for the domain or a subdomain.
-
-    Written as ``(startswith(p1) OR startswith(p2)) AND exact-boundary-check``:
-    the first conjunct alone is what Parquet receives as pushed
-    ``StringStartsWith`` filters (row-group min/max pruning on key-ordered
-    files); the second removes look-alike hosts such as ``example.orgx``.
-    """
-    k = _c(key)
-    prefixes = domain_prefixes(domain, schemes)
-    pushable = F.lit(False)
-    exact = F.lit(False)
-    for p in prefixes:
-        boundary = F.substring(k, len(p) + 1, 1)
-        pushable = pushable | k.startswith(p)
-        exact = exact | (k.startswith(p) & (boundary.isin(".", "/", ":", "?", "#", "") | (F.length(k) == len(p))))
-    return pushable & exact
+def host_rev(url: Column | str) -> Column:
+    """Reversed host in lower case ('org.example.www'), '' without one: what domain scans filter on."""
+    return F.lower(reverse_host(url_host(url)))
+
+
+def host_under_domain(rev: Column | str, domain: str) -> Column:
+    """The reversed host is the domain or a subdomain of it, whatever the URL's scheme,
+    user part, port or key form; both conditions are pushed to Parquet."""
+    c = _c(rev)
+    want = ".".join(reversed([p for p in domain.lower().strip(".").split(".") if p]))
+    return (c == want) | c.startswith(want + ".")

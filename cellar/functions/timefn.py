@@ -12,8 +12,3 @@ def ms_floor(ts: Column | str) -> Column:
     t = F.col(ts) if isinstance(ts, str) else ts
     sub_ms_micros = (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint") % 1000
     return t - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (sub_ms_micros / 1_000_000).cast("decimal(18,6)"))
-
-
-def arrival_order(ts: str = "write_ts", seq: str = "seq") -> Column:
-    """Total arrival order of records: store time, then sequence number."""
-    return F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"))

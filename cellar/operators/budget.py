@@ -9,11 +9,14 @@ The cutoff is found without a single-partition window over all rows:
 1. range-partition the narrow (ts, seq, bytes) rows; Spark samples the
    composite key, so partitions are balanced even if one instant or one host
    holds a third of the rows;
-2. checkpoint (cuts lineage, fixes partition membership);
+2. write them with their partition number (fixes membership; deleted at the end);
 3. per-partition byte totals: at most ``spark.sql.shuffle.partitions`` rows;
 4. offsets over that small table find the one partition where the running
    total passes the limit;
-5. a running sum inside that partition only gives the cutoff row.
+5. while that partition is large it is split the same way again; a running sum
+   inside the last, small one gives the cutoff row.
+
+A missing time sorts before all others, here and in the filter.
 """
 
 from __future__ import annotations
@@ -21,7 +24,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellar.runtime import ensure_checkpoint_dir
+from cellar.runtime import delete_path, write_stage
+
+# A crossing partition of more rows is split again before the running sum.
+WINDOW_ROWS = 200_000
 
 
 def cutoff_key(
@@ -30,7 +36,7 @@ def cutoff_key(
     already: int = 0,
     ts: str = "write_ts",
     seq: str = "seq",
-    size: str = "content_size",
+    size: str = "bytes",
     partitions: int | None = None,
 ):
     """(ts, seq) of the last row written, or None if the budget is never passed.
@@ -43,32 +49,31 @@ def cutoff_key(
     if already > limit:
         return "none"
     spark = written.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    narrow = written.select(F.col(ts).alias("ts"), F.col(seq).alias("seq"), F.col(size).cast("bigint").alias("b"))
-    ranged = (
-        narrow.repartitionByRange(n, "ts", "seq")
-        .withColumn("pid", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    totals = ranged.groupBy("pid").agg(F.sum("b").alias("bytes"))
-    before = F.coalesce(
-        F.sum("bytes").over(Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    ) + F.lit(already)
-    crossing = (
-        totals.withColumn("before", before)
-        .filter(F.col("before") + F.col("bytes") > F.lit(limit))
-        .orderBy("pid")
-        .limit(1)
-        .collect()
-    )
-    if not crossing:
-        return None
-    pid, start = crossing[0]["pid"], crossing[0]["before"]
-    w = Window.partitionBy("pid").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    run = ranged.filter(F.col("pid") == pid).withColumn("run", F.lit(start) + F.sum("b").over(w))
-    row = run.filter(F.col("run") > F.lit(limit)).orderBy("ts", "seq").select("ts", "seq").first()
-    return (row["ts"], row["seq"])
+    rows = written.select(F.col(ts).alias("ts"), F.col(seq).alias("seq"), F.col(size).cast("bigint").alias("b"))
+    start, paths = already, []
+    try:
+        while True:
+            ranged, path = write_stage(rows.repartitionByRange(n, "ts", "seq").withColumn("pid", F.spark_partition_id()), "budget")
+            paths.append(path)
+            totals = ranged.groupBy("pid").agg(F.sum("b").alias("bytes"), F.count(F.lit(1)).alias("n")).orderBy("pid").collect()  # n rows
+            whole = sum(t["n"] for t in totals)
+            for t in totals:
+                if start + (t["bytes"] or 0) > limit:
+                    break
+                start += t["bytes"] or 0
+            else:
+                return None
+            rows = ranged.filter(F.col("pid") == t["pid"]).drop("pid")
+            if t["n"] <= WINDOW_ROWS or t["n"] == whole:
+                break
+        w = Window.orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+        run = rows.withColumn("run", F.lit(start) + F.sum("b").over(w))
+        row = run.filter(F.col("run") > F.lit(limit)).orderBy("ts", "seq").select("ts", "seq").first()
+        return (row["ts"], row["seq"])
+    finally:
+        for p in paths:
+            delete_path(spark, p)
 
 
 def ntz_literal(value) -> Column:
@@ -84,12 +89,14 @@ def within_cutoff(cutoff, ts: str = "write_ts", seq: str = "seq") -> Column:
     if cutoff == "none":
         return F.lit(False)
     c_ts, c_seq = cutoff
+    if c_ts is None:
+        return F.col(ts).isNull() & F.coalesce(F.col(seq) <= F.lit(c_seq), F.lit(True))
     t = ntz_literal(c_ts)
-    return (F.col(ts) < t) | ((F.col(ts) == t) & (F.col(seq) <= F.lit(c_seq)))
+    return F.col(ts).isNull() | F.coalesce((F.col(ts) < t) | ((F.col(ts) == t) & (F.col(seq) <= F.lit(c_seq))), F.lit(False))
 
 
 def byte_budget(written: DataFrame, limit: int, already: int = 0, ts: str = "write_ts",
-                seq: str = "seq", size: str = "content_size") -> DataFrame:
+                seq: str = "seq", size: str = "bytes") -> DataFrame:
     """Rows of ``written`` that the budget lets through."""
     cut = cutoff_key(written, limit, already, ts, seq, size)
     return written.filter(within_cutoff(cut, ts, seq))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cellar.operators.project import CELL_KINDS, hook_columns, to_bytes
 from cellar.options import CrawlOptions
-from cellar.runtime import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded, ensure_checkpoint_dir
 
 
 def _clock_col(clock: str) -> str:
@@ -56,49 +55,28 @@ def cells(puts: DataFrame, opts: CrawlOptions) -> DataFrame:
     )
 
 
-def _bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Checkpoint a per-key summary, then broadcast it only if its row count is
-    within ``max_rows`` (else leave the join to a shuffle)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return broadcast_if_bounded(df.checkpoint(eager=True), max_rows)
+def _with_batch(puts: DataFrame) -> DataFrame:
+    return puts if "batch_id" in puts.columns else puts.withColumn("batch_id", F.lit(None).cast("bigint"))
 
 
-def latest_cells(cell_rows: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """What a get returns: the newest version of every (row, family, qualifier).
-
-    Versions order by (ts, seq): a later write in the same millisecond wins.
-    The winners are chosen from (key, cell, ts, seq) alone; values are then
-    attached by a semi join on the winning version, so payload versions are
-    never sorted or aggregated. Within ``max_broadcast_rows`` winners the join
-    is a broadcast and values do not move at all.
-    """
-    ver = F.struct("ts", "seq")
-    keys = ["row_key", "family", "qualifier"]
-    winners = cell_rows.select(*keys, "ts", "seq").groupBy(*keys).agg(F.max(ver).alias("v")).select(
-        *keys, F.col("v.ts").alias("ts"), F.col("v.seq").alias("seq")
-    )
-    win = _bounded(winners, max_broadcast_rows)
-    return cell_rows.join(win, [*keys, "ts", "seq"], "left_semi").select(*keys, "ts", "seq", "value")
-
-
-def latest_wide(
-    puts: DataFrame,
-    opts: CrawlOptions,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    with_versions: bool = False,
-) -> DataFrame:
+def latest_wide(puts: DataFrame, opts: CrawlOptions, with_versions: bool = False) -> DataFrame:
     """One row per key with the newest non-NULL value of each cell column.
 
-    Each column is resolved with its own clock and ignores writes that did not
-    carry the cell, so a later write without ``via`` keeps the stored ``via``.
-    Small cells are resolved by ``max_by`` (partial aggregation on narrow
-    rows). BINARY cells (request, raw_data, binary hook cells) only get their
-    winning version picked there; their bytes are fetched afterwards for the
-    winning versions only (broadcast semi join when the key count is within
-    ``max_broadcast_rows``), then joined back on ``row_key``. ``raw_data`` is
-    always written, so the narrow pass never reads it. ``with_versions`` adds
-    ``<column>__ver`` = struct(ts, seq) of each cell's winning version.
+    A version is (clock, seq, batch_id), newest first in that order, so a second
+    crawl that counts ``seq`` from the start again still wins by its time, and
+    at the same time by its batch. Each column is resolved with its own clock
+    and ignores writes that did not carry the cell, so a later write without
+    ``via`` keeps the stored ``via``.
+
+    Small cells are resolved by ``max_by`` on narrow rows. BINARY cells (request,
+    raw_data, binary hook cells) only get their winning version picked there;
+    the bytes are fetched for the winners alone, by a null-safe join on the
+    version's own (row_key, write_ts, seq, batch_id), which also deals the
+    versions of a hot key apart. ``raw_data`` is always written, so the narrow
+    pass never reads it. ``with_versions`` adds ``<column>__ver`` =
+    struct(ts, seq, batch_id, write_ts) of each cell's winning version.
     """
+    puts = _with_batch(puts)
     types = dict(puts.dtypes)
     sources = _cell_sources(puts, opts)
     small = [(c, clock) for _f, _q, c, clock, _k in sources if types[c] != "binary"]
@@ -106,7 +84,7 @@ def latest_wide(
     always = {opts.stored("raw_data")} if opts.serializer is None else set()
 
     def ver(present, clock):
-        return F.when(present, F.struct(F.col(clock).alias("ts"), F.col("seq").alias("seq")))
+        return F.when(present, F.struct(F.col(clock).alias("ts"), "seq", "batch_id", "write_ts"))
 
     aggs = []
     for col, clock in small:
@@ -115,13 +93,9 @@ def latest_wide(
         aggs.append(F.max(v).alias(f"{col}__ver"))
     for col, clock in big:
         aggs.append(F.max(ver(F.col(f"__has_{col}"), clock)).alias(f"{col}__ver"))
-    aggs += [
-        F.max(F.struct("fetch_ts", "seq"))["fetch_ts"].alias("fetch_ts"),
-        F.max(F.struct("write_ts", "seq"))["write_ts"].alias("write_ts"),
-        F.count(F.lit(1)).alias("n_versions"),
-    ]
+    aggs += [F.max("fetch_ts").alias("fetch_ts"), F.max("write_ts").alias("write_ts"), F.count(F.lit(1)).alias("n_versions")]
     narrow = puts.select(
-        "row_key", "seq", "fetch_ts", "write_ts", *[c for c, _ in small],
+        "row_key", "seq", "batch_id", "fetch_ts", "write_ts", *[c for c, _ in small],
         *[(F.lit(True) if c in always else F.col(c).isNotNull()).alias(f"__has_{c}") for c, _ in big],
     )
     agg = narrow.groupBy("row_key").agg(*aggs)
@@ -129,25 +103,23 @@ def latest_wide(
     order = ["row_key", *[c for c, _ in small], *[c for c, _ in big], "fetch_ts", "write_ts", "n_versions", *vers]
     if not big:
         return agg.select(*order)
-    ensure_checkpoint_dir(agg.sparkSession)
-    agg = agg.checkpoint(eager=True)  # one row per key; cuts lineage, reused three times
-    picks = None
-    for col, _ in big:
-        p = agg.select("row_key", F.col(f"{col}__ver.seq").alias("seq")).filter(F.col("seq").isNotNull())
-        picks = p if picks is None else picks.unionByName(p)
-    picks = broadcast_if_bounded(picks.distinct(), max_broadcast_rows)
-    cand = puts.select("row_key", "seq", *[c for c, _ in big]).join(picks, ["row_key", "seq"], "left_semi")
-    wins = agg.select("row_key", *[F.col(f"{c}__ver.seq").alias(f"__win_{c}") for c, _ in big])
-    payload = cand.join(wins, "row_key").groupBy("row_key").agg(
-        *[F.first(F.when(F.col("seq") == F.col(f"__win_{c}"), F.col(c)), ignorenulls=True).alias(c) for c, _ in big]
-    )
+    picks = agg.select("row_key", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("cell"), F.col(f"{c}__ver.write_ts").alias("t"), F.col(f"{c}__ver.seq").alias("s"),
+                 F.col(f"{c}__ver.batch_id").alias("b"), F.col(f"{c}__ver").isNotNull().alias("some")) for c, _ in big])).alias("p"))
+    picks = picks.filter("p.some").groupBy(F.col("row_key").alias("__k"), F.col("p.t").alias("__t"), F.col("p.s").alias("__s"),
+                                           F.col("p.b").alias("__b")).agg(F.collect_set("p.cell").alias("__cells"))
+    same = ((F.col("row_key") == F.col("__k")) & F.col("write_ts").eqNullSafe(F.col("__t")) & F.col("seq").eqNullSafe(F.col("__s"))
+            & F.col("batch_id").eqNullSafe(F.col("__b")))
+    won = puts.select("row_key", "write_ts", "seq", "batch_id", *[c for c, _ in big]).join(picks, same)
+    # one row per winner; a record delivered twice is one version, of which the greater bytes are shown
+    payload = won.groupBy("row_key").agg(*[F.max(F.when(F.array_contains("__cells", c), F.col(c))).alias(c) for c, _ in big])
     return agg.join(payload, "row_key", "left").select(*order)
 
 
-def latest_cells_from_puts(puts: DataFrame, opts: CrawlOptions, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``latest_cells(cells(puts))`` computed from the wide rows: winners from
-    narrow columns, payload only for the winning versions, then unpivoted."""
-    wide = latest_wide(puts, opts, max_broadcast_rows, with_versions=True)
+def latest_cells(puts: DataFrame, opts: CrawlOptions) -> DataFrame:
+    """What a get returns, as cells: row_key, family, qualifier, ts, seq, value of
+    the newest version of every present cell."""
+    wide = latest_wide(puts, opts, with_versions=True)
     types = dict(puts.dtypes)
     structs = [
         F.struct(
@@ -164,10 +136,3 @@ def latest_cells_from_puts(puts: DataFrame, opts: CrawlOptions, max_broadcast_ro
         .select("row_key", "c.family", "c.qualifier", "c.ts", "c.seq", "c.value")
         .filter(F.col("value").isNotNull())
     )
-
-
-def latest_from_cells_wide(cell_rows: DataFrame, qualifiers: list[tuple[str, str]]) -> DataFrame:
-    """Latest cells pivoted to one row per key over a fixed (family, qualifier) list."""
-    names = [f"{f}:{q}" for f, q in qualifiers]
-    lat = latest_cells(cell_rows).withColumn("cell", F.concat_ws(":", "family", "qualifier"))
-    return lat.groupBy("row_key").pivot("cell", names).agg(F.first("value"))

@@ -7,16 +7,18 @@ Here the same decisions are taken for a whole batch at once. Arrival order is
 first record of a key that got written" is well defined and equals the record
 a one-at-a-time loop would have written.
 
-All status plans run on narrow control columns (key, time, size, flags); the
-payload is never shuffled to make a decision.
+All status plans run on narrow control columns (key, time, size, flags). Only
+the records that were chosen are joined with their payload, once, at the end.
+``(row_key, write_ts, seq)`` identifies a record of an input.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellar.functions.timefn import ms_floor
+from cellar.operators.joins import salted_join
 from cellar.operators.project import with_row_key
 from cellar.options import UNWRITTEN_SIZE, CrawlOptions
 
@@ -33,15 +35,17 @@ def _gate(c: Column | None) -> Column:
 
 def size_ok(opts: CrawlOptions) -> Column:
     """Strict '>' keeps a record out; a record of exactly the limit is written."""
-    return F.coalesce(F.col("content_size") <= F.lit(opts.max_content_bytes), F.lit(True))
+    return F.coalesce(F.col("content_size"), F.lit(0)) <= F.lit(opts.max_content_bytes)
 
 
 def control_columns(records: DataFrame, opts: CrawlOptions) -> DataFrame:
-    """Narrow per-record columns every decision needs (no payload when the
-    records carry ``content_size``)."""
+    """Narrow per-record columns every decision needs. ``bytes`` is what a write
+    would store (the payload's length); plans that do not ask for it read no
+    payload when the records carry ``content_size``."""
     flagged = with_status_flags(records, opts)
     return flagged.select(
-        "seq", "row_key", "key_reject", ms_floor("write_ts").alias("write_ts"), "content_size", "bp", "bw", "sz"
+        "seq", "row_key", "key_reject", ms_floor("write_ts").alias("write_ts"), "content_size",
+        F.coalesce(F.octet_length("raw_data"), F.lit(0)).cast("bigint").alias("bytes"), "bp", "bw", "sz"
     )
 
 
@@ -60,31 +64,18 @@ def existing_records(records: DataFrame, keys: DataFrame) -> DataFrame:
     return records.join(keys.select("row_key"), "row_key", "left_semi")
 
 
-def first_per_key(df: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Earliest row per key in arrival order. ``row_number() = 1`` is planned as a
-    partial WindowGroupLimit before the shuffle, so at most one row per key and
-    map task is moved, whatever the key skew."""
-    order = order or ["write_ts", "seq"]
-    w = Window.partitionBy("row_key").orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
-
-
-def _with_key_facts(ctrl: DataFrame, keys: DataFrame | None) -> DataFrame:
-    """Add per-key facts: ``first_write`` (first eligible arrival, the record a
-    loop would write) and ``in_table``. Both are left joins on ``row_key`` over
-    one hash partitioning; the per-key side is partially aggregated first, and
-    AQE splits a hot key's partition on the record side."""
+def key_facts(ctrl: DataFrame, keys: DataFrame | None) -> DataFrame:
+    """One row per key of the batch: ``first_write`` (the first eligible arrival,
+    the record a loop would write) and ``in_table``. Batch rows and stored keys
+    go through one aggregation, which is partial before its shuffle."""
     eligible = F.col("bp") & F.col("bw") & F.col("sz")
-    first = (
-        ctrl.filter(F.col("row_key").isNotNull() & eligible)
-        .groupBy("row_key")
-        .agg(F.min(F.struct("write_ts", "seq")).alias("first_write"))
-    )
-    out = ctrl.join(first, "row_key", "left")
-    if keys is None:
-        return out.withColumn("in_table", F.lit(False))
-    stored = table_keys(keys).withColumn("in_table", F.lit(True))
-    return out.join(stored, "row_key", "left")
+    rows = ctrl.filter(F.col("row_key").isNotNull()).select(
+        "row_key", F.when(eligible, F.struct("write_ts", "seq")).alias("w"), F.lit(True).alias("here"), F.lit(False).alias("stored"))
+    if keys is not None:
+        none = F.lit(None).cast(rows.schema["w"].dataType)
+        rows = rows.unionByName(keys.select("row_key", none.alias("w"), F.lit(False).alias("here"), F.lit(True).alias("stored")))
+    facts = rows.groupBy("row_key").agg(F.min("w").alias("first_write"), F.max("here").alias("here"), F.max("stored").alias("in_table"))
+    return facts.filter("here").drop("here")
 
 
 def write_status(records: DataFrame, keys: DataFrame | None, opts: CrawlOptions) -> DataFrame:
@@ -92,18 +83,20 @@ def write_status(records: DataFrame, keys: DataFrame | None, opts: CrawlOptions)
     rejected | not_processed | unwritten | unwritten:size | existing | written.
 
     ``keys``: stored put rows (any DataFrame with ``row_key``) or None for an
-    empty table. Columns out: seq, row_key, write_ts, content_size, status.
+    empty table. Columns out: seq, row_key, write_ts, content_size, bytes, status.
+    The one join is salted, so a hot URL's records meet in several tasks, and
+    records without a key are spread apart.
     """
     ctrl = control_columns(records, opts)
     if opts.only_new:
-        ctrl = _with_key_facts(ctrl, keys)
+        ctrl = salted_join(ctrl, key_facts(ctrl, keys), "row_key", "seq")
         in_table = F.coalesce(F.col("in_table"), F.lit(False))
         after_first = F.col("first_write").isNotNull() & (F.struct("write_ts", "seq") > F.col("first_write"))
         known = in_table | after_first
     else:
         known = F.lit(False)
     status = status_expr(opts, known)
-    return ctrl.select("seq", "row_key", "write_ts", "content_size", status.alias("status"))
+    return ctrl.select("seq", "row_key", "write_ts", "content_size", "bytes", status.alias("status"))
 
 
 STATUSES = (REJECTED, NOT_PROCESSED, UNWRITTEN, UNWRITTEN_SIZE, EXISTING, WRITTEN, OVER_BUDGET)
@@ -125,47 +118,65 @@ def status_expr(opts: CrawlOptions, known: Column | None = None) -> Column:
 
 
 def with_status_flags(records: DataFrame, opts: CrawlOptions) -> DataFrame:
-    """Records plus row_key, key_reject and the gate flags bp, bw, sz."""
+    """Records plus row_key, key_reject and the gate flags bp, bw, sz. A record
+    that may lack its size is measured, so that no limit is passed unseen."""
+    if records.schema["content_size"].nullable:
+        measured = F.coalesce("content_size", F.octet_length("raw_data").cast("bigint"), F.lit(0).cast("bigint"))
+        records = records.withColumn("content_size", measured)
     return with_row_key(records, opts).withColumns(
         {"bp": _gate(opts.base_process_gate), "bw": _gate(opts.base_write_gate), "sz": size_ok(opts)}
     )
 
 
-def annotate(records: DataFrame, statuses: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def annotate(records: DataFrame, opts: CrawlOptions, statuses: DataFrame | None = None) -> DataFrame:
     """Append the size annotation to the records the size gate kept out.
 
-    Only the ``seq`` of size-gated records is joined back (those are rare), and
-    it is broadcast after a count below ``max_broadcast_rows``, so records and
-    their payload stay where they are.
+    The decision is an expression over the record itself. Only with
+    ``only_process_new`` does it depend on other records; then ``statuses`` (of
+    the same records) says which were not processed at all.
     """
-    from cellar.runtime import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
+    flagged = with_status_flags(records, opts)
+    gated = status_expr(opts.with_(only_process_new=False, only_write_new=False)) == UNWRITTEN_SIZE
+    if opts.only_process_new:
+        if statuses is None:
+            raise ValueError("only_process_new needs the statuses of the records")
+        dropped = statuses.filter(F.col("status") == UNWRITTEN_SIZE)
+        flagged = _mark(flagged, dropped, "__gated")
+        gated = F.col("__gated")
+    hit = F.array_append(F.coalesce("annotations", F.array().cast("array<string>")), F.lit(UNWRITTEN_SIZE))
+    out = flagged.withColumn("annotations", F.when(gated, hit).otherwise(F.col("annotations")))
+    return out.select(*records.columns)
+
+
+def _same_record(keyed: DataFrame, chosen: DataFrame) -> tuple[DataFrame, Column]:
+    """``chosen`` renamed, and the null-safe condition that a record is one of it."""
+    c = chosen.select(F.col("row_key").alias("__k"), F.col("write_ts").alias("__t"), F.col("seq").alias("__s")).distinct()
+    return c, ((F.col("row_key") == F.col("__k")) & ms_floor("write_ts").eqNullSafe(F.col("__t")) & F.col("seq").eqNullSafe(F.col("__s")))
+
 
-    flagged = statuses.filter(F.col("status") == UNWRITTEN_SIZE).select("seq", F.lit(True).alias("__size_gated"))
-    flagged = broadcast_if_bounded(flagged, DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows)
-    out = records.join(flagged, "seq", "left")
-    empty = F.array().cast("array<string>")
-    return out.withColumn(
-        "annotations",
-        F.when(
-            F.col("__size_gated"),
-            F.array_append(F.coalesce("annotations", empty), F.lit(UNWRITTEN_SIZE)),
-        ).otherwise(F.col("annotations")),
-    ).drop("__size_gated")
+def _mark(keyed: DataFrame, chosen: DataFrame, name: str) -> DataFrame:
+    c, same = _same_record(keyed, chosen)
+    return keyed.join(c.withColumn(name, F.lit(True)), same, "left").withColumn(name, F.coalesce(name, F.lit(False))).drop("__k", "__t", "__s")
+
+
+def pick(records: DataFrame, chosen: DataFrame, opts: CrawlOptions) -> DataFrame:
+    """The records, with payload, that ``chosen`` (row_key, write_ts in ms, seq) names.
+
+    The join is on all three, so the records of one hot URL are dealt apart. How
+    ``chosen`` travels is left to the planner's byte sizes.
+    """
+    keyed = with_row_key(records, opts).filter(F.col("row_key").isNotNull())
+    c, same = _same_record(keyed, chosen)
+    return keyed.join(c, same, "left_semi")
 
 
 def writable(records: DataFrame, keys: DataFrame | None, opts: CrawlOptions) -> DataFrame:
     """Records to write, with payload, before the byte budget.
 
-    Default mode: a filter, no shuffle. Only-new modes: first eligible record
-    per key (partial top-1 per key before the shuffle), then anti-join with
-    the stored keys on the same partitioning.
+    Default mode: a filter, no shuffle. Only-new modes: statuses first, on
+    narrow columns, then the payload of the written records.
     """
+    if opts.only_new:
+        return pick(records, write_status(records, keys, opts).filter(F.col("status") == WRITTEN), opts)
     keyed = with_row_key(records, opts).filter(F.col("row_key").isNotNull())
-    ok = _gate(opts.base_process_gate) & _gate(opts.base_write_gate) & size_ok(opts)
-    out = keyed.filter(ok)
-    if not opts.only_new:
-        return out
-    out = first_per_key(out.withColumn("__order_ts", ms_floor("write_ts")), ["__order_ts", "seq"]).drop("__order_ts")
-    if keys is not None:
-        out = new_records(out, table_keys(keys))
-    return out
+    return keyed.filter(_gate(opts.base_process_gate) & _gate(opts.base_write_gate) & size_ok(opts))

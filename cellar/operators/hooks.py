@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cellar.functions import html
 from cellar.functions.keys import url_host
+from cellar.operators.joins import salted_join
 
 
 # ---- value serializers (BINARY Column -> BINARY Column) ----------------------
@@ -64,20 +65,15 @@ def links(puts_with_body: DataFrame, body: str = "body") -> DataFrame:
 
 # ---- ip resolution ------------------------------------------------------------
 
-def resolve_ip(records: DataFrame, hosts: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def resolve_ip(records: DataFrame, hosts: DataFrame) -> DataFrame:
     """Fill ``ip`` from a host table where the record has none.
 
     Adds ``host`` and ``ip_status`` (given | resolved | missing). The host table
-    is reduced to one row per host and broadcast only after a count within
-    ``max_broadcast_rows``; a larger one is joined by shuffle (AQE splits a hot
-    host's partition).
+    is reduced to one row per host; the join is salted by ``seq``, so a hot
+    host's records meet in several tasks.
     """
-    from cellar.runtime import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
-
     h = hosts.groupBy("host").agg(F.min("ip").alias("__ip"))
-    h = broadcast_if_bounded(h, DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows)
-    r = records.withColumn("host", url_host("url"))
-    out = r.join(h, "host", "left")
+    out = salted_join(records.withColumn("host", url_host("url")), h, "host", "seq")
     status = (
         F.when(F.col("ip").isNotNull(), F.lit("given"))
         .when(F.col("__ip").isNotNull(), F.lit("resolved"))

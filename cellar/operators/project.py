@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellar.functions.keys import key_reject_reason, nonblank_trimmed, row_key
+from cellar.functions.keys import host_rev, key_reject_reason, nonblank_trimmed, row_key
 from cellar.functions.timefn import ms_floor
 from cellar.options import CrawlOptions
 
@@ -66,7 +66,7 @@ CELL_KINDS = {
 
 
 def put_rows(records: DataFrame, opts: CrawlOptions, batch_id: int | Column | None = None) -> DataFrame:
-    """Wide put rows: row_key, seq, fetch_ts, write_ts, one column per cell, hook
+    """Wide put rows: row_key, seq, fetch_ts, write_ts, host_rev, one column per cell, hook
     columns, batch_id. With a serializer every built-in cell is stored as its
     serialized bytes; the content hook sees the response body, not the cells."""
     keyed = with_row_key(records, opts).filter(F.col("row_key").isNotNull())
@@ -83,6 +83,7 @@ def put_rows(records: DataFrame, opts: CrawlOptions, batch_id: int | Column | No
         "seq",
         ms_floor("fetch_ts").alias("fetch_ts"),
         ms_floor("write_ts").alias("write_ts"),
+        host_rev("url").alias("host_rev"),
         *cells,
         *([F.col("raw_data").alias("__body_src")] if opts.content_hook is not None else []),
         bid.cast("bigint").alias("batch_id"),
@@ -116,5 +117,5 @@ def apply_content_hook(puts: DataFrame, opts: CrawlOptions) -> DataFrame:
 
 def hook_columns(puts: DataFrame, opts: CrawlOptions) -> list[str]:
     builtin = {s for _, _, _, s, _ in opts.cell_specs()}
-    fixed = {"row_key", "seq", "fetch_ts", "write_ts", "batch_id"}
+    fixed = {"row_key", "seq", "fetch_ts", "write_ts", "host_rev", "batch_id"}
     return [c for c in puts.columns if c not in builtin and c not in fixed]

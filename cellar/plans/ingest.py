@@ -3,40 +3,39 @@
 Default mode (no existence check, no budget): one job. Statuses are per-row
 expressions, counted with ``observe`` while the filtered put rows are written.
 
-Only-new modes or a byte budget:
-  control columns (key, ms time, size, gate flags) -> statuses (narrow joins),
-      checkpointed once
+Only-new modes or a byte budget, the same way at every size:
+  control columns (key, ms time, size, gate flags) -> statuses (one narrow join),
+      written once to the shared folder and deleted after the batch
   budget cutoff over the written control rows      -> one (ts, seq) scalar
-  status counts (<= 7 rows)                        -> metrics, rejects, broadcast choice
-  records semi-joined to the written seqs (broadcast within a row bound, else
-      the gate plan again: top-1 per key -> anti join) -> put rows -> write
-The payload is read once, by the write job.
+  records joined to the written (row_key, write_ts, seq) -> put rows -> write
+Payload moves, if the planner needs it to, only in that last join.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cellar.operators import budget, gates
 from cellar.operators.metrics import status_counts
 from cellar.operators.project import put_rows, with_row_key
 from cellar.options import CrawlOptions
-from cellar.runtime import DEFAULT_BROADCAST_ROWS, ensure_checkpoint_dir
+from cellar.runtime import delete_path, write_stage
 from cellar.sources.crawl_log import normalize_records
-from cellar.sources.table import CrawlTable
+from cellar.sources.table import KEY_BUCKETS, CrawlTable, key_bucket
 
 
 @dataclass
 class IngestPlan:
-    statuses: DataFrame  # seq, row_key, write_ts, content_size, status
+    statuses: DataFrame  # seq, row_key, write_ts, content_size, bytes, status
     puts: DataFrame  # put rows to store
     cutoff: object  # budget cutoff (ts, seq), "none", or None
     counts: list | None = None  # (status, records, bytes) when materialised
+    stages: list[str] = field(default_factory=list)  # paths to delete once nothing reads the plan
+    stored: Observation | None = None  # payload bytes of the put rows, known after their write
 
 
 def plan_ingest(
@@ -51,43 +50,47 @@ def plan_ingest(
 
     ``keys``: stored rows (anything with ``row_key``) the only-new modes check
     against; None means an empty table. ``already_bytes``: bytes written
-    before this input, for the byte budget. ``materialize``: checkpoint the
-    narrow statuses once, so the budget, the metrics and the write all reuse
-    them instead of re-running the existence check.
+    before this input, for the byte budget. ``materialize``: write the narrow
+    statuses once, so the budget, the metrics and the puts all reuse them
+    instead of repeating the existence check.
     """
     records = prepare_records(records, opts)
     statuses = gates.write_status(records, keys, opts)
-    # the budget reads the join-based statuses a second time: materialise them once
-    materialize = materialize or (opts.only_new and opts.max_total_bytes > 0)
-    observed = None
-    if materialize:
-        from pyspark.sql import Observation
-
-        ensure_checkpoint_dir(records.sparkSession)
-        obs = Observation(f"cellar_status_{uuid.uuid4().hex[:12]}")
-        # counts ride along with the checkpoint job (no extra pass)
-        statuses = statuses.observe(obs, *_status_metrics("status")).checkpoint(eager=True)
-        observed = _parse_metrics(obs.get)
+    stages: list[str] = []
+    # the budget reads the join-based statuses a second time: write them once
+    measured = opts.max_total_bytes > 0  # else the payload is measured when it is written
+    if materialize or (opts.only_new and measured):
+        statuses = statuses if measured else statuses.withColumn("bytes", F.col("content_size"))
+        statuses, path = write_stage(statuses, "statuses")
+        stages.append(path)
     cutoff = None
     if opts.max_total_bytes > 0:
         written = statuses.filter(F.col("status") == gates.WRITTEN)
         cutoff = budget.cutoff_key(written, opts.max_total_bytes, already_bytes)
-        statuses = statuses.withColumn(
-            "status",
-            F.when(~budget.within_cutoff(cutoff), F.lit(gates.OVER_BUDGET)).otherwise(F.col("status")),
-        )
-    counts = None
-    if materialize:
-        # counts answer every later question; recount only if the budget changed statuses
-        if cutoff is None:
-            counts = observed
-        else:
-            counts = [(r["status"], int(r["records"]), int(r["bytes"])) for r in status_counts(statuses).collect()]
-        n_written = sum(n for st, n, _ in counts if st == gates.WRITTEN)
-        puts = _puts_from_statuses(records, statuses, opts, keys, batch_id, cutoff, n_written=n_written)
+        statuses = statuses.withColumn("status", _after_budget(F.col("status"), cutoff))
+    counts, twice, stored = None, False, None
+    if stages:
+        counts = [(r["status"], int(r["records"]), int(r["bytes"])) for r in status_counts(statuses).collect()]  # <= 7 rows
+    chosen = statuses.filter(F.col("status") == gates.WRITTEN)
+    if opts.only_new:
+        picked = gates.pick(records, chosen, opts)
+        if stages:  # a record delivered twice in one input is one write
+            n = sum(c for st, c, _ in counts if st == gates.WRITTEN)
+            twice = chosen.select("row_key").distinct().count() < n
+        picked = picked.dropDuplicates(["row_key"]) if twice else picked
+        if stages and not measured:
+            stored = Observation(f"cellar_stored_{uuid.uuid4().hex[:12]}")
+            picked = picked.observe(stored, F.sum(F.coalesce(F.octet_length("raw_data"), F.lit(0))).alias("bytes"))
+        puts = put_rows(picked, opts, batch_id)
     else:
-        puts = _puts_direct(records, opts, keys, batch_id, cutoff)
-    return IngestPlan(statuses, puts, cutoff, counts)
+        puts = put_rows(gates.writable(records, None, opts), opts, batch_id)
+        puts = puts.filter(budget.within_cutoff(cutoff)) if cutoff is not None else puts
+    return IngestPlan(statuses, puts, cutoff, counts, stages, stored)
+
+
+def _after_budget(status: Column, cutoff) -> Column:
+    """Records after the cutoff are over budget; a URL that cannot be keyed is rejected wherever it falls."""
+    return F.when((status != gates.REJECTED) & ~budget.within_cutoff(cutoff), F.lit(gates.OVER_BUDGET)).otherwise(status)
 
 
 def prepare_records(records: DataFrame, opts: CrawlOptions) -> DataFrame:
@@ -100,25 +103,11 @@ def prepare_records(records: DataFrame, opts: CrawlOptions) -> DataFrame:
     return records
 
 
-def _puts_direct(records, opts, keys, batch_id, cutoff) -> DataFrame:
-    puts = put_rows(gates.writable(records, keys, opts), opts, batch_id)
-    return puts.filter(budget.within_cutoff(cutoff)) if cutoff is not None else puts
-
-
-def _puts_from_statuses(records, statuses, opts, keys, batch_id, cutoff,
-                        max_rows: int = DEFAULT_BROADCAST_ROWS, n_written: int | None = None) -> DataFrame:
-    """Payload of the written records, selected by ``seq`` (unique per input).
-
-    The written set is counted first: within ``max_rows`` it is broadcast and
-    the records are filtered in place (no payload shuffle, no second existence
-    check); beyond it the write plan is recomputed from the records.
-    """
-    written = statuses.filter(F.col("status") == gates.WRITTEN).select("seq")
-    n = n_written if n_written is not None else written.limit(max_rows + 1).count()
-    if n > max_rows:
-        return _puts_direct(records, opts, keys, batch_id, cutoff)
-    chosen = records.join(F.broadcast(written), "seq", "left_semi")
-    return put_rows(chosen, opts, batch_id)
+def batch_buckets(records: DataFrame, opts: CrawlOptions) -> list[int]:
+    """Buckets that the records' keys fall into (at most ``KEY_BUCKETS`` numbers)."""
+    keyed = with_row_key(prepare_records(records, opts), opts).filter(F.col("row_key").isNotNull())
+    found = keyed.select(key_bucket().alias("b")).distinct().limit(KEY_BUCKETS).collect()
+    return sorted(r["b"] for r in found)
 
 
 def ingest(
@@ -131,69 +120,68 @@ def ingest(
     """Write one batch into ``table`` and return its status counts.
 
     Retrying the same ``batch_id`` with the same input gives the same table:
-    the existence check ignores the batch's own partition and the write
-    replaces that partition.
+    the existence check ignores the batch's own rows and the write replaces
+    them. Side outputs are computed from the stored rows of the batch.
     """
     opts = opts or table.opts
     table.ensure()
-    if not opts.only_new and opts.max_total_bytes <= 0 and not opts.side_outputs:
-        return _ingest_one_pass(records, table, batch_id, opts)
-    keys = table.keys(exclude_batch=batch_id) if opts.only_new else None
-    if already_bytes is None:
-        already_bytes = written_bytes_before(table, batch_id) if opts.max_total_bytes > 0 else 0
-    plan = plan_ingest(records, opts, keys, batch_id, already_bytes, materialize=True)
-    if opts.side_outputs:
-        puts = plan.puts.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            table.write_batch(puts, batch_id)
-            for name, (fn, target) in opts.side_outputs.items():
-                rows = fn(puts)
-                rows.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode("overwrite").option(
-                    "partitionOverwriteMode", "dynamic"
-                ).partitionBy("batch_id").parquet(target)
-        finally:
-            puts.unpersist()
+    if not opts.only_new and opts.max_total_bytes <= 0:
+        counts = _ingest_one_pass(records, table, batch_id, opts)
     else:
-        table.write_batch(plan.puts, batch_id)
-    if any(st == gates.REJECTED and n > 0 for st, n, _ in plan.counts):
+        counts = _ingest_decided(records, table, batch_id, opts, already_bytes)
+    for fn, target in opts.side_outputs.values():
+        rows = fn(table.partition(batch_id))
+        rows.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("batch_id").parquet(target)
+    if any(st == gates.REJECTED and n > 0 for st, n, _ in counts):
         write_rejects(table, records, opts, batch_id)
-    counts = table.spark.createDataFrame(
-        [(st, n, b, int(batch_id)) for st, n, b in plan.counts],
+    out = table.spark.createDataFrame(
+        [(st, n, b, int(batch_id)) for st, n, b in counts],
         "status string, records bigint, bytes bigint, batch_id bigint",
     )
-    record_metrics(table, counts, batch_id)
-    return counts
+    record_metrics(table, out, batch_id)
+    return out
 
 
-def _ingest_one_pass(records: DataFrame, table: CrawlTable, batch_id: int, opts: CrawlOptions) -> DataFrame:
+def _ingest_decided(records, table: CrawlTable, batch_id: int, opts: CrawlOptions, already_bytes: int | None) -> list:
+    """Statuses first, then the payload of what is written; returns (status, records, bytes)."""
+    keys = table.keys(exclude_batch=batch_id, buckets=batch_buckets(records, opts)) if opts.only_new else None
+    if already_bytes is None:
+        already_bytes = written_bytes_before(table, batch_id) if opts.max_total_bytes > 0 else 0
+    plan = plan_ingest(records, opts, keys, batch_id, already_bytes, materialize=True)
+    try:
+        table.write_batch(plan.puts, batch_id)
+    finally:
+        for p in plan.stages:
+            delete_path(table.spark, p)
+    if plan.stored is None:
+        return plan.counts
+    size = int(plan.stored.get["bytes"] or 0)
+    return [(st, n, size if st == gates.WRITTEN else b) for st, n, b in plan.counts]
+
+
+def _ingest_one_pass(records: DataFrame, table: CrawlTable, batch_id: int, opts: CrawlOptions) -> list:
     """Default mode (no existence check, no budget): every status is a per-row
     expression, so the write job itself computes the status counts through
     ``observe``; the input is read once. Rejects are collected only when the
     observed count says there are any."""
-    from pyspark.sql import Observation
-
-    spark = table.spark
     flagged = gates.with_status_flags(prepare_records(records, opts), opts)
     flagged = flagged.withColumn("__status", gates.status_expr(opts))
     obs = Observation(f"cellar_ingest_{uuid.uuid4().hex[:12]}")
     observed = flagged.observe(obs, *_status_metrics("__status"))
     puts = put_rows(observed.filter(F.col("__status") == F.lit(gates.WRITTEN)), opts, batch_id)
     table.write_batch(puts, batch_id)
-    rows = [(st, n, b, int(batch_id)) for st, n, b in _parse_metrics(obs.get)]
-    if any(r[0] == gates.REJECTED for r in rows):
-        write_rejects(table, records, opts, batch_id)
-    counts = spark.createDataFrame(rows, "status string, records bigint, bytes bigint, batch_id bigint")
-    record_metrics(table, counts, batch_id)
-    return counts
+    return _parse_metrics(obs.get)
 
 
 def _status_metrics(status: str) -> list:
-    """Per-status record and byte counts as ``observe`` aggregates."""
+    """Per-status record and payload byte counts as ``observe`` aggregates."""
     out = []
     for st in gates.STATUSES:
         hit = F.col(status) == F.lit(st)
         out.append(F.sum(F.when(hit, 1).otherwise(0)).cast("bigint").alias(f"n|{st}"))
-        out.append(F.sum(F.when(hit, F.col("content_size")).otherwise(0)).cast("bigint").alias(f"b|{st}"))
+        out.append(F.sum(F.when(hit, F.coalesce(F.octet_length("raw_data"), F.lit(0))).otherwise(0)).cast("bigint").alias(f"b|{st}"))
     return out
 
 

@@ -9,12 +9,17 @@ counts, as in the Spark queries.
 
 from __future__ import annotations
 
-from cellar.functions.keys import JAVA_TRIM, URL_PARTS
-from cellar.functions.html import HREF, TITLE, SCRIPT, STYLE, COMMENT, TAG, BLANKS
-from cellar.sources.crawl_log import MAX_CONTENT_BYTES
-
-P = URL_PARTS
-MAXB = MAX_CONTENT_BYTES
+# Written out here, not taken from the library: an oracle must not share the code it checks.
+P = r"^([^:/?#]+://(?:[^/?#@]+@)?)([^:/?#]+)(.*)$"
+JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+HREF = r'(?i)<a[ \t\r\n\f][^>]*?href="([^"]*)"'
+TITLE = r"(?is)<title[^>]*>(.*?)</title>"
+SCRIPT = r"(?is)<script[^>]*>.*?</script>"
+STYLE = r"(?is)<style[^>]*>.*?</style>"
+COMMENT = r"(?s)<!--.*?-->"
+TAG = r"<[^>]*>"
+BLANKS = r"[ \t\r\n\f]+"
+MAXB = 9000
 CRLF = "chr(13) || chr(10)"
 
 
@@ -55,7 +60,7 @@ keyed AS (
   FROM log),
 inc AS (SELECT * FROM keyed WHERE seq >= m // 5),
 ex AS (SELECT DISTINCT row_key FROM keyed WHERE seq < m // 5 AND content_size <= {MAXB}),
-puts AS (SELECT * FROM keyed WHERE content_size <= {MAXB})
+puts AS (SELECT * FROM keyed WHERE content_size <= 20 * 1024 * 1024)
 """
 
 
@@ -143,8 +148,7 @@ def _text_sql(h: str = "html") -> str:
     return f"trim(regexp_replace({h}, '{BLANKS}', ' ', 'g'))"
 
 
-WRITTEN_INC = f"winc AS (SELECT * FROM inc WHERE content_size <= {MAXB})"
-LINKS = f"""lk AS (SELECT row_key, seq, regexp_extract_all(html, '{HREF.replace("'", "''")}', 1) AS l FROM winc)"""
+LINKS = f"""lk AS (SELECT row_key, seq, regexp_extract_all(html, '{HREF.replace("'", "''")}', 1) AS l FROM puts)"""
 LINKS_OUT = "SELECT row_key, seq, unnest(range(len(l))) AS position, unnest(l) AS link FROM lk"
 
 STORED_OUT = f"""SELECT row_key, seq, CAST(CASE WHEN seq < m // 5 THEN 0 ELSE 1 END AS BIGINT) AS batch_id,
@@ -159,13 +163,9 @@ FROM puts"""
 
 def _domain(domain: str) -> str:
     rev = ".".join(reversed(domain.split(".")))
-    conds = []
-    for s in ("http", "https"):
-        p = f"r:{s}://{rev}"
-        conds.append(
-            f"(starts_with(row_key, '{p}') AND substr(row_key, {len(p) + 1}, 1) IN ('.', '/', ':', '?', '#', ''))"
-        )
-    return " OR ".join(conds)
+    host = (f"array_to_string(list_reverse(list_filter(string_split(lower(regexp_extract(url, '{P}', 2)), '.'), "
+            "lambda x: x <> '')), '.')")
+    return f"{host} = '{rev}' OR starts_with({host}, '{rev}.')"
 
 
 ORACLE: dict[str, str] = {
@@ -177,7 +177,7 @@ ORACLE: dict[str, str] = {
     "row_key": _with() + "SELECT seq, url, row_key FROM keyed",
     "row_key_md5": _with() + "SELECT seq, row_key, md5(row_key) AS row_key_md5 FROM keyed",
     "resolve_ip": _with(
-        f"hosts AS (SELECT DISTINCT regexp_extract(url, '{P}', 2) AS host FROM pages WHERE page_id % 10 <> 0)",
+        f"hosts AS (SELECT DISTINCT regexp_extract(url, '{P}', 2) AS host FROM pages)",
         "hip AS (SELECT host, min('192.0.2.' || (length(host) % 250)) AS ip FROM hosts GROUP BY host)",
     ) + f"""SELECT k.seq, regexp_extract(k.url, '{P}', 2) AS host, hip.ip,
        CASE WHEN hip.ip IS NOT NULL THEN 'resolved' ELSE 'missing' END AS ip_status
@@ -194,14 +194,15 @@ FROM keyed""",
     "annotate": _with() + f"SELECT seq, CASE WHEN content_size > {MAXB} THEN 'unwritten:size' ELSE '' END AS annotations FROM keyed",
     "write_new": _with(
         f"""cand AS (SELECT * FROM inc WHERE content_size <= {MAXB} AND row_key NOT IN (SELECT row_key FROM ex))"""
-    ) + "SELECT row_key, arg_min(seq, row(write_ms, seq)) AS seq FROM cand GROUP BY row_key",
+    ) + """SELECT row_key, arg_min(seq, row(write_ms, seq)) AS seq, arg_min(md5(raw_text), row(write_ms, seq)) AS raw_md5
+FROM cand GROUP BY row_key""",
     "process_new": _with(FIRST_WRITE, KNOWN) + f"""SELECT seq, row_key,
        CASE WHEN content_size > {MAXB} THEN 'unwritten:size' ELSE 'written' END AS status
 FROM kn WHERE NOT known""",
     "write_status": _with(FIRST_WRITE, KNOWN, WRITE_STATUS) + "SELECT seq, row_key, status FROM st2",
     "existing_records": _with() + "SELECT seq, row_key FROM inc WHERE row_key IN (SELECT row_key FROM ex)",
-    "total_bytes": _with() + f"""SELECT count(*) AS records, CAST(coalesce(sum(content_size), 0) AS BIGINT) AS total_bytes
-FROM inc WHERE content_size <= {MAXB}""",
+    "total_bytes": _with() + """SELECT count(*) AS records, CAST(coalesce(sum(content_size), 0) AS BIGINT) AS total_bytes
+FROM puts""",
     "status_counts": _with(FIRST_WRITE, KNOWN, WRITE_STATUS) + """SELECT status, count(*) AS records,
        CAST(coalesce(sum(content_size), 0) AS BIGINT) AS bytes FROM st2 GROUP BY status""",
     "latest_cells": _with(_cells_sql()) + """SELECT row_key, family, qualifier,
@@ -218,13 +219,13 @@ FROM cells GROUP BY row_key, family, qualifier""",
        max(fetch_ms) AS fetch_ts, max(write_ms) AS write_ts, count(*) AS n_versions
 FROM puts GROUP BY row_key""",
     "byte_budget": _with(
-        f"""w AS (SELECT seq, row_key, sum(content_size) OVER (ORDER BY write_ms, seq
+        """w AS (SELECT seq, row_key, md5(raw_text) AS raw_md5, sum(strlen(raw_text)) OVER (ORDER BY write_ms, seq
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior
-          FROM inc WHERE content_size <= {MAXB})"""
-    ) + "SELECT seq, row_key FROM w WHERE coalesce(prior, 0) <= (SELECT 500 * m FROM cnt)",
-    "extract_title": _with(WRITTEN_INC) + f"SELECT row_key, seq, {TITLE_SQL} AS title FROM winc",
-    "extract_links": _with(WRITTEN_INC, LINKS) + LINKS_OUT,
-    "extract_text": _with(WRITTEN_INC, f"tx AS (SELECT row_key, seq, {_text_sql()} AS text FROM winc)")
+          FROM puts)"""
+    ) + "SELECT seq, row_key, raw_md5 FROM w WHERE coalesce(prior, 0) <= (SELECT 500 * m FROM cnt)",
+    "extract_title": _with() + f"SELECT row_key, seq, {TITLE_SQL} AS title FROM puts",
+    "extract_links": _with(LINKS) + LINKS_OUT,
+    "extract_text": _with(f"tx AS (SELECT row_key, seq, {_text_sql()} AS text FROM puts)")
     + "SELECT row_key, seq, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS text_chars FROM tx",
     "put_rows": _with() + STORED_OUT,
     "table_scan": _with() + """SELECT row_key, seq, url, CAST(strlen(raw_text) AS BIGINT) AS raw_bytes FROM puts""",
@@ -236,13 +237,13 @@ FROM pk LEFT JOIN agg ON agg.row_key = pk.row_key""",
     "domain_scan": _with() + f"SELECT row_key, seq, url FROM puts WHERE {_domain('example.org')}",
     "key_order": _with() + """SELECT row_key, seq, CAST(CASE WHEN seq < m // 5 THEN 0 ELSE 1 END AS BIGINT) AS batch_id
 FROM puts""",
-    "ensure_table": _with() + "SELECT row_key, seq, CAST(0 AS BIGINT) AS batch_id FROM puts WHERE seq < m // 5",
+    "ensure_table": _with() + "SELECT row_key, seq, CAST(0 AS BIGINT) AS batch_id FROM puts",
     "evolve_table": _with() + f"""SELECT row_key, seq, CAST(CASE WHEN seq < m // 5 THEN 0 ELSE 1 END AS BIGINT) AS batch_id,
        CASE WHEN seq >= m // 5 THEN {TITLE_SQL} END AS title FROM puts""",
-    "hook_side_output": _with(WRITTEN_INC, LINKS) + LINKS_OUT,
+    "hook_side_output": _with(LINKS) + LINKS_OUT,
     "stream_ingest": _with(
         f"""cand AS (SELECT * FROM inc WHERE content_size <= {MAXB} AND row_key NOT IN (SELECT row_key FROM ex))"""
-    ) + """SELECT row_key, seq FROM puts WHERE seq < m // 5
+    ) + f"""SELECT row_key, seq FROM puts WHERE seq < m // 5 AND content_size <= {MAXB}
 UNION ALL
 SELECT row_key, arg_min(seq, row(write_ms, seq)) AS seq FROM cand GROUP BY row_key""",
 }

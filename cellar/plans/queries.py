@@ -3,7 +3,12 @@
 Each function takes ``(spark, sf_dir)`` and returns a DataFrame; column names
 match the DuckDB oracle in ``cellar.plans.oracle``. All of them read the whole
 ``events`` and ``pages`` tables; payload and BINARY values are reported as MD5
-hex and byte counts.
+hex and byte counts. Where a stored table takes part, the first fifth of the
+log is stored and the rest comes in. The 9,000-byte limit holds only in the
+queries about gates; elsewhere it is the default.
+
+Queries on a physical table write it in the shared folder, open it a second
+time by name, keep their (narrow) result and drop the table and its files.
 """
 
 from __future__ import annotations
@@ -17,20 +22,20 @@ from cellar.functions import html
 from cellar.functions.body import response_body
 from cellar.functions.keys import row_key
 from cellar.operators import gates
-from cellar.operators.budget import ntz_literal
-from cellar.operators.cells import cells, latest_cells_from_puts, latest_wide
+from cellar.operators.cells import cells, latest_cells, latest_wide
 from cellar.operators.hooks import base64_serializer, links, resolve_ip, title_hook
 from cellar.operators.metrics import status_counts, total_bytes
 from cellar.operators.project import with_row_key
 from cellar.options import CrawlOptions
 from cellar.plans.ingest import ingest, plan_ingest
-from cellar.runtime import scratch_path
+from cellar.runtime import delete_path, scratch_path, write_stage
 from cellar.sources.crawl_log import MAX_CONTENT_BYTES, CrawlLog, crawl_log, ip_hosts
 from cellar.sources.table import CrawlTable
 from cellar.streaming.ingest import read_record_stream, start_ingest
 
 # Fixed settings of the fixture queries.
-BASE = CrawlOptions(table="crawl", max_content_bytes=MAX_CONTENT_BYTES)
+BASE = CrawlOptions(table="crawl")
+GATED = BASE.with_(max_content_bytes=MAX_CONTENT_BYTES)
 RENAMED = BASE.with_(
     content_family="newcontent",
     content_qualifier="body",
@@ -50,7 +55,7 @@ def _log(spark: SparkSession, sf_dir: str) -> CrawlLog:
     return crawl_log(spark, sf_dir)
 
 
-def _existing_puts(log: CrawlLog, opts: CrawlOptions = BASE) -> DataFrame:
+def _existing_puts(log: CrawlLog, opts: CrawlOptions = GATED) -> DataFrame:
     """The table before the incoming part: default-mode ingest of the first fifth."""
     return plan_ingest(log.existing(), opts, batch_id=0).puts
 
@@ -133,12 +138,12 @@ def q_serialize_cells(spark, sf_dir):
 # ---- F1-F7, J1-J3 -------------------------------------------------------------
 
 def q_size_gate(spark, sf_dir):
-    r = with_row_key(_log(spark, sf_dir).records, BASE)
-    return r.filter(gates.size_ok(BASE)).select("seq", "row_key", "content_size")
+    r = with_row_key(_log(spark, sf_dir).records, GATED)
+    return r.filter(gates.size_ok(GATED)).select("seq", "row_key", "content_size")
 
 
 def q_base_gate(spark, sf_dir):
-    opts = BASE.with_(
+    opts = GATED.with_(
         base_process_gate=~F.col("url").contains(EXCLUDED_DOMAIN_PART),
         base_write_gate=F.octet_length("request") > 0,
     )
@@ -148,26 +153,25 @@ def q_base_gate(spark, sf_dir):
 
 def q_annotate(spark, sf_dir):
     r = _log(spark, sf_dir).records
-    st = gates.write_status(r, None, BASE)
-    out = gates.annotate(r.select("seq", "annotations"), st)
+    out = gates.annotate(r, GATED)
     return out.select("seq", F.array_join("annotations", "|").alias("annotations"))
 
 
 def q_write_new(spark, sf_dir):
     log = _log(spark, sf_dir)
-    p = plan_ingest(log.incoming(), BASE.with_(only_write_new=True), keys=_existing_puts(log), batch_id=1)
-    return p.puts.select("row_key", "seq")
+    p = plan_ingest(log.incoming(), GATED.with_(only_write_new=True), keys=_existing_puts(log), batch_id=1)
+    return p.puts.select("row_key", "seq", F.md5("content__raw_data").alias("raw_md5"))
 
 
 def q_process_new(spark, sf_dir):
     log = _log(spark, sf_dir)
-    st = gates.write_status(log.incoming(), _existing_puts(log), BASE.with_(only_process_new=True))
+    st = gates.write_status(log.incoming(), _existing_puts(log), GATED.with_(only_process_new=True))
     return st.filter(F.col("status") != gates.NOT_PROCESSED).select("seq", "row_key", "status")
 
 
 def _write_status(spark, sf_dir):
     log = _log(spark, sf_dir)
-    opts = BASE.with_(only_write_new=True, max_total_bytes=log.max_total_bytes // 20)
+    opts = GATED.with_(only_write_new=True, max_total_bytes=log.max_total_bytes // 20)
     return plan_ingest(log.incoming(), opts, keys=_existing_puts(log), batch_id=1).statuses
 
 
@@ -184,8 +188,7 @@ def q_existing_records(spark, sf_dir):
 # ---- A1-A4 ---------------------------------------------------------------------
 
 def q_total_bytes(spark, sf_dir):
-    log = _log(spark, sf_dir)
-    return total_bytes(gates.writable(log.incoming(), None, BASE))
+    return total_bytes(gates.writable(_log(spark, sf_dir).records, None, BASE))
 
 
 def q_status_counts(spark, sf_dir):
@@ -193,7 +196,7 @@ def q_status_counts(spark, sf_dir):
 
 
 def q_latest_cells(spark, sf_dir):
-    lat = latest_cells_from_puts(_all_puts(_log(spark, sf_dir)), BASE)
+    lat = latest_cells(_all_puts(_log(spark, sf_dir)), BASE)
     return lat.select("row_key", "family", "qualifier", "ts", "seq", F.md5("value").alias("value_md5"))
 
 
@@ -216,15 +219,14 @@ def q_latest_wide(spark, sf_dir):
 
 def q_byte_budget(spark, sf_dir):
     log = _log(spark, sf_dir)
-    p = plan_ingest(log.incoming(), BASE.with_(max_total_bytes=log.max_total_bytes), batch_id=1)
-    return p.puts.select("seq", "row_key")
+    p = plan_ingest(log.records, BASE.with_(max_total_bytes=log.max_total_bytes), batch_id=1)
+    return p.puts.select("seq", "row_key", F.md5("content__raw_data").alias("raw_md5"))
 
 
 # ---- U3 ---------------------------------------------------------------------------
 
 def _written_with_body(spark, sf_dir) -> DataFrame:
-    log = _log(spark, sf_dir)
-    w = gates.writable(log.incoming(), None, BASE)
+    w = gates.writable(_log(spark, sf_dir).records, None, BASE)
     return w.select("row_key", "seq", response_body("raw_data").alias("body"))
 
 
@@ -249,32 +251,51 @@ def _table_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
-def _stored(spark, sf_dir, opts: CrawlOptions = BASE) -> CrawlTable:
+def _new_table(spark, opts: CrawlOptions) -> CrawlTable:
+    name = _table_name("crawl")
+    return CrawlTable(spark, opts.with_(table=name), scratch_path(spark, f"table-{name}"))
+
+
+def _reopened(t: CrawlTable, opts: CrawlOptions = BASE) -> CrawlTable:
+    """A second table object, opened by name alone."""
+    return CrawlTable(t.spark, opts.with_(table=t.name))
+
+
+def _stored(spark, sf_dir) -> CrawlTable:
     """The default-mode ingest of the log written as two batches (0: first fifth)."""
     log = _log(spark, sf_dir)
-    t = CrawlTable(spark, opts.with_(table=_table_name("crawl")))
+    t = _new_table(spark, BASE)
     ingest(log.existing(), t, 0)
-    ingest(log.incoming(), t, 1)
-    return t
+    ingest(log.incoming(), _reopened(t), 1)
+    return _reopened(t)
+
+
+def _result(t: CrawlTable, df: DataFrame, *paths: str) -> DataFrame:
+    """The result written out; then the table, its files and ``paths`` go."""
+    out, _ = write_stage(df, "result")
+    t.drop(purge=True)
+    for p in paths:
+        delete_path(t.spark, p)
+    return out
 
 
 def q_put_rows(spark, sf_dir):
     t = _stored(spark, sf_dir)
-    return t.scan().select(
+    return _result(t, t.scan().select(
         "row_key", "seq", "batch_id", "fetch_ts", "write_ts",
         F.col("curi__url").alias("url"), F.col("curi__ip").alias("ip"),
         F.col("curi__is_seed").alias("is_seed"), F.col("curi__path_from_seed").alias("path_from_seed"),
         F.col("curi__via").alias("via"), F.md5("curi__request").alias("request_md5"),
         F.md5("content__raw_data").alias("raw_md5"),
-    )
+    ))
 
 
 def q_table_scan(spark, sf_dir):
     t = _stored(spark, sf_dir)
-    return t.scan("row_key", "seq", "curi__url", "content__raw_data").select(
+    return _result(t, t.scan("row_key", "seq", "curi__url", "content__raw_data").select(
         "row_key", "seq", F.col("curi__url").alias("url"),
         F.octet_length("content__raw_data").cast("bigint").alias("raw_bytes"),
-    )
+    ))
 
 
 def q_lookup_keys(spark, sf_dir):
@@ -282,92 +303,83 @@ def q_lookup_keys(spark, sf_dir):
     wanted = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", row_key("url").alias("row_key"))
     found = t.lookup(wanted).groupBy("row_key").agg(
         F.count(F.lit(1)).alias("n_versions"), F.max("seq").alias("max_seq"))
-    return wanted.join(found, "row_key", "left").select(
-        "page_id", "row_key", F.coalesce("n_versions", F.lit(0)).cast("bigint").alias("n_versions"), "max_seq")
+    return _result(t, wanted.join(found, "row_key", "left").select(
+        "page_id", "row_key", F.coalesce("n_versions", F.lit(0)).cast("bigint").alias("n_versions"), "max_seq"))
 
 
 def q_domain_scan(spark, sf_dir):
     t = _stored(spark, sf_dir)
-    return t.domain_scan(DOMAIN).select("row_key", "seq", F.col("curi__url").alias("url"))
+    return _result(t, t.domain_scan(DOMAIN).select("row_key", "seq", F.col("curi__url").alias("url")))
 
 
 def q_key_order(spark, sf_dir):
     t = _stored(spark, sf_dir)
-    c = t.compact(scratch_path(spark, "compacted"))
-    return c.select("row_key", "seq", "batch_id")
+    t.compact()
+    return _result(t, _reopened(t).scan("row_key", "seq", "batch_id"))
 
 
 def q_ensure_table(spark, sf_dir):
     log = _log(spark, sf_dir)
-    t = CrawlTable(spark, BASE.with_(table=_table_name("crawl"))).ensure()
-    ingest(log.existing(), t, 0)
-    return t.scan("row_key", "seq", "batch_id")
+    t = _new_table(spark, BASE).ensure()
+    ingest(log.records, _reopened(t).ensure(), 0)
+    return _result(t, _reopened(t).scan("row_key", "seq", "batch_id"))
 
 
 def q_evolve_table(spark, sf_dir):
     log = _log(spark, sf_dir)
-    name = _table_name("crawl")
-    t0 = CrawlTable(spark, BASE.with_(table=name))
+    t0 = _new_table(spark, BASE)
     ingest(log.existing(), t0, 0)
-    t1 = CrawlTable(spark, BASE.with_(table=name, content_hook=title_hook()), location=t0.location)
+    t1 = _reopened(t0, BASE.with_(content_hook=title_hook()))
     ingest(log.incoming(), t1, 1)
-    return t1.scan("row_key", "seq", "batch_id", "parse__title").withColumnRenamed("parse__title", "title")
+    return _result(t1, _reopened(t1).scan("row_key", "seq", "batch_id", "parse__title").withColumnRenamed("parse__title", "title"))
 
 
 def q_hook_side_output(spark, sf_dir):
     log = _log(spark, sf_dir)
     target = scratch_path(spark, "links")
-    opts = BASE.with_(table=_table_name("crawl"), content_hook=lambda d: d.withColumn("parse__n_links", F.size(html.extract_links(html.as_text("body")))),
-                      side_outputs={"links": (lambda p: links(p.withColumn("body", response_body("content__raw_data"))), target)})
-    t = CrawlTable(spark, opts)
-    ingest(log.incoming(), t, 1)
+    t = _new_table(spark, BASE.with_(
+        content_hook=lambda d: d.withColumn("parse__n_links", F.size(html.extract_links(html.as_text("body")))),
+        side_outputs={"links": (lambda p: links(p.withColumn("body", response_body("content__raw_data"))), target)}))
+    ingest(log.records, t, 1)
     out = spark.read.parquet(target)
-    return out.select("row_key", "seq", F.col("position").cast("bigint").alias("position"), "link")
+    return _result(t, out.select("row_key", "seq", F.col("position").cast("bigint").alias("position"), "link"), target)
 
 
 # ---- T1-T4 ---------------------------------------------------------------------------
 
-STREAM_FILES = 10
+# Records per source file of the stream query.
+STREAM_FILE_ROWS = 10_000
 
 
 def q_stream_ingest(spark, sf_dir):
-    """Incoming records as 10 files in arrival order, streamed with availableNow
+    """Incoming records as files in arrival order, streamed with availableNow
     and one file per trigger into a table that holds the first fifth."""
     log = _log(spark, sf_dir)
-    t = CrawlTable(spark, BASE.with_(table=_table_name("crawl"), only_write_new=True))
+    t = _new_table(spark, GATED.with_(only_write_new=True))
     ingest(log.existing(), t, 0, opts=t.opts.with_(only_write_new=False))
-    src = scratch_path(spark, "stream-src")
-    _write_arrival_chunks(log.incoming(), src, STREAM_FILES)
-    stream = read_record_stream(spark, src, max_files_per_trigger=1)
-    q = start_ingest(stream, t, scratch_path(spark, "stream-ckpt"))
+    src, state = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-ckpt")
+    _write_arrival_files(log.incoming(), src, max(2, -(-log.n_events // STREAM_FILE_ROWS)))
+    q = start_ingest(read_record_stream(spark, src, max_files_per_trigger=1), t, state)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return t.scan("row_key", "seq")
+    return _result(t, _reopened(t, GATED).scan("row_key", "seq"), src, state)
 
 
-def _write_arrival_chunks(records: DataFrame, path: str, n: int) -> None:
-    """Split records into ``n`` arrival-ordered chunks and publish them one
-    after another, so the file source sees them in arrival order.
+def _write_arrival_files(records: DataFrame, path: str, n: int) -> None:
+    """Write records as ``n`` files in arrival order, by one range-partitioned job.
 
-    Chunk bounds are ``n - 1`` approximate quantiles of ``write_ts`` (one
-    aggregate, ``n - 1`` values to the driver); each chunk is a plain range
-    filter, so no payload is shuffled. Equal ``write_ts`` values share a chunk,
-    which keeps chunks contiguous in (write_ts, seq) order.
+    The file source takes files by modification time, so the files' times are
+    then set in their order (part files are named by partition).
     """
-    import time
-
-    probs = [i / n for i in range(1, n)]
-    bounds = records.select(F.percentile_approx("write_ts", probs, 10_000).alias("b")).first()["b"] if n > 1 else []
-    edges = [None, *sorted(set(bounds)), None]
-    for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("write_ts") >= ntz_literal(lo))
-        if hi is not None:
-            cond = cond & (F.col("write_ts") < ntz_literal(hi))
-        records.filter(cond).coalesce(1).write.parquet(f"{path}/chunk={i:04d}")
-        time.sleep(0.02)
+    spark = records.sparkSession
+    records.repartitionByRange(n, "write_ts", "seq").write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    files = sorted((f.getPath().getName(), f) for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    start = min((f.getModificationTime() for _, f in files), default=0)
+    for i, (_, f) in enumerate(files):
+        fs.setTimes(f.getPath(), start + 1000 * i, -1)
 
 
 QUERIES = {

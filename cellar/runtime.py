@@ -1,4 +1,4 @@
-"""Session-level helpers: the shared scratch folder and size-checked broadcast."""
+"""Session-level helpers: the shared scratch folder, written stage tables and file moves."""
 
 from __future__ import annotations
 
@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Largest row count we hand to broadcast() after checking it.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def _conf(spark: SparkSession, key: str) -> str | None:
@@ -25,10 +21,15 @@ def _conf(spark: SparkSession, key: str) -> str | None:
     return v or None
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return (_conf(spark, "spark.master") or "").split("[")[0] == "local"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) do we set one of our own.
+    Unset, it is an error on a cluster: executors would each write to their own
+    disk. Only a single-JVM session (tests) gets a folder of its own.
     """
     root = _conf(spark, "spark.checkpoint.dir")
     if not root:
@@ -37,6 +38,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001
             root = None
     if not root:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="cellar-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -48,19 +51,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/cellar/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable (sets the SparkContext dir from the conf)."""
-    root = checkpoint_root(spark)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # noqa: BLE001
-        pass
+def write_stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet in the shared folder; the table read back, and its
+    path for ``delete_path`` once no plan reads it any more."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+# ---- files, through the file system that owns the path -------------------------
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p  # noqa: SLF001
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return bool(fs.exists(p))
+
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting it below ``max_rows``; else leave the
-    join to a shuffle. Meant for already-materialised, small summaries."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _file_system(spark, source)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):  # noqa: SLF001
+        raise OSError(f"could not rename {source} to {target}")

@@ -3,6 +3,8 @@
 A record is one fetch. Schema (``RECORD_COLUMNS``): seq, url, ip, fetch_ts,
 write_ts, is_seed, path_from_seed, via, request, raw_data, content_size,
 annotations. ``content_size`` lets gate plans run without reading payload.
+A missing size is the payload's length and a missing store time the fetch time,
+row by row, in batch and stream alike.
 """
 
 from __future__ import annotations
@@ -48,16 +50,27 @@ def normalize_records(df: DataFrame) -> DataFrame:
     for name, default in defaults.items():
         if name not in cols:
             out = out.withColumn(name, default)
-    if "write_ts" not in cols:
-        out = out.withColumn("write_ts", F.col("fetch_ts"))
-    if "content_size" not in cols:
-        out = out.withColumn("content_size", F.octet_length("raw_data").cast("bigint"))
+    stored = F.col("write_ts") if "write_ts" in cols else F.lit(None).cast("timestamp_ntz")
+    out = out.withColumn("write_ts", F.coalesce(stored, F.col("fetch_ts")))
+    if "content_size" not in cols or out.schema["content_size"].nullable:
+        size = F.col("content_size") if "content_size" in cols else F.lit(None)
+        out = out.withColumn("content_size", F.coalesce(size.cast("bigint"), F.octet_length("raw_data").cast("bigint"), F.lit(0).cast("bigint")))
     return out.select(*RECORD_COLUMNS, *[c for c in out.columns if c not in RECORD_COLUMNS])
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Crawl records stored as Parquet (schema enforced, no inference)."""
-    return normalize_records(spark.read.parquet(path))
+def read_records(spark: SparkSession, path: str, sizes_complete: bool = False) -> DataFrame:
+    """Crawl records stored as Parquet (schema enforced, no inference).
+
+    ``sizes_complete`` promises that every record carries ``content_size``, so
+    that gate plans need not look at the payload for it; a record that breaks
+    the promise fails the job.
+    """
+    df = spark.read.parquet(path)
+    if sizes_complete:
+        broken = F.raise_error(F.lit("a record has no content_size")).cast("bigint")
+        size = F.when(F.col("content_size").isNotNull(), F.col("content_size")).otherwise(broken)
+        df = df.withColumn("content_size", F.coalesce(size, F.lit(0).cast("bigint")))
+    return normalize_records(df)
 
 
 @dataclass(frozen=True)
@@ -91,23 +104,6 @@ RESPONSE_HEAD = "HTTP/1.1 200 OK\r\nX: "
 VIA_PREFIX = "  http://via.example.org/"
 
 
-_COUNTS: dict[tuple[str, float], int] = {}
-
-
-def _row_count(df: DataFrame, path: str) -> int:
-    """Row count of a read-only input (Parquet footers), memoised per file version."""
-    import os
-
-    try:
-        stamp = os.path.getmtime(path)
-    except OSError:  # not a local path: count every time
-        return df.count()
-    key = (os.path.abspath(path), stamp)
-    if key not in _COUNTS:
-        _COUNTS[key] = df.count()
-    return _COUNTS[key]
-
-
 def crawl_log(spark: SparkSession, sf_dir: str) -> CrawlLog:
     """Derive the crawl log: one fetch per event, page picked by a growing window.
 
@@ -116,7 +112,7 @@ def crawl_log(spark: SparkSession, sf_dir: str) -> CrawlLog:
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    n_pages, n_events = _row_count(pages, f"{sf_dir}/pages.parquet"), _row_count(events, f"{sf_dir}/events.parquet")
+    n_pages, n_events = pages.count(), events.count()
 
     eid = F.col("event_id")
     ev = events.select(
@@ -152,19 +148,17 @@ def crawl_log(spark: SparkSession, sf_dir: str) -> CrawlLog:
         .otherwise(F.encode(F.concat(F.lit("GET "), F.col("url")), "UTF-8"))
         .alias("request"),
         F.encode(F.concat(head, F.col("html")), "UTF-8").alias("raw_data"),
-        (F.lit(len(RESPONSE_HEAD.encode()) + 4) + F.length(F.col("seq").cast("string")) + F.col("_html_bytes"))
-        .cast("bigint")
-        .alias("content_size"),
+        F.coalesce((F.lit(len(RESPONSE_HEAD.encode()) + 4) + F.length(F.col("seq").cast("string")) + F.col("_html_bytes"))
+                   .cast("bigint"), F.lit(0).cast("bigint")).alias("content_size"),
         F.array().cast("array<string>").alias("annotations"),
     )
     return CrawlLog(records, n_pages, n_events)
 
 
 def ip_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Host -> ip table of the fixture: distinct hosts of the pages, minus those
-    of every tenth page (so some fetches cannot be resolved)."""
+    """Host -> ip table of the fixture: all distinct hosts of the pages."""
     from cellar.functions.keys import url_host
 
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    hosts = pages.filter(F.col("page_id") % 10 != 0).select(url_host("url").alias("host")).distinct()
+    hosts = pages.select(url_host("url").alias("host")).distinct()
     return hosts.select("host", F.concat(F.lit("192.0.2."), (F.length("host") % 250).cast("string")).alias("ip"))

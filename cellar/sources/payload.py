@@ -20,6 +20,20 @@ def read_payload_files(spark: SparkSession, path: str, glob: str = "*") -> DataF
     )
 
 
+def with_payload(records: DataFrame, files: DataFrame, path: str = "payload_path") -> DataFrame:
+    """Records whose ``raw_data`` comes from ``files`` (see ``read_payload_files``) by their ``path`` column.
+
+    A record without a file there keeps its own ``raw_data``; the size follows
+    the payload. Join narrow records here, before any payload is attached.
+    """
+    f = files.select(F.col("path").alias("__path"), F.col("content").alias("__content"))
+    out = records.join(f, F.col(path) == F.col("__path"), "left")
+    own = F.col("raw_data") if "raw_data" in records.columns else F.lit(None).cast("binary")
+    size = F.col("content_size") if "content_size" in records.columns else F.lit(None).cast("bigint")
+    return (out.withColumn("content_size", F.coalesce(F.octet_length("__content").cast("bigint"), size))
+            .withColumn("raw_data", F.coalesce("__content", own)).drop("__path", "__content", path))
+
+
 def payload_sizes(records: DataFrame) -> DataFrame:
     """Byte lengths of request and response payloads of each record."""
     return records.select(

@@ -3,20 +3,25 @@
 Create-if-missing, schema evolution by column addition (case-insensitive
 family check), idempotent batch writes (static overwrite of the batch's
 partition), scans, key lookups, domain scans and key-ordered compaction.
+
+The files are the durable state: a table that the catalog knows is opened at
+the catalog's location, and a catalog that does not know it (a new session)
+recovers columns and partitions from the location given.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellar.functions.keys import domain_prefixes, under_domain
+from cellar.functions.keys import host_under_domain
 from cellar.operators.cells import latest_wide
 from cellar.options import CrawlOptions
-from cellar.runtime import scratch_path
+from cellar.runtime import delete_path, path_exists, rename_path
 
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
@@ -25,6 +30,7 @@ FIXED_FIELDS = [
     T.StructField("seq", T.LongType()),
     T.StructField("fetch_ts", T.TimestampNTZType()),
     T.StructField("write_ts", T.TimestampNTZType()),
+    T.StructField("host_rev", T.StringType()),
 ]
 CELL_TYPES = {
     "url": T.StringType(),
@@ -40,6 +46,17 @@ CELL_TYPES = {
 # Side tables kept next to the crawl table (one partition per batch).
 METRICS_DDL = "status STRING, records BIGINT, bytes BIGINT"
 REJECTS_DDL = "seq BIGINT, url STRING, reason STRING"
+# Buckets of the key side files, by key hash: a batch reads those its own keys fall into.
+KEY_BUCKETS = 16
+
+
+def key_bucket(key: str = "row_key") -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def _plain(path: str) -> str:
+    """A location without the local scheme and a closing slash, for comparison."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
 
 
 def put_schema(opts: CrawlOptions, extra: T.StructType | None = None) -> T.StructType:
@@ -59,7 +76,11 @@ def _ddl(schema: T.StructType) -> str:
 
 
 class CrawlTable:
-    """A named crawl table at ``location`` (defaults to the shared scratch folder)."""
+    """A named crawl table.
+
+    ``location`` is needed to create it, or to open it where the catalog does
+    not know it; a location that disagrees with the catalog is an error.
+    """
 
     def __init__(self, spark: SparkSession, opts: CrawlOptions, location: str | None = None):
         if not _NAME.match(opts.table or ""):
@@ -67,7 +88,22 @@ class CrawlTable:
         self.spark = spark
         self.opts = opts
         self.name = opts.table
-        self.location = location or scratch_path(spark, f"table-{opts.table}")
+        known = self._catalog_location()
+        if known and location and _plain(known) != _plain(location):
+            raise ValueError(f"table {self.name} is stored at {known}, not at {location}")
+        self._location = known or (location.rstrip("/") if location else None)
+
+    @property
+    def location(self) -> str:
+        if not self._location:
+            raise ValueError(f"table {self.name} does not exist: name a location on storage that all executors share")
+        return self._location
+
+    def _catalog_location(self) -> str | None:
+        if not self.exists():
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").filter("col_name = 'Location'").collect()
+        return rows[0]["data_type"].rstrip("/") if rows else None
 
     # ---- S5 / S6 ----------------------------------------------------------
     def exists(self) -> bool:
@@ -86,10 +122,9 @@ class CrawlTable:
         missing; also its per-batch metrics and rejects tables."""
         if not self.exists():
             schema = put_schema(self.opts, extra)
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name} ({_ddl(schema)}, batch_id BIGINT) "
-                f"USING parquet PARTITIONED BY (batch_id) LOCATION '{self.location}'"
-            )
+            if path_exists(self.spark, self.location):
+                schema = self._stored_schema(schema)
+            self._create(self.name, _ddl(schema), self.location)
         else:
             self.evolve(put_schema(self.opts, extra))
         for name, ddl, suffix in (
@@ -97,12 +132,36 @@ class CrawlTable:
             (self.rejects_table, REJECTS_DDL, "_rejects"),
         ):
             if not self.spark.catalog.tableExists(name):
-                self.spark.sql(
-                    f"CREATE TABLE IF NOT EXISTS {name} ({ddl}, batch_id BIGINT) USING parquet "
-                    f"PARTITIONED BY (batch_id) LOCATION '{self.location}{suffix}'"
-                )
+                self._create(name, ddl, f"{self.location}{suffix}")
         return self
 
+    def _create(self, name: str, ddl: str, location: str) -> None:
+        """Create a catalog entry; data that is already at the location becomes its partitions."""
+        stored = path_exists(self.spark, location)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}, batch_id BIGINT) "
+                       f"USING parquet PARTITIONED BY (batch_id) LOCATION '{location}'")
+        if stored:
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+    def _stored_schema(self, wanted: T.StructType) -> T.StructType:
+        """Columns of the files at the location, then the wanted ones they lack (any case)."""
+        try:
+            found = self.spark.read.option("mergeSchema", "true").parquet(self.location).schema
+        except AnalysisException:  # a folder without data files
+            return wanted
+        fields = [f for f in found.fields if f.name != "batch_id"]
+        have = {f.name.lower() for f in fields}
+        return T.StructType(fields + [f for f in wanted.fields if f.name.lower() not in have])
+
+    def drop(self, purge: bool = False) -> None:
+        """Remove the catalog entries, and with ``purge`` the files."""
+        places = [self.location, f"{self.location}_metrics", f"{self.location}_rejects", f"{self.location}_keys"]
+        for name in (self.name, self.metrics_table, self.rejects_table):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if purge:
+            for p in places:
+                delete_path(self.spark, p)
+
     def _overwrite_partition(self, table: str, location: str, rows: DataFrame, batch_id: int) -> None:
         """Replace partition ``batch_id`` of ``table`` with ``rows``.
 
@@ -111,7 +170,7 @@ class CrawlTable:
         """
         bid = int(batch_id)
         rows.write.mode("overwrite").parquet(f"{location}/batch_id={bid}")
-        self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (batch_id = {bid})")
+        self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (batch_id = {bid}) LOCATION '{location}/batch_id={bid}'")
         self.spark.catalog.refreshTable(table)
 
     def write_metrics(self, counts: DataFrame, batch_id: int) -> None:
@@ -127,6 +186,10 @@ class CrawlTable:
     def metrics(self) -> DataFrame:
         return self.spark.table(self.metrics_table)
 
+    def last_batch(self) -> int | None:
+        """Highest batch id that was written (from the metrics rows), None for an empty table."""
+        return self.metrics().agg(F.max("batch_id")).first()[0]
+
     def rejects(self) -> DataFrame:
         return self.spark.table(self.rejects_table)
 
@@ -161,20 +224,23 @@ class CrawlTable:
         written by path, so the same job may read the table's other partitions
         (the existence check does), then registered in the catalog.
         """
-        schema = self.spark.table(self.name).schema
-        have = {f.name for f in schema.fields}
-        extra = T.StructType([f for f in puts.schema.fields if f.name not in have])
-        if extra.fields:
-            self.evolve(extra)
-            schema = self.spark.table(self.name).schema
-        cols = [f for f in schema.fields if f.name != "batch_id"]
-        given = set(puts.columns)
-        sel = [F.col(f.name).cast(f.dataType) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name)
-               for f in cols]
+        given = {f.name.lower(): f for f in puts.schema.fields}
+        self.evolve(T.StructType([f for f in puts.schema.fields if f.name.lower() != "batch_id"]))
+        sel = []
+        for f in self.spark.table(self.name).schema.fields:
+            if f.name == "batch_id":
+                continue
+            own = given.get(f.name.lower())
+            if own is not None and own.dataType != f.dataType and not isinstance(own.dataType, T.NullType):
+                raise ValueError(f"column {f.name} is stored as {f.dataType.simpleString()}, not {own.dataType.simpleString()}")
+            sel.append((F.col(f"`{own.name}`") if own is not None else F.lit(None)).cast(f.dataType).alias(f.name))
         self._overwrite_partition(self.name, self.location, puts.select(*sel), batch_id)
+        stored = self.partition(batch_id).select("row_key", key_bucket().alias("bucket")).distinct()
+        stored.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.location}_keys/batch_id={int(batch_id)}")
 
-    def partition_path(self, batch_id: int) -> str:
-        return f"{self.location}/batch_id={int(batch_id)}"
+    def partition(self, batch_id: int) -> DataFrame:
+        """The stored rows of one batch."""
+        return self.spark.table(self.name).filter(F.col("batch_id") == F.lit(int(batch_id)))
 
     # ---- S2 / S3 / O2 / A4 ------------------------------------------------
     def scan(self, *columns: str) -> DataFrame:
@@ -182,9 +248,17 @@ class CrawlTable:
         df = self.spark.table(self.name)
         return df.select(*columns) if columns else df
 
-    def keys(self, exclude_batch: int | None = None) -> DataFrame:
-        """Stored row keys (one per version). ``exclude_batch`` prunes a partition."""
-        df = self.spark.table(self.name)
+    def keys(self, exclude_batch: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """Stored row keys (one per batch). ``exclude_batch`` leaves a batch out;
+        ``buckets`` reads only the key files of those buckets."""
+        place = f"{self.location}_keys"
+        if not path_exists(self.spark, place):
+            df = self.spark.table(self.name)
+            df = df.filter(key_bucket().isin(buckets)) if buckets is not None else df
+        else:
+            schema = "row_key string, batch_id bigint, bucket int"
+            df = self.spark.read.schema(schema).option("basePath", place).parquet(place)
+            df = df.filter(F.col("bucket").isin(buckets)) if buckets is not None else df
         if exclude_batch is not None:
             df = df.filter(F.col("batch_id") != F.lit(int(exclude_batch)))
         return df.select("row_key")
@@ -202,30 +276,45 @@ class CrawlTable:
         return latest_wide(self.lookup(keys), self.opts)
 
     def domain_scan(self, domain: str) -> DataFrame:
-        return self.spark.table(self.name).filter(under_domain("row_key", domain))
+        return domain_scan(self.spark.table(self.name), domain)
 
     def latest(self) -> DataFrame:
         return latest_wide(self.spark.table(self.name), self.opts)
 
     # ---- O1 ---------------------------------------------------------------
-    def compact(self, target: str, partitions: int | None = None) -> DataFrame:
-        """Rewrite the table in key order into ``target`` (a new path; never the
-        one being read): range partitions by key, sorted within, so each file
-        holds one key range and Parquet min/max stats prune prefix scans."""
+    def compact(self, partitions: int | None = None) -> DataFrame:
+        """Replace the table's files by key-ordered ones.
+
+        Range partitions by (batch_id, row_key, seq), sorted within, so each file
+        holds one key range of a batch and Parquet min/max stats prune key and
+        domain scans. The new files are written beside the table and swapped in
+        by two renames; batches keep their partitions, so retries still work.
+        Run it while no ingest writes.
+        """
         n = partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        df = self.spark.table(self.name)
-        key_ordered(df, n).write.mode("errorifexists").parquet(target)
-        return self.spark.read.parquet(target)
+        new, old = f"{self.location}__compacting", f"{self.location}__replaced"
+        for p in (new, old):
+            delete_path(self.spark, p)
+        key_ordered(self.spark.table(self.name), n, "batch_id").write.partitionBy("batch_id").parquet(new)
+        if path_exists(self.spark, self.location):
+            rename_path(self.spark, self.location, old)
+        rename_path(self.spark, new, self.location)
+        delete_path(self.spark, old)
+        self.spark.catalog.refreshTable(self.name)
+        return self.scan()
 
 
-def key_ordered(df: DataFrame, partitions: int) -> DataFrame:
-    """Range-partition by (row_key, seq) and sort within partitions."""
-    return df.repartitionByRange(partitions, "row_key", "seq").sortWithinPartitions("row_key", "seq")
+def key_ordered(df: DataFrame, partitions: int, *first: str) -> DataFrame:
+    """Range-partition by (row_key, seq), after ``first``, and sort within partitions."""
+    order = [*first, "row_key", "seq"]
+    return df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
 
 
 def domain_scan(df: DataFrame, domain: str) -> DataFrame:
-    """Rows whose key is for ``domain`` or any subdomain (prefix filters)."""
-    return df.filter(under_domain("row_key", domain))
+    """Rows whose host is ``domain`` or a subdomain of it: any scheme, user part, port or key form."""
+    if "host_rev" not in df.columns:
+        raise ValueError("a domain scan needs the stored host_rev column")
+    return df.filter(host_under_domain("host_rev", domain))
 
 
-__all__ = ["CrawlTable", "put_schema", "key_ordered", "domain_scan", "domain_prefixes"]
+__all__ = ["CrawlTable", "put_schema", "key_ordered", "domain_scan", "key_bucket"]

@@ -44,15 +44,15 @@ def main(sf_dir: str) -> None:
     log = Q._log(spark, sf_dir)
     path = scratch_path(spark, "plan-records")
     log.records.write.parquet(path)
-    rec = read_records(spark, path)  # stored crawl records, as an ingest job sees them
+    rec = read_records(spark, path, sizes_complete=True)  # stored crawl records, as an ingest job sees them
     table = put_rows(rec, Q.BASE, 0)
     tpath = scratch_path(spark, "plan-table")
     table.write.parquet(tpath)
     stored = spark.read.parquet(tpath)
     wopts = Q.BASE.with_(only_write_new=True)
     sections = [
-        ("Only-write-new statuses (narrow; no payload in any scan)", gates.write_status(rec, stored, wopts)),
-        ("Only-write-new put rows (partial top-1 per key, anti join on distinct keys)",
+        ("Only-write-new statuses (narrow; no payload in any scan)", gates.write_status(rec, stored, wopts).drop("bytes")),
+        ("Only-write-new put rows (decided on narrow columns, then one join with the payload)",
          plan_ingest(rec, wopts, keys=stored).puts),
         ("Default mode put rows (filter only)", plan_ingest(rec, Q.BASE).puts),
         ("Byte budget put rows (cutoff applied as a filter)",

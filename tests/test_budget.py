@@ -16,7 +16,7 @@ def brute(rows, limit, already=0):
 
 
 def _df(spark, rows):
-    return spark.createDataFrame(rows, "write_ts timestamp_ntz, seq bigint, content_size bigint")
+    return spark.createDataFrame(rows, "write_ts timestamp_ntz, seq bigint, bytes bigint")
 
 
 def test_budget_vs_brute_force(spark):
@@ -44,3 +44,19 @@ def test_budget_unlimited_and_spent(spark):
     assert cutoff_key(df, 1000) is None
     assert byte_budget(df, 50, already=60).count() == 0
     assert sorted(r.seq for r in byte_budget(df, 50, already=20).collect()) == brute(rows, 50, 20)
+
+
+def test_budget_splits_a_large_crossing_partition_again(spark, monkeypatch):
+    from cellar.operators import budget
+
+    monkeypatch.setattr(budget, "WINDOW_ROWS", 20)
+    rows = [(ts((i * 7919) % 1000), i, 100) for i in range(2000)]
+    got = sorted(r.seq for r in byte_budget(_df(spark, rows), 77_777).collect())
+    assert got == sorted(brute(rows, 77_777))
+
+
+def test_missing_times_come_first(spark):
+    rows = [(None, 1, 10), (None, 2, 10), (ts(1), 3, 10), (ts(2), 4, 10)]
+    df = _df(spark, rows)
+    assert sorted(r.seq for r in byte_budget(df, 15).collect()) == [1, 2]
+    assert sorted(r.seq for r in byte_budget(df, 25).collect()) == [1, 2, 3]

@@ -59,7 +59,7 @@ def test_latest_is_per_cell(spark):
     w = latest_wide(puts, OPTS).first()
     assert w.curi__via == "http://v1/"  # later write without via keeps the stored via
     assert bytes(w.content__raw_data) == b"new"
-    lat = {(r.family, r.qualifier): r.seq for r in latest_cells(cells(puts, OPTS)).collect()}
+    lat = {(r.family, r.qualifier): r.seq for r in latest_cells(puts, OPTS).collect()}
     assert lat[("curi", "via")] == 1 and lat[("content", "raw_data")] == 2
 
 
@@ -115,28 +115,25 @@ def test_content_hook_columns(spark):
     assert c[(1, "content", "raw_data")] == raw  # hook sees the body, cell keeps the headers
 
 
-def test_latest_broadcast_and_shuffle_paths_agree(spark, log1):
-    from cellar.sources.crawl_log import MAX_CONTENT_BYTES
-
-    opts = OPTS.with_(max_content_bytes=MAX_CONTENT_BYTES)
+def test_latest_cells_equal_the_newest_of_all_cells(spark, log1):
+    opts = OPTS.with_(content_hook=title_hook())
     puts = put_rows(log1.records, opts, 0)
+    newest = {}
+    for r in cells(puts, opts).collect():
+        k = (r.row_key, r.family, r.qualifier)
+        newest[k] = max(newest.get(k, ()), (r.ts, r.seq, bytes(r.value)))
+    got = {(r.row_key, r.family, r.qualifier): (r.ts, r.seq, bytes(r.value)) for r in latest_cells(puts, opts).collect()}
+    assert got == newest
 
-    def rows(df):
-        return sorted(tuple(str(v) for v in r) for r in df.collect())
-
-    assert rows(latest_wide(puts, opts)) == rows(latest_wide(puts, opts, max_broadcast_rows=0))
-    c = cells(puts, opts)
-    assert rows(latest_cells(c)) == rows(latest_cells(c, max_broadcast_rows=0))
 
+def test_cells_without_a_time_are_kept(spark):
+    row = list(rec(1, "http://a.b/", via="http://v/"))
+    row[3] = row[4] = None
+    puts = put_rows(records(spark, [tuple(row)]), OPTS, 0)
+    assert {r.qualifier for r in latest_cells(puts, OPTS).collect()} == {"url", "ip", "via", "request", "raw_data"}
+    assert bytes(latest_wide(puts, OPTS).first().content__raw_data).endswith(b"body")
 
-def test_latest_cells_from_puts_equals_generic(spark, log1):
-    from cellar.operators.cells import latest_cells_from_puts
-    from cellar.sources.crawl_log import MAX_CONTENT_BYTES
-
-    opts = OPTS.with_(max_content_bytes=MAX_CONTENT_BYTES, content_hook=title_hook())
-    puts = put_rows(log1.records, opts, 0)
-
-    def rows(df):
-        return sorted(tuple(str(v) for v in r) for r in df.select("row_key", "family", "qualifier", "ts", "seq", "value").collect())
 
-    assert rows(latest_cells_from_puts(puts, opts)) == rows(latest_cells(cells(puts, opts)))
+def test_version_delivered_twice_is_one_row(spark):
+    puts = put_rows(records(spark, [rec(1, "http://a.b/"), rec(1, "http://a.b/")]), OPTS, 0)
+    assert latest_wide(puts, OPTS).count() == 1

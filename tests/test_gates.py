@@ -115,7 +115,8 @@ def test_rejected_keys(spark):
 def test_annotate(spark):
     opts = BASE.with_(max_content_bytes=3)
     r = records(spark, [rec(1, "http://a.b/", raw=b"long", annotations=["x"]), rec(2, "http://a.b/", raw=b"ab")])
-    out = gates.annotate(r, gates.write_status(r, None, opts))
+    out = gates.annotate(r, opts)
+    assert out.columns == r.columns
     got = {x.seq: x.annotations for x in out.collect()}
     assert got == {1: ["x", "unwritten:size"], 2: []}
 
@@ -125,17 +126,20 @@ def test_within_cutoff_none_and_all():
     assert str(within_cutoff("none")) == str(F.lit(False))
 
 
-def test_materialized_puts_equal_direct(log1):
-    from cellar.plans.ingest import _puts_from_statuses
+def test_annotate_with_only_process_new(spark):
+    opts = BASE.with_(max_content_bytes=3, only_process_new=True)
+    r = records(spark, [rec(1, "http://a.b/", raw=b"ab"), rec(2, "http://a.b/", raw=b"long"), rec(3, "http://c.d/", raw=b"long")])
+    out = gates.annotate(r, opts, gates.write_status(r, None, opts))
+    assert {x.seq: x.annotations for x in out.collect()} == {1: [], 2: [], 3: ["unwritten:size"]}
+
 
+def test_materialized_puts_equal_direct(log1):
     opts = BASE.with_(only_write_new=True, max_total_bytes=log1.max_total_bytes // 10)
     existing = plan_ingest(log1.existing(), BASE, batch_id=0).puts
     direct = plan_ingest(log1.incoming(), opts, keys=existing, batch_id=1)
     mat = plan_ingest(log1.incoming(), opts, keys=existing, batch_id=1, materialize=True)
-    fallback = _puts_from_statuses(log1.incoming(), mat.statuses, opts, existing, 1, mat.cutoff, max_rows=0)
     want = sorted(r.seq for r in direct.puts.select("seq").collect())
     assert want and sorted(r.seq for r in mat.puts.select("seq").collect()) == want
-    assert sorted(r.seq for r in fallback.select("seq").collect()) == want
 
 
 @pytest.mark.parametrize("only_write,only_process", [(False, False), (True, False), (False, True)])

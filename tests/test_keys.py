@@ -1,7 +1,16 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cellar.functions.keys import java_trim, key_reject_reason, md5_key, nonblank_trimmed, reversed_host_key, row_key, under_domain
+from cellar.functions.keys import (
+    host_rev,
+    host_under_domain,
+    java_trim,
+    key_reject_reason,
+    md5_key,
+    nonblank_trimmed,
+    reversed_host_key,
+    row_key,
+)
 from cellar.functions.body import response_body
 
 KEY_ROWS = [
@@ -58,9 +67,9 @@ def test_response_body(spark):
     assert got == [b"body\r\n\r\nmore", b"no blank line", b"\xff\xfe\x00", b""]
 
 
-def test_under_domain(spark):
-    keys = ["r:http://org.example", "r:http://org.example/x", "r:https://org.example.www/",
-            "r:http://org.example:8080/", "r:http://org.examplex/", "r:http://com.example/", "r:ftp://org.example/"]
-    df = spark.createDataFrame([(k,) for k in keys], "row_key string")
-    got = [r[0] for r in df.filter(under_domain("row_key", "example.org")).collect()]
-    assert got == keys[:4]
+def test_host_under_domain(spark):
+    urls = ["http://example.org", "http://example.org/x", "https://WWW.Example.org/", "http://u:p@example.org:8080/", "ftp://a.example.org/",
+            "http://examplex.org/", "http://example.com/", "mailto:x@example.org", "http://org.example/"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string").withColumn("host_rev", host_rev("url"))
+    got = [r.url for r in df.filter(host_under_domain("host_rev", "Example.org")).collect()]
+    assert got == urls[:5]
