@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cellar.llm.common import free_name, mix64, slices, text_bytes, word_spans, xxh64_spans
 
@@ -212,8 +213,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, least_words: i
                 rows = list(sent.value.matches(b.column("text")))
                 if rows:
                     doc, item, *rest = map(list, zip(*rows))
-                    ids = pa.array([sent.value.ids[i] for i in item], pa.int64())
-                    yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(doc)), ids.cast(pa.int64()),
+                    ids = pa.array([sent.value.ids[i] for i in item], to_arrow_type(schema["item_id"].dataType))
+                    yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(doc)), ids,
                                                       *[pa.array(x, pa.int64()) for x in rest]], names=schema.names)
 
         part = docs.select("doc_id", "text").mapInArrow(run, schema)

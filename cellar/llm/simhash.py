@@ -243,7 +243,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("x"))
     first = first.select(_id_key(F.col("x.doc_id")).alias(key), F.col("x.fp").alias(fp))
     texts = with_fingerprint(docs, "text", shingle, fp, keep_text=True).withColumn(key, _id_key(F.col("doc_id")))
-    return texts.join(first, [key, fp], "left_semi").dropDuplicates([key, fp]).select(docs.columns)
+    return texts.join(first, [key, fp], "left_semi").dropDuplicates([key, fp]).drop(key, fp)
 
 
 def _id_key(doc_id):

@@ -218,15 +218,23 @@ def _anchors(window: int, gram: int):
 
 
 def _segments(window: int, gram: int, kind):
+    """One row per distinct segment of a text, with all its places: a text that repeats itself gives few rows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             owner, at, size, anchor, h1, h2 = text_segments(b.column("text"), window, gram)
-            rows = pa.array(owner)
+            order = np.lexsort((at, h2, h1, anchor, owner))
+            owner, at, size, anchor, h1, h2 = (x[order] for x in (owner, at, size, anchor, h1, h2))
+            new = np.ones(len(at), bool)
+            new[1:] = (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+            head = np.flatnonzero(new)
+            places = pa.ListArray.from_arrays(pa.array(np.append(head, len(at)).astype(np.int32)), pa.array(at.astype(np.int32)))
+            rows = pa.array(owner[head])
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(rows), b.column("th").take(rows), pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32)),
-                 pa.array(anchor), pa.array(h1), pa.array(h2)], names=["doc_id", "th", "at", "size", "anchor", "h1", "h2"])
+                [b.column("doc_id").take(rows), b.column("th").take(rows), places, pa.array(size[head].astype(np.int32)),
+                 pa.array(anchor[head]), pa.array(h1[head]), pa.array(h2[head])], names=["doc_id", "th", "at", "size", "anchor", "h1", "h2"])
 
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("th", T.LongType()), T.StructField("at", T.IntegerType()),
+    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("th", T.LongType()), T.StructField("at", T.ArrayType(T.IntegerType())),
                            T.StructField("size", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in ("anchor", "h1", "h2")]])
     return run, schema
 
@@ -303,8 +311,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard: int
     anchors = stage_table(anchors, "anchors")
     run, schema = _segments(window, gram, docs.schema["doc_id"].dataType)
     found = stage_table(texts.mapInArrow(run, schema).join(anchors, "anchor", "left_semi"), "segments")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "at", "size")
-    distinct = stage_table(found.groupBy("anchor", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("p")), "distinct")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", F.get("at", F.lit(0)).alias("at"), "size")
+    distinct = stage_table(found.groupBy("anchor", "h1", "h2").agg(
+        F.sum(F.size("at")).alias("n"), F.min(place).alias("p")), "distinct")
     contested = stage_table(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "contested")
 
     wanted = distinct.join(contested, "anchor").select("anchor", "h1", "h2", "n", "k", "p.doc_id", "p.th", "p.at", "p.size")
@@ -323,9 +332,12 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard: int
     single = single.filter("n = 1").join(twice, ["w1", "w2"], "left_semi").select(
         "anchor", "h1", "h2", "a", (F.col("a") + window).cast("int").alias("b"))
     whole = distinct.filter("n > 1").select("anchor", "h1", "h2", F.lit(0).alias("a"), F.lit(1 << 30).alias("b"))
-    spans = stage_table(spans.unionByName(single).unionByName(whole), "spans")
-    spans = spans.groupBy("anchor", "h1", "h2").agg(F.collect_list(F.struct("a", "b")).alias("s"))  # at most a segment's windows
-    out = found.join(spans, ["anchor", "h1", "h2"]).select("doc_id", "th", "at", "size", F.explode("s").alias("x"))
+    spans = spans.unionByName(single).unionByName(whole).groupBy("anchor", "h1", "h2").agg(
+        F.collect_list(F.struct("a", "b")).alias("s"))  # at most a segment's windows
+    # read back, the spans meet the places in a plain join, of which the planner can split a hot segment
+    spans = stage_table(spans, "spans")
+    out = found.join(spans, ["anchor", "h1", "h2"]).select("doc_id", "th", "size", "s", F.explode("at").alias("at"))
+    out = out.select("doc_id", "th", "at", "size", F.explode("s").alias("x"))
     out = out.select("doc_id", "th", (F.col("at") + F.col("x.a")).alias("a"),
                      (F.col("at") + F.least(F.col("x.b"), F.col("size"))).alias("b")).distinct()
     return out.groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))  # at most a text's words
@@ -379,7 +391,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, words_only: bool = Fal
     found = repeats(docs.select("doc_id", "text"), window, **options).select(
         F.col("doc_id").alias(key), F.col("th").alias(other), F.col("spans").alias(spans))
     joined = docs.withColumn(hashed, F.xxhash64("text")).join(
-        found, (F.col(hashed) == F.col(other)) & F.col("doc_id").eqNullSafe(F.col(key)), "left").select(*docs.columns, spans)
+        found, (F.col(hashed) == F.col(other)) & F.col("doc_id").eqNullSafe(F.col(key)), "left").drop(hashed, other, key)
     schema = T.StructType([*docs.schema.fields, T.StructField(total, T.LongType()), T.StructField(gone, T.LongType())])
     return joined.mapInArrow(_cut(schema, (spans, total, gone), words_only), schema)
 

@@ -11,8 +11,9 @@ numbers reach the driver, where the regression is fitted. Scoring streams whole
 texts in Arrow batches.
 
 Defined results: a null or empty text has no n-grams and is scored by the
-intercept; a document labelled both ways trains as both; without labels of both
-classes the score is the share of label 1 (0 if there are none).
+intercept; a document labelled both ways trains as both; a null doc_id or label
+takes no part; without labels of both classes every score is 1 (all of them
+toxic) or 0.
 """
 
 from __future__ import annotations

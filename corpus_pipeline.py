@@ -32,7 +32,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col(cut[1]) > 0, size).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+    return out.drop(*cut)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
