@@ -35,12 +35,12 @@ from cellar.llm.common import free_name, mix64, slices, text_bytes, word_spans,
 
 WORD, NUMBER, UNIT, NAME = 0, 1, 2, 3
 #: Units of measure, money and time that count as a placeholder after a number (fixed values).
-UNITS = """% percent kg g mg lb lbs oz ton tons km m cm mm mi mile miles ft feet inch inches yard yards l ml litre litres liter
+UNITS = """percent kg g mg lb lbs oz ton tons km m cm mm mi mile miles ft feet inch inches yard yards l ml litre litres liter
 liters gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years usd eur
 gbp dollar dollars cent cents euro euros pound pounds degree degrees celsius fahrenheit kwh watt watts volt volts mph""".split()
 _SALT = np.array([3, 5, 7, 11], np.uint64) * np.uint64(0x9E3779B97F4A7C15 // 16)
 _lut = lambda chars: np.isin(np.arange(256), list(chars.encode()))
-_OUTER = _lut("!\"#&'()*,./:;<=>?@[\\]^_`{|}~-")
+_OUTER = _lut("!\"#%&'()*,./:;<=>?@[\\]^_`{|}~-")
 _NUMERIC = _lut("0123456789.,:/")
 _DIGIT = _lut("0123456789")
 _STOP = _lut(".!?")

@@ -2,7 +2,7 @@
 
 A text's letters form words. A word of the vocabulary adds its log frequency in
 each language; any other word adds the mean log frequency of its longest known
-n-grams (five letters down to one, with marks at the word's ends), and nothing
+n-grams (five letters down to one; two or more with marks at the word's ends), and nothing
 if it has none. The language with the highest total wins; the score is its
 share among all languages (softmax of the totals).
 
@@ -41,7 +41,7 @@ def text_words(text: str | None) -> list[str]:
 
 
 def word_grams(word: str, n: int) -> list[str]:
-    marked = f"^{word}$"
+    marked = f"^{word}$" if n > 1 else word
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 

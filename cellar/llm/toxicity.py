@@ -99,7 +99,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataF
     share = {y: min(1.0, per_class / n) for y, n in total.items()}
     part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
     pick = F.when(F.col("y") == 1, F.lit(share.get(1, 0.0))).otherwise(F.lit(share.get(0, 0.0)))
-    chosen = labels.filter(part < pick).withColumn("weight", 1.0 / pick)  # about 2 * per_class rows: may be broadcast
+    weight = F.when(F.col("y") == 1, F.lit(1 / share.get(1, 1.0))).otherwise(F.lit(1 / share.get(0, 1.0)))
+    chosen = labels.filter(part < pick).withColumn("weight", weight)  # about 2 * per_class rows: may be broadcast
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     return stage_table(rows.dropDuplicates(["doc_id", "y", "text"]).select("text", "y", "weight"), "toxic-sample")
 

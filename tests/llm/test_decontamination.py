@@ -34,8 +34,10 @@ def test_exact_and_reparameterised_leaks(spark):
     found = {(a, k) for a, i, k in got if i == 7}
     assert {i for _, i, _ in got} == {7} and len([g for g in got if g[0] == 0]) == 2
     assert {(0, "exact"), (1, "reparameterised"), (6, "exact"), (9, "exact")} <= found
-    full = {r["doc_id"]: r["coverage"] for r in d.leaks(docs, bench, share=0.9, tokens=1000).collect()}
-    assert 2 not in full and 1 in full
+    covered = {r["doc_id"]: r["coverage"] for r in d.leaks(docs, bench, share=0.9, tokens=1000).collect()}
+    assert covered[1] == 1 and covered[2] < 1  # the inconsistent slot's windows do not count
+    strict = {r["doc_id"] for r in d.leaks(docs, bench, share=0.99, tokens=1000).collect()}
+    assert 2 not in strict and {0, 1, 6, 9} <= strict
     kept = d.drop_leaks(docs, bench)
     assert kept.columns == docs.columns and {r[0] for r in kept.collect()} >= {3, 4, 5, 7}
     assert not {0, 1, 6, 9} & {r[0] for r in kept.collect()}
