@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellar.runtime import scratch_path
+from cellar.runtime import write_stage
 
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]"  # one character of a word
@@ -41,9 +41,7 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 
     Cuts lineage: later steps read files that outlive any executor.
     """
-    path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write_stage(df, f"llm-{name}")[0]
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int = 8,

@@ -10,8 +10,9 @@ buffer of bounded size, and each buffer is packed by itself.
   then remains of a gap takes the front of the shortest piece left; the rest of
   that piece is routed again. So a window ends up full unless pieces run out.
 - Pieces of an unfinished window wait for the next buffer. At the end of the
-  partition they are cut into the tiers' lengths; fewer tokens than the
-  shortest tier form the partition's one padded sequence.
+  partition they are cut into the tiers' lengths, and what is less than the
+  shortest tier into ever smaller halves of it, so that nothing is padded if
+  the shortest tier is a power of two.
 - Sequences of a buffer are dealt to step groups of about ``step_tokens``,
   longest first to the lightest group.
 
@@ -38,6 +39,15 @@ from cellar.llm.tokens import Encoder
 TIERS = (64, 128, 256, 512, 1024, 2048)
 PIECE_COLUMNS = ["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset", "tier", "step_group"]
 
+
+def tail_sizes(tiers: tuple[int, ...]) -> list[int]:
+    """Lengths that a partition's last tokens are cut into, longest first."""
+    out = sorted(tiers, reverse=True)
+    while out[-1] % 2 == 0:
+        out.append(out[-1] // 2)
+    return out
+
+
 #: One piece of a document: length, document number, first token.
 Piece = tuple[int, int, int]
 
@@ -76,11 +86,12 @@ def fill_tiers(pieces: list[Piece], tiers: tuple[int, ...] = TIERS) -> tuple[lis
 
 
 def cut_to_tiers(pieces: list[Piece], tiers: tuple[int, ...] = TIERS) -> list[list[Piece]]:
-    """Windows for the pieces left at the end: full ones of ever shorter tiers, then one that is not full."""
+    """Windows for the pieces left at the end: full ones of ever shorter lengths, then at most one that is not full."""
+    sizes = tail_sizes(tiers)
     out, queue = [], sorted(pieces, reverse=True)
     total = sum(p[0] for p in queue)
     while total:
-        gap = next((t for t in reversed(tiers) if t <= total), total)
+        gap = next((t for t in sizes if t <= total), total)
         total -= gap
         window = []
         while gap:
@@ -120,6 +131,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, tiers: tuple[int, ...
         kept: dict[int, tuple] = {}  # document number: (doc_id, ids, first token held, tokens in all)
         pieces: list[Piece] = []
         numbers, count, sequences, groups, kind = 0, 0, 0, 0, None
+        full = set(tail_sizes(tiers))
 
         def rows(windows: list[list[Piece]]) -> pa.RecordBatch:
             nonlocal sequences, groups
@@ -127,7 +139,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, tiers: tuple[int, ...
             group = step_groups(sizes, step_tokens)
             cols: list[list] = [[] for _ in PIECE_COLUMNS]
             for w, size, g in zip(windows, sizes, group):
-                tier, offset = size if size in tiers else tiers[-1], 0
+                tier, offset = size if size in full else tiers[-1], 0
                 for n, doc, at in w:
                     doc_id, ids, held, total = kept[doc]
                     row = (doc_id, at, ids[at - held:at - held + n].tobytes(), total, base + sequences, offset, tier,

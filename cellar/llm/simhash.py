@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellar.llm.common import free_name, salted_join, slices, stage_table, text_bytes, word_spans, xxh64_spans
+from cellar.runtime import delete_path, write_stage
 
 #: Largest number of distinct fingerprints that are compared pair by pair under one key.
 BUCKET = 40
@@ -198,8 +199,9 @@ def components(edges: DataFrame) -> DataFrame:
     its smaller) neighbours on the least one. Steps are joins with one minimum
     per node, so that a node with many links is never gathered.
     """
-    now = stage_table(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                      .filter("u != v").distinct(), "edges")
+    spark = edges.sparkSession
+    now, path = write_stage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                            .filter("u != v").distinct(), "llm-edges")
     before = None
     while True:
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -210,11 +212,13 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = salted_join(both.filter("v > u"), least, ["u"], "inner", spread=["v"]).select(
             F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        large = stage_table(large, "large-star")
+        large, middle = write_stage(large, "llm-large-star")
+        delete_path(spark, path)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = salted_join(large, least, ["u"], "inner", spread=["v"])
         hung = small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stage_table(hung.union(least.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), "small-star")
+        now, path = write_stage(hung.union(least.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), "llm-small-star")
+        delete_path(spark, middle)
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.union(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 

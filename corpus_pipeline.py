@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellar.llm import decontamination, packing, simhash, substring, toxicity
-from cellar.llm.common import stage_table
 from cellar.llm.queries import piece_digests, tokenizer_path
+from cellar.runtime import delete_path, write_stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,6 +59,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
-        docs = stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, path = write_stage(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:
+            delete_path(spark, before)
+        before = path
     return docs
