@@ -164,9 +164,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, tiers: tuple[int, ...
             kept, count = held, sum(p[0] for p in pieces)
             return out
 
-        for b in slices(batches, "text", 1 << 20):
+        for b in slices(batches, "text"):
             kind = b.column("doc_id").type
-            flat, edge = encoder.encode(b.column("text").to_pylist(), end_id)
+            flat, edge = encoder.encode(b.column("text"), end_id)
             flat = flat.astype("<u4")
             for doc_id, i, j in zip(b.column("doc_id").to_pylist(), edge.tolist(), edge[1:].tolist()):
                 kept[numbers] = (doc_id, flat[i:j], 0, j - i)

@@ -139,9 +139,9 @@ def pack_rows(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int
                 new[d] = (kept[d][0], kept[d][1][first - kept[d][2]:].copy(), first)
             kept, count = new, sum(p[0] for p in pieces)
 
-        for b in slices(batches, "text", 1 << 20):
+        for b in slices(batches, "text"):
             kind = b.column("doc_id").type
-            flat, edge = encoder.encode(b.column("text").to_pylist(), end_id)
+            flat, edge = encoder.encode(b.column("text"), end_id)
             flat = flat.astype(dtype)
             for doc_id, i, j in zip(b.column("doc_id").to_pylist(), edge.tolist(), edge[1:].tolist()):
                 kept[numbers] = (doc_id, flat[i:j], 0)
