@@ -105,7 +105,7 @@ def main(argv):
     import __spark_entry__ as E
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    names = argv[2:] or list(E.queries())
+    names = argv[2:] or list(E.oracle_sql())
     spark = session()
     qs, ors = E.queries(), E.oracle_sql()
     bad = []
