@@ -26,9 +26,8 @@ ENTITIES = {"nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "copy":
 HEX32, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
-def base32_sha1(text: Column) -> Column:
-    """SHA-1 of the UTF-8 bytes as 32 base-32 digits, with the label WARC uses."""
-    digest = F.sha1(text.cast("binary"))
+def base32_digest(digest: Column) -> Column:
+    """A hexadecimal SHA-1 (a column of its own, so that it is computed once) as WARC labels it: 32 base-32 digits."""
     parts = [F.lpad(F.conv(F.substring(digest, 1 + 10 * k, 10), 16, 32), 8, "0") for k in range(4)]
     return F.concat(F.lit("sha1:"), F.translate(F.concat(*parts), HEX32, BASE32))
 
@@ -80,19 +79,23 @@ def derivatives(responses: DataFrame) -> DataFrame:
     r = responses.select("record_id", "target_uri", "date", F.coalesce("http_headers", F.lit("")).alias("headers"),
                          F.coalesce("body", F.lit("")).alias("body"))
     r = r.withColumn("record_id", F.coalesce("record_id", derived_id(F.lit("response"), F.coalesce("target_uri", F.lit("")), F.col("body"))))
-    r = r.select("*", plain_text(F.col("body")).alias("plain"), base32_sha1(F.col("body")).alias("source_digest"),
+    r = r.select("*", plain_text(F.col("body")).alias("plain"), F.sha1(F.col("body").cast("binary")).alias("body_sha"),
                  derived_id(F.lit("metadata"), F.col("record_id")).alias("metadata_id"),
                  derived_id(F.lit("conversion"), F.col("record_id")).alias("conversion_id"))
+    r = r.withColumn("plain_sha", F.sha1(F.col("plain").cast("binary")))
+    r = r.withColumn("source_digest", base32_digest(F.col("body_sha"))).withColumn("plain_digest", base32_digest(F.col("plain_sha")))
     lines = F.concat(
         F.lit("source-record-id: "), F.col("record_id"), F.lit("\r\nsource-payload-digest: "), F.col("source_digest"),
         F.lit("\r\nsource-payload-length: "), F.octet_length("body").cast("string"),
-        F.lit("\r\nconversion-digest: "), base32_sha1(F.col("plain")), F.lit("\r\n"),
+        F.lit("\r\nconversion-digest: "), F.col("plain_digest"), F.lit("\r\n"),
         F.regexp_replace("headers", r"(?m)^([^\r\n]+)", r"source-header: $1"), F.lit("\r\n"))
     r = r.withColumn("lines", lines)
+    r = r.withColumn("lines_sha", F.sha1(F.col("lines").cast("binary")))
+    r = r.withColumn("lines_digest", base32_digest(F.col("lines_sha")))
     record = lambda kind, own, other, mime, block: F.struct(
         F.lit(kind).alias("record_type"), F.col(own).alias("record_id"), F.col("record_id").alias("refers_to"),
         F.col(other).alias("concurrent_to"), F.col("target_uri"), F.col("date"), F.lit(mime).alias("content_type"),
-        F.octet_length(block).cast("long").alias("content_length"), base32_sha1(F.col(block)).alias("block_digest"),
+        F.octet_length(block).cast("long").alias("content_length"), F.col(f"{block}_digest").alias("block_digest"),
         F.col("source_digest"), F.col("headers").alias("source_headers"), F.col(block).alias("block"))
     return r.select(F.inline(F.array(
         record("metadata", "metadata_id", "conversion_id", "application/warc-fields", "lines"),
