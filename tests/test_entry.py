@@ -10,7 +10,7 @@ from conftest import SF0001
 
 def test_entry(spark):
     df = E.entry(spark)
-    assert df.columns == ["row_key", "seq"]
+    assert df.columns == ["row_key", "seq", "raw_md5"]
     assert df.count() == 37
 
 
