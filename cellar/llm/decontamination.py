@@ -2,12 +2,16 @@
 
 Words become template tokens: numbers, units after a number, and capitalised
 words inside a sentence turn into typed placeholders; any other word is its
-lower-cased self without outer punctuation. All windows of ``window`` template
-tokens of the benchmark items, hashed, are looked up in every document. Matched
-windows that lie on one diagonal (document place minus item place) form an
-alignment; its placeholders must be consistent: one item value always stands
-for one document value. A document leaks an item if the consistent windows of a
-diagonal cover ``share`` of the item, or ``tokens`` template tokens in a row.
+lower-cased self without outer punctuation. A run of one placeholder type is one
+token, whose value is the whole run, so a slot's value may have any number of
+words. All windows of ``window`` template tokens of the benchmark items, hashed,
+are looked up in every document. Matched windows that lie on one diagonal
+(document place minus item place) form blocks; blocks that follow each other in
+the item and in the document form a chain over any number of diagonals. Its
+placeholders must be consistent: one item value always stands for one document
+value. A document leaks an item if the words of a chain cover ``share`` of the
+item, or ``tokens`` words of it in a row, where gaps of less than a window (a
+word put in or changed) do not end the row and do not count.
 
 The benchmark is the stated query set: it is read in blocks of bounded size,
 each block's window table goes to all tasks, and every block meets all whole
@@ -46,6 +50,9 @@ _DIGIT = _lut("0123456789")
 _STOP = _lut(".!?")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_BASE = np.uint64(6364136223846793005)
+#: What windows are made of.
+TEMPLATE = 0
 BLOCK_BYTES = 8 << 20
 
 
@@ -55,8 +62,11 @@ class Template:
 
     code: np.ndarray  # hash of the word, or of the placeholder's type
     kind: np.ndarray
-    value: np.ndarray  # hash of the lower-cased word
+    value: np.ndarray  # hash of the lower-cased word or run of words
     first: np.ndarray  # index of each text's first token, n + 1
+    start: np.ndarray  # first word of each token, n + 1
+    words: np.ndarray  # hash of each lower-cased word
+    first_word: np.ndarray  # index of each text's first word, n + 1
 
 
 def _hashes(words: list[str]) -> np.ndarray:
@@ -89,7 +99,7 @@ def templates(texts: pa.Array) -> Template:
     first = np.concatenate([[0], np.cumsum(some)])[first]
     if not len(begin):
         none = np.zeros(0, np.uint64)
-        return Template(none, np.zeros(0, np.int8), none, first)
+        return Template(none, np.zeros(0, np.int8), none, first, np.zeros(1, np.int64), none, first)
     pad = np.concatenate([buf, np.zeros(1, np.uint8)])
     a, b = pad[begin], np.where(end - begin > 1, pad[np.minimum(begin + 1, len(buf))], 0)
     accented = (a == 0xC3) & (b >= 0x80) & (b <= 0x9E)  # capital letters of Latin-1
@@ -104,89 +114,194 @@ def templates(texts: pa.Array) -> Template:
     unit[1:] = number[:-1] & np.isin(value[1:], _hashes(UNITS))
     unit[first[:-1][first[:-1] < len(begin)]] = False
     kind = np.select([number, unit, name], [NUMBER, UNIT, NAME], WORD).astype(np.int8)
-    return Template(np.where(kind == WORD, value, _SALT[kind]), kind, value, first)
-
-
-def window_hashes(t: Template, window: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """First token and hash of every window inside one text that has enough plain words."""
-    n = len(t.code) - window + 1
+    new = np.ones(len(kind), bool)  # a run of one placeholder type is one token
+    new[1:] = (kind[1:] == WORD) | (kind[1:] != kind[:-1])
+    new[first[:-1][first[:-1] < len(kind)]] = True
+    head = np.flatnonzero(new)
+    count = np.cumsum(new)
+    place = np.arange(len(kind)) - head[count - 1]
+    power = np.full(int(place.max()) + 1, _BASE, np.uint64)
+    power[0] = 1
+    run = np.add.reduceat(value * np.multiply.accumulate(power)[place], head)
+    token = kind[head]
+    return Template(np.where(token == WORD, run, _SALT[token]), token, run, np.concatenate([[0], count])[first],
+                    np.append(head, len(kind)), value, first)
+
+
+def window_hashes(codes: np.ndarray, first: np.ndarray, window: int, plain: np.ndarray | None = None,
+                  least_words: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """First token and hash of every window inside one text that has enough ``plain`` tokens."""
+    n = len(codes) - window + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     h = np.zeros(n, np.uint64)
     for j in range(window):
-        h = h * np.uint64(6364136223846793005) + t.code[j:j + n]
-    plain = np.concatenate([[0], np.cumsum(t.kind == WORD)])
-    ok = plain[window:] - plain[:n] >= least_words
-    for edge in t.first[1:-1]:
+        h = h * _BASE + codes[j:j + n]
+    ok = np.ones(n, bool)
+    if plain is not None:
+        total = np.concatenate([[0], np.cumsum(plain)])
+        ok = total[window:] - total[:n] >= least_words
+    for edge in first[1:-1]:
         ok[max(edge - window + 1, 0):edge] = False
     at = np.flatnonzero(ok)
     return at, mix64(h[at])
 
 
+@dataclass
+class Piece:
+    """Windows of one lane (layer and diagonal) that touch each other."""
+
+    layer: int
+    shift: int
+    place: int  # first and last token in the item, by the layer's count
+    end: int
+    stands: dict  # item value of each slot: document value
+
+
 class Block:
     """The windows of a bounded block of benchmark items, ready for look-up."""
 
     def __init__(self, ids: list, texts: list[str], window: int, least_words: int, share: float, tokens: int):
         self.ids, self.window, self.least, self.share, self.tokens = ids, window, least_words, share, tokens
         self.items = templates(pa.array(texts, pa.string()))
-        size = np.diff(self.items.first)
         self.tables = {}
-        for w in sorted({window, *(int(s) for s in size if least_words <= s < window)}):
-            at, h = window_hashes(self.items, w, least_words)
-            item = np.searchsorted(self.items.first, at, "right") - 1
-            at, h, item = (x[(size[item] >= window) if w == window else (size[item] == w)] for x in (at, h, item))
+        self._add(TEMPLATE, least_words)
+
+    def _windows(self, t: Template, layer: int, w: int) -> tuple[np.ndarray, np.ndarray]:
+        return window_hashes(t.code, t.first, w, t.kind == WORD, self.least)
+
+    @staticmethod
+    def _first(t: Template, layer: int) -> np.ndarray:
+        return t.first
+
+    def _add(self, layer: int, shortest: int) -> None:
+        """Tables of a layer's windows; an item shorter than a window is one window if it has ``shortest`` tokens."""
+        first = self._first(self.items, layer)
+        size = np.diff(first)
+        for w in sorted({self.window, *(int(s) for s in size if shortest <= s < self.window)}):
+            at, h = self._windows(self.items, layer, w)
+            item = np.searchsorted(first, at, "right") - 1
+            at, h, item = (x[(size[item] >= w) if w == self.window else (size[item] == w)] for x in (at, h, item))
             order = np.argsort(h, kind="stable")
             table = np.zeros(1 << 16, bool)
             table[(h >> np.uint64(48)).astype(np.int64)] = True
-            self.tables[w] = (h[order], at[order], item[order], table)
+            self.tables[layer, w] = (h[order], at[order], item[order], table)
 
     def matches(self, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int, int]]:
-        """(text number, item number, covered tokens, item tokens, placeholders, changed placeholders)."""
+        """(text number, item number, covered words, item words, placeholders, changed placeholders)."""
         t = templates(texts)
-        hits: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
-        for w, (table_h, table_at, table_item, quick) in self.tables.items():
-            at, h = window_hashes(t, w, self.least)
+        hits: dict[tuple[int, int], dict[tuple[int, int], set[tuple[int, int]]]] = {}
+        for (layer, w), (table_h, table_at, table_item, quick) in self.tables.items():
+            at, h = self._windows(t, layer, w)
             some = np.flatnonzero(quick[(h >> np.uint64(48)).astype(np.int64)]) if len(h) else np.zeros(0, np.int64)
             lo = np.searchsorted(table_h, h[some], "left")
             hi = np.searchsorted(table_h, h[some], "right")
+            first = self._first(t, layer)
             for k in np.flatnonzero(hi > lo):
                 p = int(at[some[k]])
-                doc = int(np.searchsorted(t.first, p, "right")) - 1
+                doc = int(np.searchsorted(first, p, "right")) - 1
                 for q in range(lo[k], hi[k]):
-                    place, item = int(table_at[q]), int(table_item[q])
-                    hits.setdefault((doc, item, p - place), []).append((place, w))
-        best: dict[tuple[int, int], tuple] = {}
-        for (doc, item, shift), found in hits.items():
-            got = self._aligned(t, item, shift, sorted(set(found)))
-            if got and got > best.get((doc, item), ()):
-                best[doc, item] = got
-        for (doc, item), (covered, size, slots, changed) in sorted(best.items()):
-            yield doc, item, covered, size, slots, -changed
-
-    def _aligned(self, t: Template, item: int, shift: int, found: list[tuple[int, int]]) -> tuple[int, int, int, int] | None:
-        items, stands = self.items, {}
-        size = int(items.first[item + 1] - items.first[item])
-        taken: set[int] = set()
-        slots, changed, run, longest = 0, 0, 0, 0
-        for place, w in found:
-            new = {}
-            for q in range(place, place + w):
-                if q not in taken and items.kind[q] != WORD:
-                    key = (int(items.kind[q]), int(items.value[q]))
-                    new[q] = (key, int(t.value[q + shift]))
-            trial = dict(stands)
-            if any(trial.setdefault(key, value) != value for key, value in new.values()):
-                continue  # one item value would stand for two document values
-            stands = trial
-            taken.update(range(place, place + w))
-            slots += len(new)
-            changed += sum(key[1] != value for key, value in new.values())
-        for q in range(int(items.first[item]), int(items.first[item + 1])):
-            run = run + 1 if q in taken else 0
-            longest = max(longest, run)
-        if len(taken) >= self.share * size or longest >= self.tokens:
-            return len(taken), size, slots, -changed
-        return None
+                    place = int(table_at[q])
+                    hits.setdefault((doc, int(table_item[q])), {}).setdefault((layer, p - place), set()).add((place, w))
+        for (doc, item), lanes in sorted(hits.items()):
+            got = self._judge(t, item, lanes)
+            if got:
+                yield doc, item, *got[:3], -got[3]
+
+    def _judge(self, t: Template, item: int, lanes: dict) -> tuple[int, int, int, int] | None:
+        """Covered words, item words, placeholders and minus the changed ones of the best chain that is a leak."""
+        size = int(self.items.first_word[item + 1] - self.items.first_word[item])
+        chains = [c for (layer, shift), found in lanes.items() for c in self._lane(t, layer, shift, sorted(found))]
+        pieces = [p for c in chains for p in c]
+        spans = np.array([self._span(t, p, p.place) + self._span(t, p, p.end) for p in pieces], np.int64)
+        scored = [(sum(self._span(t, p, p.end)[0] - self._span(t, p, p.place)[0] for p in c), c) for c in chains]
+        if max((s for s, _ in scored), default=0) < size and len(chains) > 1:
+            scored += self._chains(pieces, spans)
+        best = None
+        for score, chain in sorted(scored, key=lambda x: -x[0]):
+            if score < (best[0] if best else min(self.share * size, self.tokens)):
+                break
+            covered, longest, slots, changed = self._walk(t, chain)
+            got = (covered, size, slots, -changed)
+            if (covered >= self.share * size or longest >= self.tokens) and (best is None or got > best):
+                best = got
+        return best
+
+    def _span(self, t: Template, p: Piece, token: int) -> tuple[int, int]:
+        """Item word and document word where ``token`` of the item begins."""
+        return int(self.items.start[token]), int(t.start[token + p.shift])
+
+    def _stands(self, t: Template, layer: int, shift: int, place: int, w: int) -> dict | None:
+        """Document value of each item value in a window, None if one would stand for two."""
+        out: dict = {}
+        items = self.items
+        for q in range(place, place + w):
+            if items.kind[q] != WORD:
+                value = int(t.value[q + shift])
+                if out.setdefault((int(items.kind[q]), int(items.value[q])), value) != value:
+                    return None
+        return out
+
+    def _lane(self, t: Template, layer: int, shift: int, found: list[tuple[int, int]]) -> Iterator[list[Piece]]:
+        """Consistent chains of one diagonal; windows that contradict one chain go to a later one."""
+        todo = [(place, w, s) for place, w in found if (s := self._stands(t, layer, shift, place, w)) is not None]
+        while todo:
+            stands: dict = {}
+            chain: list[Piece] = []
+            left = []
+            for place, w, new in todo:
+                if any(stands.get(k, v) != v for k, v in new.items()):
+                    left.append((place, w, new))
+                    continue
+                stands.update(new)
+                if chain and place <= chain[-1].end:
+                    chain[-1].end = max(chain[-1].end, place + w)
+                    chain[-1].stands.update(new)
+                else:
+                    chain.append(Piece(layer, shift, place, place + w, dict(new)))
+            yield chain
+            todo = left
+
+    @staticmethod
+    def _chains(pieces: list[Piece], spans: np.ndarray) -> list[tuple[int, list[Piece]]]:
+        """For each piece the best consistent chain that ends with it, by the words of the item it covers."""
+        order = np.lexsort((spans[:, 3], spans[:, 2]))
+        q0, p0, q1, p1 = spans[order].T
+        score, before, stands = (q1 - q0).copy(), [-1] * len(order), []
+        for i in range(len(order)):
+            own = pieces[order[i]].stands
+            stands.append(own)
+            cut = np.maximum(np.maximum(q1[:i] - q0[i], p1[:i] - p0[i]), 0)  # words that both cover count once
+            total = score[:i] + (q1[i] - q0[i]) - cut
+            some = np.flatnonzero((cut < q1[i] - q0[i]) & (p1[:i] < p1[i]) & (total > score[i]))
+            for j in some[np.lexsort((-p1[some], -total[some]))]:
+                if all(stands[j].get(k, v) == v for k, v in own.items()):
+                    score[i], before[i], stands[i] = total[j], int(j), {**stands[j], **own}
+                    break
+        out = []
+        for i in range(len(order)):
+            chain, j = [], i
+            while j >= 0:
+                chain.append(pieces[order[j]])
+                j = before[j]
+            out.append((int(score[i]), chain[::-1]))
+        return out
+
+    def _walk(self, t: Template, chain: list[Piece]) -> tuple[int, int, int, int]:
+        """Covered words of the item, most of them in a row, placeholders and changed placeholders of a chain."""
+        covered = run = longest = item_end = doc_end = 0
+        slots: dict[int, bool] = {}
+        for p in chain:
+            for token in range(p.place, p.end):
+                (q, d), (q_end, d_end) = self._span(t, p, token), self._span(t, p, token + 1)
+                if q < item_end or d < doc_end:
+                    continue
+                near = covered and q - item_end < self.window and d - doc_end < self.window
+                run = (run if near else 0) + q_end - q
+                covered, longest, item_end, doc_end = covered + q_end - q, max(longest, run), q_end, d_end
+                if self.items.kind[token] != WORD:
+                    slots[token] = bool(self.items.value[token] != t.value[token + p.shift])
+        return covered, longest, len(slots), sum(slots.values())
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list, list[str]]]:

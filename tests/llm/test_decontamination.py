@@ -69,3 +69,32 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
     assert d.leaks(docs, bench).count() == 0 and d.leaks(one, bench).count() == 0 and d.drop_leaks(one, bench).count() == 1
     assert d.leaks(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string")).count() == 0
+
+
+def _found(spark, items, texts, **options):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = {(r["doc_id"], r["item_id"]): (r["kind"], r["n_covered"], r["n_item"]) for r in d.leaks(docs, bench, **options).collect()}
+    kept = {r["doc_id"] for r in d.drop_leaks(docs, bench, **options).collect()}
+    assert kept == set(range(len(texts))) - {doc for doc, _ in rows}
+    return rows
+
+
+def test_slot_values_of_other_lengths_and_words_put_in(spark):
+    item = "the old train to Paris leaves the big station at noon and the guests of Lyon walk to the inn near the river"
+    longer = item.replace("Paris", "New York").replace("Lyon", "Rio De Janeiro")
+    words = item.split()
+    put_in = " ".join(w for i in range(0, len(words), 9) for w in [*words[i:i + 9], "really"])
+    clash = item.replace("Lyon", "Paris").replace("the old train to Paris", "the old train to New York")
+    got = _found(spark, [item, longer, item.replace("Lyon", "Paris")],
+                 [longer, f"x x. {item}", put_in, clash, "New York and Rio De Janeiro are far from the old station of the town"])
+    assert got[0, 0] == ("reparameterised", 23, 23) and got[0, 1] == ("exact", 26, 26)
+    assert got[1, 0] == ("exact", 23, 23) and got[1, 1] == ("reparameterised", 26, 26)
+    assert got[2, 0][1] >= 16 and got[2, 0][0] == "exact"
+    assert got[3, 2][1] < 23  # Paris would stand for New York and for Paris
+    assert not [k for k in got if k[0] == 4]
+    # three pieces of eight words, each below both limits
+    parts = ["red " * 2 + f"{a} ways we go on in the cold" for a in ("one", "two", "six")]
+    split = " ".join(parts) + " " + " ".join(f"w{i}" for i in range(40))
+    broken = "now ".join(p + " " for p in parts)
+    assert _found(spark, [split], [broken])[0, 0][1] >= 16 and not _found(spark, [split], [parts[1]])
