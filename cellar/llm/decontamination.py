@@ -5,7 +5,9 @@ words inside a sentence turn into typed placeholders; any other word is its
 lower-cased self without outer punctuation. A run of one placeholder type is one
 token, whose value is the whole run, so a slot's value may have any number of
 words. All windows of ``window`` template tokens of the benchmark items, hashed,
-are looked up in every document. Matched windows that lie on one diagonal
+are looked up in every document if they have ``least_words`` plain words; a
+second look-up takes all windows of ``window`` lower-cased words as they are, so
+that exact copies are found whatever they consist of. Matched windows that lie on one diagonal
 (document place minus item place) form blocks; blocks that follow each other in
 the item and in the document form a chain over any number of diagonals. Its
 placeholders must be consistent: one item value always stands for one document
@@ -52,7 +54,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = np.uint64(6364136223846793005)
 #: What windows are made of.
-TEMPLATE = 0
+TEMPLATE, EXACT = 0, 1
 BLOCK_BYTES = 8 << 20
 
 
@@ -166,13 +168,16 @@ class Block:
         self.items = templates(pa.array(texts, pa.string()))
         self.tables = {}
         self._add(TEMPLATE, least_words)
+        self._add(EXACT, window)
 
     def _windows(self, t: Template, layer: int, w: int) -> tuple[np.ndarray, np.ndarray]:
+        if layer == EXACT:
+            return window_hashes(t.words, t.first_word, w)
         return window_hashes(t.code, t.first, w, t.kind == WORD, self.least)
 
     @staticmethod
     def _first(t: Template, layer: int) -> np.ndarray:
-        return t.first
+        return t.first_word if layer == EXACT else t.first
 
     def _add(self, layer: int, shortest: int) -> None:
         """Tables of a layer's windows; an item shorter than a window is one window if it has ``shortest`` tokens."""
@@ -229,12 +234,17 @@ class Block:
 
     def _span(self, t: Template, p: Piece, token: int) -> tuple[int, int]:
         """Item word and document word where ``token`` of the item begins."""
+        if p.layer == EXACT:
+            return token, token + p.shift
         return int(self.items.start[token]), int(t.start[token + p.shift])
 
     def _stands(self, t: Template, layer: int, shift: int, place: int, w: int) -> dict | None:
         """Document value of each item value in a window, None if one would stand for two."""
         out: dict = {}
         items = self.items
+        if layer == EXACT:  # slots that lie inside the window as a whole keep their values
+            lo, hi = np.searchsorted(items.start, [place, place + w + 1]).tolist()
+            return {(int(items.kind[q]), int(items.value[q])): int(items.value[q]) for q in range(lo, hi - 1) if items.kind[q] != WORD}
         for q in range(place, place + w):
             if items.kind[q] != WORD:
                 value = int(t.value[q + shift])
@@ -291,6 +301,7 @@ class Block:
         """Covered words of the item, most of them in a row, placeholders and changed placeholders of a chain."""
         covered = run = longest = item_end = doc_end = 0
         slots: dict[int, bool] = {}
+        same: set[int] = set()  # words covered as they are
         for p in chain:
             for token in range(p.place, p.end):
                 (q, d), (q_end, d_end) = self._span(t, p, token), self._span(t, p, token + 1)
@@ -299,8 +310,13 @@ class Block:
                 near = covered and q - item_end < self.window and d - doc_end < self.window
                 run = (run if near else 0) + q_end - q
                 covered, longest, item_end, doc_end = covered + q_end - q, max(longest, run), q_end, d_end
-                if self.items.kind[token] != WORD:
+                if p.layer == EXACT:
+                    same.add(token)
+                elif self.items.kind[token] != WORD:
                     slots[token] = bool(self.items.value[token] != t.value[token + p.shift])
+        for token in set((np.searchsorted(self.items.start, sorted(same), "right") - 1).tolist()):
+            if self.items.kind[token] != WORD and same.issuperset(range(self.items.start[token], self.items.start[token + 1])):
+                slots[token] = False
         return covered, longest, len(slots), sum(slots.values())
 
 

@@ -98,3 +98,13 @@ def test_slot_values_of_other_lengths_and_words_put_in(spark):
     split = " ".join(parts) + " " + " ".join(f"w{i}" for i in range(40))
     broken = "now ".join(p + " " for p in parts)
     assert _found(spark, [split], [broken])[0, 0][1] >= 16 and not _found(spark, [split], [parts[1]])
+
+
+def test_exact_copies_of_items_without_plain_words(spark):
+    sums = "12 + 7 = 19, 30 + 4 = 34, 8 + 9 = 17, 5 + 6 = 11"
+    people = "Anna Berg 1901 Paris, Boris Kahn 1912 Rome, Clara Lund 1923 Oslo, David Moor 1934 Bern"
+    table = "5 km 7 km 9 km 12 km 15 kg 18 kg 21 kg 24 kg"
+    texts = [f"The sums are {x} and no more." for x in (sums, people, table)]
+    got = _found(spark, [sums, people, table], [*texts, table.replace("km", "mi").replace("kg", "lb")])
+    assert set(got) == {(0, 0), (1, 1), (2, 2)} and {k for k, *_ in got.values()} == {"exact"}
+    assert all(covered == size for _, covered, size in got.values())
