@@ -7,7 +7,8 @@ token, whose value is the whole run, so a slot's value may have any number of
 words. All windows of ``window`` template tokens of the benchmark items, hashed,
 are looked up in every document if they have ``least_words`` plain words; a
 second look-up takes all windows of ``window`` lower-cased words as they are, so
-that exact copies are found whatever they consist of. Matched windows that lie on one diagonal
+that exact copies are found whatever they consist of and wherever they stand
+(capital letters and sentence marks around them do not matter). Matched windows that lie on one diagonal
 (document place minus item place) form blocks; blocks that follow each other in
 the item and in the document form a chain over any number of diagonals. Its
 placeholders must be consistent: one item value always stands for one document
@@ -20,8 +21,9 @@ each block's window table goes to all tasks, and every block meets all whole
 documents. Only matches leave the tasks.
 
 Defined results: null and empty texts match nothing; an item shorter than a
-window counts as one window of its own length if it has at least
-``least_words`` plain words; equal item texts are one item, named by the
+window counts as one window of its own length, as a template if it has at least
+``least_words`` plain words, as it is always (so an item of one word is found in
+every text that holds the word); equal item texts are one item, named by the
 smallest item_id; repeated documents are reported each.
 """
 
@@ -168,7 +170,7 @@ class Block:
         self.items = templates(pa.array(texts, pa.string()))
         self.tables = {}
         self._add(TEMPLATE, least_words)
-        self._add(EXACT, window)
+        self._add(EXACT, 1)
 
     def _windows(self, t: Template, layer: int, w: int) -> tuple[np.ndarray, np.ndarray]:
         if layer == EXACT:

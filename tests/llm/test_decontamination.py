@@ -108,3 +108,15 @@ def test_exact_copies_of_items_without_plain_words(spark):
     got = _found(spark, [sums, people, table], [*texts, table.replace("km", "mi").replace("kg", "lb")])
     assert set(got) == {(0, 0), (1, 1), (2, 2)} and {k for k, *_ in got.values()} == {"exact"}
     assert all(covered == size for _, covered, size in got.values())
+
+
+def test_short_mid_line_lower_cased_and_unpunctuated_copies(spark):
+    items = ["What is the capital of France?", "Who wrote Hamlet?", "Anna Berg met Boris in Rome. Then Clara Lund left for Oslo! Bern was next."]
+    texts = [f"Q: {items[0]} A: Paris", f"He asked, {items[0].lower()} Nobody knew", "so what is the capital of france then", f"Quiz - {items[1]}",
+             f"x {items[2].lower()}", "Notes: " + items[2].replace(".", "").replace("!", ""), items[2].upper(), "What is the capital of it? Who wrote?"]
+    got = _found(spark, items, texts)
+    assert set(got) == {(0, 0), (1, 0), (2, 0), (3, 1), (4, 2), (5, 2), (6, 2)}
+    assert all(kind == "exact" and covered == size for kind, covered, size in got.values())
+    docs = spark.createDataFrame(list(enumerate(_texts())), "doc_id long, text string")
+    bench = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    assert 8 in {r["doc_id"] for r in d.leaks(docs, bench, share=1.0, tokens=1000).collect()}
