@@ -400,13 +400,19 @@ def remove_reference(docs: DataFrame, reference: DataFrame, window: int = WINDOW
     """All rows of ``docs`` without the maximal spans of ``window`` words or more that occur in ``reference`` (text).
 
     The reference is a table of bounded size; each shard of about
-    ``shard_words`` words is broadcast as one automaton and meets all documents.
+    ``shard_words`` words is broadcast as one automaton and meets all documents
+    as they came. A document's spans of all shards travel with its row and are cut
+    once at the end, so the result does not depend on the shards.
     """
     spark = docs.sparkSession
     size = F.size(F.split(F.col("text"), r"[\x20\x09-\x0D]+"))
     rows = reference.filter(F.col("text").isNotNull()).select("text").distinct()
     shards = max(1, -(-(rows.agg(F.sum(size)).first()[0] or 0) // shard_words))
-    schema = docs.schema
+    spans, total, gone = (free_name(docs, c) for c in ("__spans", "__total", "__gone"))
+    span = T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())]))
+    schema, marked = docs.schema, T.StructType([*docs.schema.fields, T.StructField(spans, span)])
+    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+    out = docs.withColumn(spans, F.array().cast(span))
     for k in range(shards):
         automaton = SuffixAutomaton()
         for r in rows.filter(F.pmod(F.xxhash64("text"), F.lit(shards)) == k).toLocalIterator():
@@ -414,12 +420,24 @@ def remove_reference(docs: DataFrame, reference: DataFrame, window: int = WINDOW
         sent = spark.sparkContext.broadcast(automaton)  # bounded by shard_words
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            cut = _cut(T.StructType([*schema.fields]), ("__s", "__n", "__g"), False)
             for b in slices(batches, "text"):
-                spans = [[{"a": x, "b": y} for x, y in spans_of(sent.value.matching((t or "").encode().split()), window)]
-                         for t in b.column("text").to_pylist()]
-                yield from cut(iter([pa.RecordBatch.from_arrays([*b.columns, pa.array(spans, pa.list_(pa.struct(
-                    [("a", pa.int32()), ("b", pa.int32())])))], names=[*schema.names, "__s"])]))
+                found = []
+                for text, old in zip(b.column("text").to_pylist(), b.column(spans).to_pylist()):
+                    new = spans_of(sent.value.matching((text or "").encode().split()), window)
+                    found.append(_united([*((s["a"], s["b"]) for s in old), *new]))
+                column = pa.array([[{"a": x, "b": y} for x, y in f] for f in found], kind)
+                yield pa.RecordBatch.from_arrays([column if f == spans else b.column(f) for f in marked.names], names=marked.names)
 
-        docs = docs.mapInArrow(run, schema)
-    return docs
+        out = out.mapInArrow(run, marked)
+    return out.mapInArrow(_cut(schema, (spans, total, gone), False), schema)
+
+
+def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, those that touch or overlap as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out

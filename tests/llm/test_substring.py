@@ -65,6 +65,20 @@ def test_reference_spans(spark):
         assert got == {1: "a b", 2: " ".join(ref[:34] + ["x"]), 3: None}
 
 
+def test_reference_result_does_not_depend_on_shards(spark):
+    words = [f"w{i}" for i in range(120)]
+    # passages that overlap in the document, and words that meet only where an earlier cut joined them
+    texts = [" ".join(words[:50]), " ".join(words[40:76]), " ".join(words[80:100] + ["z"] * 40 + words[100:120]),
+             " ".join(words[80:120]), " ".join(["z"] * 40)]
+    reference = spark.createDataFrame([(t,) for t in texts[:2] + texts[3:]], "text string")
+    docs = spark.createDataFrame([(1, " ".join(words[:76]), "x"), (2, " ".join(["a", *words[:76], "b"]), "x"), (3, texts[2], "x"), (4, None, "x")],
+                                 "doc_id long, text string, __spans string")
+    want = {1: "", 2: "a b", 3: " ".join(words[80:120]), 4: None}
+    for shard_words in (200_000, 60, 20, 7):
+        out = substring.remove_reference(docs, reference, 35, shard_words)
+        assert out.columns == docs.columns and {r["doc_id"]: r["text"] for r in out.collect()} == want
+
+
 def test_automaton_counts_against_brute_force():
     rng = random.Random(2)
     for _ in range(60):
