@@ -117,17 +117,18 @@ def step_groups(lengths: list[int], step_tokens: int) -> list[int]:
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, tiers: tuple[int, ...] = TIERS,
-         buffer_tokens: int = 1 << 20, step_tokens: int = 1 << 16) -> DataFrame:
+         buffer_tokens: int = 1 << 20, step_tokens: int = 1 << 16, encode_special_tokens: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, ids (little-endian uint32), doc_tokens, sequence_id, offset, tier, step_group.
 
-    ``tier`` is the padded length of the piece's sequence.
+    ``tier`` is the padded length of the piece's sequence. A special token's string in a text
+    is ordinary text if ``encode_special_tokens``, else it gives that token's id.
     """
     schema = T.StructType([docs.schema["doc_id"], *[T.StructField(c, t) for c, t in (
         ("start", T.LongType()), ("ids", T.BinaryType()), ("doc_tokens", T.LongType()), ("sequence_id", T.LongType()),
         ("offset", T.LongType()), ("tier", T.IntegerType()), ("step_group", T.LongType()))]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, base = Encoder(tokenizer), TaskContext.get().partitionId() << 33
+        encoder, base = Encoder(tokenizer, encode_special_tokens), TaskContext.get().partitionId() << 33
         kept: dict[int, tuple] = {}  # document number: (doc_id, ids, first token held, tokens in all)
         pieces: list[Piece] = []
         numbers, count, sequences, groups, kind = 0, 0, 0, 0, None

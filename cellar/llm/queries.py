@@ -42,7 +42,7 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_digests(packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path()))
+    return piece_digests(packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), encode_special_tokens=False))
 
 
 def piece_digests(pieces: DataFrame) -> DataFrame:

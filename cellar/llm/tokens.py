@@ -51,14 +51,22 @@ def piece_edges(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes lists of texts with the ``tokenizers`` file at ``path``; special strings in a text are ordinary text."""
+    """Encodes lists of texts with the ``tokenizers`` file at ``path``, without adding special tokens.
 
-    def __init__(self, path: str):
+    A special token's string in a text is ordinary text if ``encode_special_tokens``; else it gives
+    that token's id, as the plain ``tokenizers`` call does.
+    """
+
+    def __init__(self, path: str, encode_special_tokens: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = encode_special_tokens
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if not (t.special and encode_special_tokens)]
+        self.added = [t.content.encode() for t in added]
+        # tokens that reach over their own piece: texts that hold an added token are then encoded whole
+        self.whole = any(t.lstrip or t.rstrip or t.single_word or any(c.isspace() for c in t.content) for t in added)
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for t, i in vocabulary.items() if t.startswith(_SPACE)]] = True
@@ -73,6 +81,10 @@ class Encoder:
         """Ids of all texts (uint32) and their n + 1 offsets; ``end`` follows each text."""
         buf, starts = text_bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
         edges = piece_edges(buf, starts)
+        if self.whole:
+            raw, ends = buf.tobytes(), starts.tolist()
+            held = np.array([any(raw.find(a, i, j) >= 0 for a in self.added) for i, j in zip(ends, ends[1:])], bool)
+            edges = edges[np.isin(edges, starts) | ~held[np.searchsorted(starts, edges, "right") - 1]]
         bounds = pa.py_buffer(np.append(edges, len(buf)).astype(np.int64))
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges), [None, bounds, pa.py_buffer(np.ascontiguousarray(buf))])
         codes = pieces.dictionary_encode()
@@ -94,10 +106,11 @@ class Encoder:
             self._forget()
             known, new = self.known, keys
         plain, mixed = [], []
-        for k in new:  # a plain piece has one space, in front, and does not end in white space
-            (plain if k[0] == 32 and k.count(32) == 1 and (k[-1] < 128 and not _SPACES[k[-1]] or not k.decode()[-1].isspace()) else mixed).append(k)
+        for k in new:  # a plain piece has one space, in front, does not end in white space and holds no added token
+            (plain if k[0] == 32 and not any(a in k for a in self.added) and k.count(32) == 1 and (k[-1] < 128 and not _SPACES[k[-1]] or not k.decode()[-1].isspace()) else mixed).append(k)
         self._add(mixed, [e.ids for e in self.tokenizer.encode_batch_fast([k.decode() for k in mixed], add_special_tokens=False)])
-        groups = [plain[i:i + _JOINED] for i in range(0, len(plain), _JOINED)]
+        joined = 1 if self.whole else _JOINED
+        groups = [plain[i:i + joined] for i in range(0, len(plain), joined)]
         for group, e in zip(groups, self.tokenizer.encode_batch_fast([b"".join(g).decode() for g in groups], add_special_tokens=False)):
             ids = np.array(e.ids, np.uint32)
             first = np.flatnonzero(self.opens[ids])

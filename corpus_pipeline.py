@@ -42,7 +42,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of packed sequences, with checksums of their ids."""
-    return piece_digests(packing.pack(docs, tokenizer_path()))
+    return piece_digests(packing.pack(docs, tokenizer_path(), encode_special_tokens=False))
 
 
 STAGES = [

@@ -3,10 +3,11 @@ import zlib
 from collections import defaultdict
 
 import brute
+import corpus_pipeline
 import numpy as np
 import pytest
 from brute import SF0001
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from cellar.llm import packing, queries, token_output
 from cellar.llm.tokens import Encoder
@@ -27,6 +28,36 @@ def test_encoder_equals_the_tokenizer():
     assert [flat[i:j].tolist() for i, j in zip(edge, edge[1:])] == _ids(texts, 7)
 
 
+SPECIAL = ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b c", " <|endoftext|><|endoftext|> ", "one  <|endoftext|>  two <|endoftext",
+           "<|endoftext|>\nline <|endoftext|>'s", "|> x <|endo", "text|> y", None]
+
+
+def _plain(texts, end, tokenizer=None):
+    t = tokenizer or Tokenizer.from_file(queries.tokenizer_path())
+    return [[*t.encode(x or "", add_special_tokens=False).ids, end] for x in texts]
+
+
+def test_special_strings_as_the_plain_call(spark, tmp_path):
+    texts = SPECIAL + TEXTS + [f"{d['text']} <|endoftext|> {d['text']}" for d in brute.documents(SF0001)[:20]]
+    flat, edge = Encoder(queries.tokenizer_path(), encode_special_tokens=False).encode(texts, 7)
+    assert [flat[i:j].tolist() for i, j in zip(edge, edge[1:])] == _plain(texts, 7)
+    # added tokens that reach over spaces
+    t = Tokenizer.from_file(queries.tokenizer_path())
+    t.add_tokens([AddedToken("<x>", rstrip=True, lstrip=True), AddedToken("two words"), AddedToken("solo", single_word=True)])
+    t.save(path := str(tmp_path / "t.json"))
+    texts = ["a <x> b c", "some two words here", "solo solos so solo", "we are two", "words of", *SPECIAL]
+    flat, edge = Encoder(path, encode_special_tokens=False).encode(texts, 7)
+    assert [flat[i:j].tolist() for i, j in zip(edge, edge[1:])] == _plain(texts, 7, t)
+
+
+def test_query_and_pipeline_give_special_ids(spark, tmp_path):
+    rows = list(enumerate(SPECIAL))
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    want = dict(enumerate(_plain(SPECIAL, 1)))
+    _round_trip(queries.op3_packing(spark, str(tmp_path)).collect(), want)
+    _round_trip(corpus_pipeline.pack(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), "").collect(), want)
+
+
 def test_query_round_trip(spark):
     docs = brute.documents(SF0001)
     want = dict(zip([d["doc_id"] for d in docs], _ids([d["text"] for d in docs], 1)))
