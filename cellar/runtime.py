@@ -72,6 +72,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a glob pattern meets."""
+    fs, p = _file_system(spark, pattern)
+    return [str(s.getPath()) for s in fs.globStatus(p) or []]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _file_system(spark, path)
     fs.delete(p, True)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from cellar.functions.keys import host_under_domain
 from cellar.operators.cells import latest_wide
 from cellar.options import CrawlOptions
-from cellar.runtime import delete_path, path_exists, rename_path
+from cellar.runtime import delete_path, matching_paths, path_exists, rename_path
 
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
@@ -250,18 +250,26 @@ class CrawlTable:
 
     def keys(self, exclude_batch: int | None = None, buckets: list[int] | None = None) -> DataFrame:
         """Stored row keys (one per batch). ``exclude_batch`` leaves a batch out;
-        ``buckets`` reads only the key files of those buckets."""
+        ``buckets`` reads only the key files of those buckets. Batches without
+        finished key files (stored before there were any) are read from the table."""
         place = f"{self.location}_keys"
-        if not path_exists(self.spark, place):
-            df = self.spark.table(self.name)
-            df = df.filter(key_bucket().isin(buckets)) if buckets is not None else df
-        else:
+        filed = {int(p.split("/")[-2].split("=")[1]) for p in matching_paths(self.spark, f"{place}/batch_id=*/_SUCCESS")}
+        stored = {int(r[0].split("=")[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
+        bare = sorted(stored - filed - {exclude_batch})
+        parts = []
+        if filed:
             schema = "row_key string, batch_id bigint, bucket int"
             df = self.spark.read.schema(schema).option("basePath", place).parquet(place)
-            df = df.filter(F.col("bucket").isin(buckets)) if buckets is not None else df
-        if exclude_batch is not None:
-            df = df.filter(F.col("batch_id") != F.lit(int(exclude_batch)))
-        return df.select("row_key")
+            parts.append(df.filter(F.col("bucket").isin(buckets)) if buckets is not None else df)
+        if bare or not filed:
+            df = self.spark.table(self.name).filter(F.col("batch_id").isin(bare))
+            parts.append(df.filter(key_bucket().isin(buckets)) if buckets is not None else df)
+        out = None
+        for df in parts:
+            if exclude_batch is not None:
+                df = df.filter(F.col("batch_id") != F.lit(int(exclude_batch)))
+            out = df.select("row_key") if out is None else out.unionByName(df.select("row_key"))
+        return out
 
     def lookup(self, keys: DataFrame | list[str]) -> DataFrame:
         """Put rows of the given keys. A list becomes a pushed ``IN`` filter;

@@ -27,6 +27,20 @@ def test_ensure_and_evolve_case_insensitive(spark):
     t.ensure()  # idempotent
 
 
+def test_batches_without_key_files_count_as_stored(spark):
+    from cellar.runtime import delete_path
+
+    t = _table(spark, only_write_new=True)
+    ingest(records(spark, [rec(1, "http://a.b/1")]), t, 0)
+    ingest(records(spark, [rec(2, "http://a.b/2")]), t, 1)
+    delete_path(spark, f"{t.location}_keys")  # as stored before there were key files
+    ingest(records(spark, [rec(3, "http://a.b/3"), rec(4, "http://a.b/1")]), t, 2)
+    ingest(records(spark, [rec(5, "http://a.b/1"), rec(6, "http://a.b/2"), rec(7, "http://a.b/3"), rec(8, "http://a.b/4")]), t, 3)
+    assert sorted(r.seq for r in t.scan("seq").collect()) == [1, 2, 3, 8]
+    assert sorted(r.row_key[-1] for r in t.keys(exclude_batch=1).collect()) == ["1", "3", "4"]
+    t.drop(purge=True)
+
+
 def test_retry_same_batch_is_idempotent(spark):
     t = _table(spark, only_write_new=True)
     r = records(spark, [rec(1, "http://a.b/1"), rec(2, "http://a.b/2")])
