@@ -68,14 +68,14 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 SITE_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
               ("block", "net/es/"), ("block", "net/fr/")]
 
-#: The small labelled URL table of op7: hosts and paths that a reviewer would block or allow.
-BLOCKED_URLS = """cheap-pills.example.org/buy/now|pills-online.example.net/order/12|www.cheap-pills.test/en/4
-spam-farm.example.org/en/1|blog.spam-farm.test/de/99|spam-links.example.net/page/7|free-casino.test/bonus/1
+#: The small labelled URL table of op7: hosts and paths that a reviewer would block or allow. No site of the test tables is in it.
+BLOCKED_URLS = """bargain-tablets.example.org/buy/now|pills-online.example.net/order/12|www.bargain-tablets.test/en/4
+junk-mill.example.org/en/1|blog.junk-mill.test/de/99|spam-links.example.net/page/7|free-casino.test/bonus/1
 casino-bonus.example.org/play/now|best-casino.example.net/en/slots|poker-online.test/win/big|cheap-meds.test/en/20
 viagra-shop.example.org/buy/2|discount-pills.example.net/de/5|cheap-watches.test/sale/9|replica-watches.example.org/en/3
 free-download.test/crack/serial|warez-farm.example.net/en/8|link-farm.example.org/out/44|seo-spam.test/en/10
 payday-loans.example.org/apply/now|fast-loans.test/en/cash|xxx-cams.example.net/live/1|adult-cams.test/en/6
-win-prizes.example.org/claim/3|lottery-winner.test/en/claim|spam-farm.example.net/es/12|cheap-pills.example.net/fr/41
+win-prizes.example.org/claim/3|lottery-winner.test/en/claim|junk-mill.example.net/es/12|bargain-tablets.example.net/fr/41
 casino-spam.test/en/8|pills-discount.example.org/en/70|farm-of-spam.test/fr/2|cheap-replica.example.net/en/15
 bonus-casino.example.org/en/33|cheap-viagra.test/es/4|free-pills.example.org/en/18|spam.test/en/2""".replace("\n", "|").split("|")
 ALLOWED_URLS = """news.example.org/en/1|www.library.example.org/fr/22|blog.garden.example.org/en/300|museum.test/de/4
@@ -85,8 +85,8 @@ m.music.example.org/es/5|www.theatre.example.net/en/31|city.test/fr/12|blog.moun
 health.example.org/en/2|www.school.test/en/55|m.railway.example.net/fr/61|bookshop.example.org/en/14
 www.river.test/de/33|astronomy.example.org/en/28|blog.cooking.example.net/es/7|maps.test/en/19
 www.forest.example.org/en/83|m.cinema.test/fr/26|painting.example.net/en/11|blog.letters.example.org/de/3
-sport.test/es/16|www.winter.example.net/en/52|harbour.example.org/en/38|thering.example.org/en/74
-m.therath.example.net/de/65|tionand.example.org/fr/47|ththes.example.net/en/29|blog.theran.test/en/1""".replace("\n", "|").split("|")
+sport.test/es/16|www.winter.example.net/en/52|harbour.example.org/en/38|orchard.example.org/en/74
+m.gallery.example.net/de/65|village.example.org/fr/47|island.example.net/en/29|blog.kitchen.test/en/1""".replace("\n", "|").split("|")
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

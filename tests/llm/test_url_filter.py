@@ -38,6 +38,16 @@ def test_query_against_brute_force(spark):
     assert any(r["verdict"] == "allow" for r in learned)
 
 
+def test_labelled_sites_are_not_those_of_the_test_tables():
+    def names(host):
+        return set(host.split(".")) - {"www", "blog", "m", "test", "example", "com", "org", "net"}
+
+    pages = set().union(*(names(_parts(u)[0]) for sf in (SF0001, "/root/testdata/sf0.01", "/root/testdata/sf0.1")
+                          for u in pq.read_table(f"{sf}/pages.parquet").column("url").to_pylist()))
+    labelled = set().union(*(names(u.split("/")[0]) for u in queries.BLOCKED_URLS + queries.ALLOWED_URLS))
+    assert pages and not pages & labelled
+
+
 def test_edge_urls(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/x", "http://com/", "http://com", "x://a.net/es/1", "x://net/es", "y://a.net/ES/1",
             "http://u@example.com:80/en/", "http://example.com/en/?q=http://b.net/fr/", "http://a.net/fr/#x", "http://xcom/", "http://a.com?b/", "a://é.net/fr/ü\nz"]
