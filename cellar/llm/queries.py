@@ -13,6 +13,7 @@ from cellar.llm import (
     packing,
     quality_rules,
     simhash,
+    spelling,
     substring,
     token_output,
     toxicity,
@@ -108,10 +109,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_quality_rules, op2_token_output, op3_packing, op4_warc, op5_simhash, op6_substring, op7_url_filter, op8_language,
-              op9_toxicity, op10_decontamination)
+              op9_toxicity, op10_decontamination, op13_spelling)
 }
 
 #: The others cannot be written in SQL; tests/llm holds them against brute force or held-out labels.
