@@ -61,8 +61,8 @@ def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
 # ---- trie nodes ------------------------------------------------------------------
 
 
-def node_pairs(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of all words: (prefix node, suffix node, word number, whether a code point is inserted).
+def node_pairs(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of all words: (prefix node, suffix node, word number, position, whether a code point is inserted there).
 
     ``codes``: code points of all words one after the other; word k has ``codes[first[k]:first[k + 1]]``.
     """
@@ -80,8 +80,8 @@ def node_pairs(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     prefix = mix64(ahead[place] - ahead[first[:-1]][owner])
     suffix = mix64(back[first[1:]][owner] - back[place])
     skipped = np.arange(total) + word  # the place before each code point
-    return (np.concatenate([prefix[skipped], prefix]), np.concatenate([suffix[skipped + 1], suffix]),
-            np.concatenate([word, owner]), np.concatenate([np.zeros(total, bool), np.ones(total + n, bool)]))
+    return (np.concatenate([prefix[skipped], prefix]), np.concatenate([suffix[skipped + 1], suffix]), np.concatenate([word, owner]),
+            np.concatenate([at, place - first[:-1][owner]]), np.concatenate([np.zeros(total, bool), np.ones(total + n, bool)]))
 
 
 def _file_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,24 +96,30 @@ def _file_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         while at < len(ids):
             to = min(max(int(np.searchsorted(begins, begins[at] + _BLOCK, "right")) - 1, at + 1), len(ids))
             first = begins[at:to + 1] - begins[at]
-            p, s, word, inserted = node_pairs(codes[begins[at]:begins[to]], first)
+            p, s, word, place, inserted = node_pairs(codes[begins[at]:begins[to]], first)
             for i in range(0, len(p), _BLOCK):
                 cut = slice(i, i + _BLOCK)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(p[cut].view(np.int64)), pa.array(s[cut].view(np.int64)), pa.array(ids[at:to][word[cut]]), pa.array(inserted[cut])],
-                    names=["prefix", "suffix", "wid", "inserted"])
+                    [pa.array(p[cut].view(np.int64)), pa.array(s[cut].view(np.int64)), pa.array(ids[at:to][word[cut]]),
+                     pa.array(place[cut].astype(np.int32)), pa.array(inserted[cut])],
+                    names=["prefix", "suffix", "wid", "at", "inserted"])
             at = to
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """All pairs of ``words`` (wid, word, n) that differ by one code point, once each: a, b (wids), their words and counts."""
-    filed = words.select("wid", "word").mapInArrow(_file_words, "prefix long, suffix long, wid long, inserted boolean")
-    one = filed.filter(~F.col("inserted")).select("prefix", "suffix", F.col("wid").alias("a"))
+    filed = words.select("wid", "word").mapInArrow(_file_words, "prefix long, suffix long, wid long, at int, inserted boolean")
+    one = filed.filter(~F.col("inserted")).select("prefix", "suffix", F.col("wid").alias("a"), "at")
     other = filed.select("prefix", "suffix", F.col("wid").alias("b"), "inserted")
-    met = one.join(other, ["prefix", "suffix"]).filter(F.col("inserted") | (F.col("a") < F.col("b"))).select("a", "b").distinct()
+    met = one.join(other, ["prefix", "suffix"]).filter(F.col("inserted") | (F.col("a") < F.col("b")))
+    met = met.groupBy("a", "b").agg(F.min(F.struct("at", "inserted")).alias("x")).select("a", "b", "x.at", "x.inserted")
     left = words.select(F.col("wid").alias("a"), F.col("word").alias("a_word"), F.col("n").alias("a_n"))
     right = words.select(F.col("wid").alias("b"), F.col("word").alias("b_word"), F.col("n").alias("b_n"))
-    return met.join(left, "a").join(right, "b").filter(F.levenshtein("a_word", "b_word", 1) == 1)
+    rest = F.when(F.col("inserted"), F.col("at") + 1).otherwise(F.col("at") + 2)  # of the second word, after the edit
+    size = F.length("a_word")
+    same = ((F.col("a_word").substr(F.lit(1), F.col("at")) == F.col("b_word").substr(F.lit(1), F.col("at")))
+            & (F.col("a_word").substr(F.col("at") + 2, size) == F.col("b_word").substr(rest, size)))
+    return met.join(left, "a").join(right, "b").filter(same).drop("at", "inserted")
 
 
 # ---- forms and roots -------------------------------------------------------------

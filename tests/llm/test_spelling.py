@@ -98,7 +98,7 @@ def test_pairs_meet_exactly_at_one_edit():
     words = sorted({"".join(rng.choice(list("abé"), rng.integers(1, 7))) for _ in range(300)})
     first = np.concatenate([[0], np.cumsum([len(w) for w in words])])
     codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
-    p, s, word, inserted = spelling.node_pairs(codes, first)
+    p, s, word, _, inserted = spelling.node_pairs(codes, first)
     under: dict = {}
     for a, b, w, ins in zip(p, s, word, inserted):
         under.setdefault((a, b), []).append((words[w], ins))
