@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellar.llm import (
+    alignment,
     decontamination,
     language,
     minhash,
@@ -110,6 +111,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(_table(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model"))[0]
+
+
 def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -121,7 +128,7 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_quality_rules, op2_token_output, op3_packing, op4_warc, op5_simhash, op6_substring, op7_url_filter, op8_language,
-              op9_toxicity, op10_decontamination, op12_minhash, op13_spelling)
+              op9_toxicity, op10_decontamination, op11_alignment, op12_minhash, op13_spelling)
 }
 
 #: The others cannot be written in SQL; tests/llm holds them against brute force or held-out labels.
