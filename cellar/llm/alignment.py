@@ -13,7 +13,7 @@ ids, from irregular groups, go through a shuffle.
 
 Neither tokenizer merges across a single space between two characters that are
 not white space (checked for B against its pieces), so texts are cut there, and
-each distinct piece is encoded and aligned once in a task. Documents are taken
+each distinct piece of a chunk is encoded and aligned once. Documents are taken
 in chunks of about ``CHUNK`` bytes of text:
 
 1. Each chunk writes its documents (counts, digest of the groups, pieces as
@@ -36,6 +36,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -50,8 +51,8 @@ from cellar.llm.common import slices, stage_table, text_bytes
 from cellar.llm.tokens import Encoder, piece_edges
 
 #: Bytes of text in a chunk (at least one document).
-CHUNK = 8 << 20
-_KEPT_PIECES, _KEPT_BYTES = 250_000, 64 << 20
+CHUNK = 4 << 20
+_KEPT_PIECES = 100_000  # that the encoder of A remembers between chunks
 _MARK = "▁"  # how B writes a space (fixed value)
 
 
@@ -81,7 +82,7 @@ def b_bytes(model) -> list[bytes]:
 
 
 class Aligner:
-    """Encodes distinct pieces by both tokenizers, aligns them and keeps what it found."""
+    """Encodes distinct pieces by both tokenizers and aligns them."""
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
@@ -92,73 +93,78 @@ class Aligner:
             if _MARK in self.b.id_to_piece(i).lstrip(_MARK):
                 raise ValueError("the model has pieces that reach over a space")
         a, b = a_bytes(self.a.tokenizer), b_bytes(self.b)
-        self.a_text, self.b_text = a, b
-        self.a_size, self.b_size = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+        self.a_text, self.b_text = _Spans(a), _Spans(b)
+        self.b_size = len(b)
         plain: dict[bytes, int] = {}
         for i, x in enumerate(b):
             if not (self.b.is_control(i) or self.b.is_unknown(i)) and (x not in plain or not self.b.is_byte(i)):
                 plain[x] = i
         self.same = np.array([plain.get(x, -1) for x in a])
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.bytes = 0
-        #: of each piece: whether both cover it, tokens of A and B, groups, and the groups written out
-        self.ok: list[bool] = []
-        self.counts: list[tuple[int, int, int]] = []
-        self.groups: list[str] = []
-        self.links: list[np.ndarray] = []  # pair codes: A's id * size of B's vocabulary + B's id
-
-    def slots(self, pieces: list[bytes]) -> np.ndarray:
-        """Numbers under which the pieces are kept."""
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > _KEPT_PIECES or self.bytes > _KEPT_BYTES:
-            self._forget()
-            new = pieces
-        if new:
-            self._align(new)
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-
-    def _align(self, new: list[bytes]) -> None:
-        texts = [p.decode() for p in new]
-        a, a_edge = self.a.encode(pa.array(texts, pa.large_string()))
-        encoded = self.b.encode([t[1:] for t in texts], num_threads=1)
-        b = np.array([i for ids in encoded for i in ids], np.int64)
-        b_edge = np.concatenate([[0], np.cumsum([len(ids) for ids in encoded])]).astype(np.int64)
-        a = a.astype(np.int64)
-        size = np.array([len(p) for p in new])
-        covers = []
-        for ids, edge, spelt, sizes in ((a, a_edge, self.a_text, self.a_size), (b, b_edge, self.b_text, self.b_size)):
-            width = np.add.reduceat(np.append(sizes[ids], 0), edge[:-1]) * (np.diff(edge) > 0)
-            whole = b"".join(map(spelt.__getitem__, ids.tolist()))
-            at = np.concatenate([[0], np.cumsum(width)]).tolist()
-            covers.append([whole[at[k]:at[k + 1]] == p for k, p in enumerate(new)])
-        ok = np.array(covers).all(axis=0)
-        # ends of all tokens of the pieces that are covered, one after the other
-        a_in, b_in = ok[np.repeat(np.arange(len(new)), np.diff(a_edge))], ok[np.repeat(np.arange(len(new)), np.diff(b_edge))]
-        a, b = a[a_in], b[b_in]
-        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        self.number = _Spans([b"%d" % i for i in range(max(len(a), len(b)))])
+
+    def align(self, pieces: list[bytes]) -> dict:
+        """For each piece: ok (both cover it byte by byte; else it has no tokens), counts (tokens of A, of B, groups), written
+        (its groups) and the pair codes (A's id * size of B's vocabulary + B's id) of its links, with their edges."""
+        if len(self.a.known) > _KEPT_PIECES:
+            self.a._forget()  # noqa: SLF001
+        a, a_edge = self.a.encode(pa.array([p.decode() for p in pieces], pa.large_string()))
+        encoded = self.b.encode([p[1:].decode() for p in pieces], num_threads=1)
+        b_edge = np.concatenate([[0], np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)))])
+        b = np.fromiter(chain.from_iterable(encoded), np.int64, int(b_edge[-1]))
+        del encoded
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        ok = self.a_text.spell(a, a_edge, raw, size) & self.b_text.spell(b, b_edge, raw, size)
+        a, b = a[ok[np.repeat(np.arange(len(size)), np.diff(a_edge))]].astype(np.int64), b[ok[np.repeat(np.arange(len(size)), np.diff(b_edge))]]
+        # ends of all tokens of the covered pieces, one piece after the other
+        a_end, b_end = np.cumsum(self.a_text.size[a]), np.cumsum(self.b_text.size[b])
         ends = np.union1d(a_end, b_end)
         both = np.intersect1d(a_end, b_end, assume_unique=True)
-        codes = a[np.searchsorted(a_end, ends)] * len(self.b_size) + b[np.searchsorted(b_end, ends)]
-        piece_end = np.cumsum(np.where(ok, size, 0))
-        link_at = np.concatenate([[0], np.searchsorted(ends, piece_end, "right")])
-        n_a, n_b = np.diff(np.searchsorted(a_end, piece_end, "right"), prepend=0), np.diff(np.searchsorted(b_end, piece_end, "right"), prepend=0)
-        group_at = np.concatenate([[0], np.searchsorted(both, piece_end, "right")])
-        a_cut, b_cut = np.searchsorted(a_end, both, "right").tolist(), np.searchsorted(b_end, both, "right").tolist()
-        a_name, b_name = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        written, i, j = [], 0, 0
-        for to_a, to_b in zip(a_cut, b_cut):
-            written.append(",".join(a_name[i:to_a]) + "|" + ",".join(b_name[j:to_b]))
-            i, j = to_a, to_b
-        for k, p in enumerate(new):
-            self.known[p] = len(self.ok)
-            self.ok.append(bool(ok[k]))
-            self.counts.append((int(n_a[k]), int(n_b[k]), int(group_at[k + 1] - group_at[k])))
-            self.groups.append(";".join(written[group_at[k]:group_at[k + 1]]))
-            self.links.append(codes[link_at[k]:link_at[k + 1]])
-            self.bytes += len(p) + len(self.groups[-1]) + 8 * len(self.links[-1])
+        codes = a[np.searchsorted(a_end, ends)] * self.b_size + b[np.searchsorted(b_end, ends)]
+        to = np.concatenate([[0], np.cumsum(np.where(ok, size, 0))])
+        at = {k: np.searchsorted(v, to, "right") for k, v in (("a", a_end), ("b", b_end), ("link", ends), ("group", both))}
+        # tokens in the order in which groups are written: those of A, then those of B
+        a_to, b_to = np.searchsorted(a_end, both, "right"), np.searchsorted(b_end, both, "right")
+        a_at = np.arange(len(a)) + np.concatenate([[0], b_to])[np.searchsorted(both, a_end)]
+        b_at = np.arange(len(b)) + a_to[np.searchsorted(both, b_end)]
+        ids, follow = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        ids[a_at], ids[b_at] = a, b
+        follow[a_at[a_to - 1]], follow[b_at[b_to - 1]] = ord("|"), ord(";")
+        width = self.number.size[ids] + 1
+        done = np.concatenate([[0], np.cumsum(width)])
+        written = np.empty(int(done[-1]), np.uint8)
+        last = done[1:] - 1
+        digit = np.ones(len(written), bool)
+        digit[last] = False
+        written[last] = follow
+        written[digit] = self.number.of(ids)
+        return {"ok": ok, "counts": np.stack([np.diff(at[k]) for k in ("a", "b", "group")], axis=1), "codes": codes, "link_edge": at["link"],
+                "written": written.tobytes(), "written_edge": done[at["a"] + at["b"]]}
+
+
+class _Spans:
+    """A table of byte strings that are gathered many at once."""
+
+    def __init__(self, strings: list[bytes]):
+        self.size = np.array([len(x) for x in strings], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.raw = np.frombuffer(b"".join(strings), np.uint8)
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        """The strings of ``ids``, one after the other."""
+        size = self.size[ids]
+        shift = self.start[ids] - (np.cumsum(size) - size)
+        return self.raw[np.repeat(shift, size) + np.arange(int(size.sum()))]
+
+    def spell(self, ids: np.ndarray, edge: np.ndarray, raw: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the ids of each piece (``edge``) spell its bytes (``raw``, cut by ``size``)."""
+        done = np.concatenate([[0], np.cumsum(self.size[ids])])
+        fits = np.diff(done[edge]) == size
+        if not fits.all():
+            ids, raw = ids[fits[np.repeat(np.arange(len(size)), np.diff(edge))]], raw[np.repeat(fits, size)]
+        wrong = np.concatenate([[0], np.cumsum(self.of(ids) != raw)])
+        fits[fits] = np.diff(wrong[np.concatenate([[0], np.cumsum(size[fits])])]) == 0
+        return fits
 
 
 def spaced(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -180,18 +186,17 @@ def align_chunk(aligner: Aligner, texts: pa.Array) -> dict:
     bounds = pa.py_buffer(np.append(edges, len(buf)).astype(np.int64))
     cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges), [None, bounds, pa.py_buffer(np.ascontiguousarray(buf))])
     coded = cut.dictionary_encode()
-    slot = aligner.slots(coded.dictionary.to_pylist()).tolist()
     piece = coded.indices.to_numpy().astype(np.int64)
-    ok = np.array([aligner.ok[s] for s in slot], bool)
-    counts = np.array([aligner.counts[s] for s in slot], np.int64).reshape(-1, 3)
-    names = [aligner.groups[s] for s in slot]
-    links = [aligner.links[s] for s in slot]
-    width = np.array([len(x) for x in links], np.int64)
-    link_edge = np.concatenate([[0], np.cumsum(width)])
-    pairs, link = np.unique(np.concatenate([*links, np.zeros(0, np.int64)]), return_inverse=True)
+    got = aligner.align(coded.dictionary.to_pylist())
+    ok, counts, link_edge = got["ok"], got["counts"], got["link_edge"]
+    to = got["written_edge"].tolist()
+    names = [got["written"][i:j] for i, j in zip(to, to[1:])]  # each piece's groups, each with a semicolon behind
+    width = np.diff(link_edge)
+    pairs, link = np.unique(got["codes"], return_inverse=True)
+    del got
     first = np.searchsorted(edges, offsets)
     n = len(offsets) - 1
-    held, stamp = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)  # documents of the chunk that hold a pair
+    held, stamp, seen = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64), np.zeros(len(ok), np.int64)
     totals, digests, pieces = np.zeros((n, 4), np.int64), [""] * n, [piece[:0]] * n
     for d in range(n):
         p = piece[first[d]:first[d + 1]]
@@ -200,19 +205,21 @@ def align_chunk(aligner: Aligner, texts: pa.Array) -> dict:
         pieces[d] = p
         totals[d, :3] = counts[p].sum(axis=0)
         totals[d, 3] = width[p].sum()
-        digests[d] = hashlib.sha256(";".join([names[i] for i in p.tolist()]).encode()).hexdigest()
-        kinds = np.unique(p)
+        digests[d] = hashlib.sha256(b"".join([names[i] for i in p.tolist()])[:-1]).hexdigest()
+        order = np.arange(len(p))
+        seen[p] = order  # of equal pieces the last one stays
+        kinds = p[seen[p] == order]
         size = width[kinds]
         at = link[np.repeat(link_edge[kinds] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
         order = np.arange(len(at))
-        stamp[at] = order  # of equal pairs the last one stays
-        held[at[stamp[at] == order]] += 1
+        stamp[at] = order
+        held[at[stamp[at] == order]] += 1  # documents that hold the pair
     return {"pieces": pieces, "totals": totals, "digests": digests, "pairs": pairs, "held": held, "link": link, "link_edge": link_edge}
 
 
 @cache
 def _aligner(a_path: str, b_path: str) -> Aligner:
-    """One for all tasks of a worker: pieces stay known."""
+    """One for all tasks of a worker."""
     return Aligner(a_path, b_path)
 
 
@@ -246,8 +253,8 @@ def _encode(a_path: str, b_path: str, schema: T.StructType, chunk_bytes: int):
 
         for b in slices(batches, "text", chunk_bytes):
             got = align_chunk(aligner, b.column("text"))
-            identical = aligner.same[got["pairs"] // len(aligner.b_size)] == got["pairs"] % len(aligner.b_size)
-            np.add.at(vector, got["pairs"][identical] // len(aligner.b_size), got["held"][identical])
+            identical = aligner.same[got["pairs"] // aligner.b_size] == got["pairs"] % aligner.b_size
+            np.add.at(vector, got["pairs"][identical] // aligner.b_size, got["held"][identical])
             narrow = "<u2" if len(got["link_edge"]) <= 1 << 16 else "<u4"
             none = pa.nulls(b.num_rows, pa.binary())
             yield pa.RecordBatch.from_arrays([
@@ -318,7 +325,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int = CHUNK) -
     schema = _chunk_schema(docs.schema["doc_id"])
     chunks = stage_table(docs.mapInArrow(_encode(a_path, b_path, schema, chunk_bytes), schema), "align-chunks")
     aligner = _aligner(a_path, b_path)
-    same, b_size = aligner.same, len(aligner.b_size)
+    same, b_size = aligner.same, aligner.b_size
     # at most one row for each id of A
     regular = np.zeros(len(same), np.int64)
     vectors = chunks.filter(F.col("vector").isNotNull()).select("vector").mapInArrow(_add_vectors, "a long, n long")
