@@ -13,7 +13,8 @@ register with the probability of their Jaccard similarity, small sets too.
 3. Star rounds: in every bucket that holds nodes of several components, each
    node is paired with one node of another component, the one that it shares
    the most buckets with is tried, and components are contracted. A group of
-   near copies thus takes a number of pairs linear in its size.
+   near copies thus takes a number of pairs linear in its size. Rounds end when
+   they link little.
 4. What is still apart after the rounds is compared exhaustively in blocks:
    every node outside its bucket's main component with all nodes of the bucket.
    Blocks are dealt over tasks and only pairs that pass the estimate leave them.
@@ -50,6 +51,12 @@ BAND = 5
 ROUNDS = 5
 #: Nodes of a block of the exhaustive comparison.
 BLOCK = 256
+#: A round of stars that links fewer of its pairs is the last one.
+LEAST_LINKED = 0.2
+#: Pairs of one node that meet in a task.
+HOT = 200
+#: Bits of the filters that keep rows without a partner out of a shuffle (8 MB).
+FILTER_BITS = 26
 #: How far an estimate may fall below the threshold.
 SLACK = 0.2
 _SPLIT = np.uint64(0x5851F42D4C957F2D)
@@ -181,6 +188,23 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["key", "nid"])
 
 
+# ---- filters ahead of shuffles ---------------------------------------------------------
+
+
+def _words(keys: DataFrame, column: str) -> DataFrame:
+    """A hash filter of ``keys``: one bit of ``2**FILTER_BITS`` for each key, as at most ``2**(FILTER_BITS - 6)`` words."""
+    bit = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+    return keys.select(F.shiftright(bit, 6).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int")).alias("bits")) \
+        .groupBy("word").agg(F.bit_or("bits").alias("bits"))
+
+
+def _may_hold(rows: DataFrame, column: str, words: DataFrame) -> DataFrame:
+    """Rows whose key may be one of the filter's: all that are, and some others. The filter is broadcast; its size is fixed."""
+    bit = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+    found = rows.withColumn("word", F.shiftright(bit, 6).cast("int")).join(F.broadcast(words), "word")
+    return found.filter(F.col("bits").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))) != 0).drop("word", "bits")
+
+
 # ---- pairs --------------------------------------------------------------------------
 
 
@@ -196,11 +220,13 @@ def _close(similarity: float):
 
 
 def _sided(pairs: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame:
-    """``pairs`` (a, b) with the columns of both nodes; b may be one node in many rows."""
+    """``pairs`` (a, b) with the columns of both nodes. b may be one node in many rows: it is repeated once for each ``HOT`` of them."""
     one = facts.select(F.col("nid").alias("a"), *[F.col(c).alias(f"a_{c}") for c in columns])
-    two = facts.join(pairs.select(F.col("b").alias("nid")).distinct(), "nid", "left_semi").select(
-        F.col("nid").alias("b"), *[F.col(c).alias(f"b_{c}") for c in columns])
-    return salted_join(pairs.join(one, "a"), two, ["b"], "inner", salts=16, spread=["a"])
+    uses = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / HOT).alias("parts"))
+    two = uses.join(facts.select(F.col("nid").alias("b"), *[F.col(c).alias(f"b_{c}") for c in columns]), "b")
+    two = two.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    dealt = salted_join(pairs, uses, ["b"], "inner", spread=["a"]).withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts"))).drop("parts")
+    return dealt.join(one, "a").join(two, ["b", "part"]).drop("part")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -224,7 +250,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
             items = pa.LargeListArray.from_arrays(pa.array(edge.astype(np.int64)), pa.array(h.view(np.int64))).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([b.column("nid"), items], names=["nid", "items"])
 
-    texts = docs.select(F.col("doc_id").alias("d"), *_text_hash(), "text")
+    texts = _may_hold(docs.select(F.col("doc_id").alias("d"), *_text_hash(), "text"), "x1", _words(nodes, "x1"))
     same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("x1") == F.col("t1")) & (F.col("x2") == F.col("t2"))
     found = texts.join(nodes.withColumnsRenamed({"x1": "t1", "x2": "t2"}), same).select("nid", "text").mapInArrow(run, "nid long, items array<long>")
     return found.dropDuplicates(["nid"])
@@ -329,38 +355,47 @@ def links(docs: DataFrame, sketched: DataFrame, nodes: DataFrame, similarity: fl
     ``sketched``: rows (sid, doc_id, x1, x2, n, regs); ``nodes``: (nid, copies), each the sid of one row of its set.
     """
     spark = docs.sparkSession
-    facts = stage_table(sketched.filter("n > 0").join(nodes.select(F.col("nid").alias("sid"), "copies"), "sid").withColumnRenamed("sid", "nid"),
-                        "minhash-nodes")
-    keys = stage_table(facts.select("nid", "regs").mapInArrow(_bands, "key long, nid long"), "minhash-bands")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    members = salted_join(keys, shared, ["key"], "inner", spread=["nid"]).join(facts.select("nid", "copies"), "nid")
-    members = stage_table(members, "minhash-members")
+    facts = sketched.filter("n > 0").join(nodes.select(F.col("nid").alias("sid"), "copies"), "sid").withColumnRenamed("sid", "nid")
+    facts, all_facts = write_stage(facts.select("nid", "doc_id", "x1", "x2", "n", "copies", "regs"), "llm-minhash-nodes")
+    keys, all_keys = write_stage(facts.select("nid", "regs").mapInArrow(_bands, "key long, nid long"), "llm-minhash-bands")
+    shared = stage_table(keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key"), "minhash-shared")
+    members = salted_join(_may_hold(keys, "key", _words(shared, "key")), shared, ["key"], "inner", spread=["nid"])
+    members, shown = write_stage(members.join(facts.select("nid", "copies"), "nid"), "llm-minhash-members")
     facts = stage_table(facts.join(members.select("nid").distinct(), "nid", "left_semi"), "minhash-candidates")
+    for path in (all_facts, all_keys):
+        delete_path(spark, path)
     sets = stage_table(_sets_of(docs, facts.select("nid", "doc_id", "x1", "x2"), shingle), "minhash-sets")
-    roots = spark.createDataFrame([], "node long, root long")
-    edges = spark.createDataFrame([], "a long, b long")
-    for turn in range(ROUNDS + 1):
-        path, now = None, members.withColumn("comp", F.col("nid"))
-        if turn:
-            now = members.join(roots.withColumnRenamed("node", "nid"), "nid", "left").withColumn("comp", F.coalesce("root", "nid")).drop("root")
-            now, path = write_stage(now, "llm-minhash-round")
-        if turn < ROUNDS:
-            buckets = _contested(now, turn)
-            near = _sided(_star_pairs(now, buckets), facts, ["n", "regs"]).filter(_size_fits(similarity))
-            near = near.mapInArrow(_close(similarity), "a long, b long")
+    roots, turn, stars = spark.createDataFrame([], "node long, root long"), 0, True
+    now = members.withColumn("comp", F.col("nid"))
+    while True:
+        if stars:
+            tried, path = write_stage(_star_pairs(now, _contested(now, turn)), "llm-minhash-tried")
+            near = _sided(tried, facts, ["n", "regs"]).filter(_size_fits(similarity)).mapInArrow(_close(similarity), "a long, b long")
         else:
             blocks = _blocks(now, facts).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "asks")
-            near = blocks.mapInArrow(_block_pairs(similarity), "a long, b long").distinct()
+            near, path = write_stage(blocks.mapInArrow(_block_pairs(similarity), "a long, b long").distinct(), "llm-minhash-tried")
         found = stage_table(_confirm(near, sets, similarity), "minhash-links")
-        if path:
-            delete_path(spark, path)
-        if found.isEmpty():
-            if turn >= ROUNDS:
-                break
-            continue
-        edges = found if turn == 0 else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found)
-        roots = stage_table(components(edges), "minhash-roots")
-    return roots
+        n = found.count()
+        few = n == 0 or (stars and n < LEAST_LINKED * tried.count())
+        delete_path(spark, path)
+        if n:
+            old = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = stage_table(components(old.unionByName(found) if turn else found), "minhash-roots")
+        if not stars:
+            delete_path(spark, shown)
+            return roots
+        turn += 1
+        stars = turn < ROUNDS and not few
+        # buckets of one component need not be looked at again
+        now = members.select("key", "nid", "copies").join(roots.withColumnRenamed("node", "nid"), "nid", "left").withColumn(
+            "comp", F.coalesce("root", "nid")).drop("root")
+        rooted, path = write_stage(now, "llm-minhash-rooted")
+        open_keys = rooted.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("key")
+        now, after = write_stage(salted_join(rooted, open_keys, ["key"], "inner", spread=["nid"]), "llm-minhash-members")
+        members = now
+        for old in (path, shown):
+            delete_path(spark, old)
+        shown = after
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 2) -> DataFrame:

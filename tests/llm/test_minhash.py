@@ -74,7 +74,7 @@ def near_copies(n=260, size=60, seed=3) -> list[tuple]:
     return rows
 
 
-@pytest.mark.parametrize("rounds", [0, 2])
+@pytest.mark.parametrize("rounds", [1, 3])
 def test_a_group_of_near_copies(spark, monkeypatch, rounds):
     monkeypatch.setattr(minhash, "ROUNDS", rounds)
     monkeypatch.setattr(minhash, "BLOCK", 50)
