@@ -48,11 +48,11 @@ MANTISSA_BITS = 10
 REGISTERS = 1 << BUCKET_BITS
 BAND = 5
 #: Rounds in which a group of near copies is linked by stars.
-ROUNDS = 5
+ROUNDS = 8
 #: Nodes of a block of the exhaustive comparison.
 BLOCK = 256
 #: A round of stars that links fewer of its pairs is the last one.
-LEAST_LINKED = 0.2
+LEAST_LINKED = 0.03
 #: Pairs of one node that meet in a task.
 HOT = 200
 #: Bits of the filters that keep rows without a partner out of a shuffle (8 MB).
@@ -281,8 +281,8 @@ def _star_pairs(members: DataFrame, buckets: DataFrame) -> DataFrame:
     return best.select(F.col("nid").alias("a"), F.col("x.b").alias("b"))
 
 
-def _blocks(members: DataFrame, facts: DataFrame) -> DataFrame:
-    """Rows (key, i, j, asks, nid, comp, rest, n, regs) of the blocks: of each bucket that holds several components, every node
+def _blocks(members: DataFrame, facts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (key, i, j, asks, nid, comp, rest, n, regs, items) of the blocks: of each bucket that holds several components, every node
     outside the main one (``asks``, ``rest``) with every node."""
     by = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     of = by.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts"))
@@ -301,14 +301,34 @@ def _blocks(members: DataFrame, facts: DataFrame) -> DataFrame:
 
     asking = rows.filter("rest").select("key", dealt("few").alias("i"), every("all").alias("j"), F.lit(True).alias("asks"), "nid", "comp", "rest")
     asked = rows.select("key", every("few").alias("i"), dealt("all").alias("j"), F.lit(False).alias("asks"), "nid", "comp", "rest")
-    return asking.unionByName(asked).join(facts.select("nid", "n", "regs"), "nid")
+    return asking.unionByName(asked).join(facts.select("nid", "n", "regs").join(sets, "nid"), "nid")
 
 
 def _block_pairs(similarity: float, at_once: int = 40_000):
-    """Pairs (a, b) of sorted block rows that are of different components and not ruled out by size or estimate."""
+    """Links (a, b) of sorted block rows of different components: not ruled out by size or estimate, confirmed on the full sets.
+
+    Of the nodes of one component that a node is linked with, one is given.
+    """
+    limit = round(100 * similarity)
+
+    def confirmed(col: dict, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        cut = np.append(np.flatnonzero(np.diff(a, prepend=-1)), len(a))
+        for i, j in zip(cut[:-1], cut[1:]):
+            to, own = b[i:j], col["items"][col["edge"][a[i]]:col["edge"][a[i] + 1]]
+            size = col["n"][to]
+            done = np.cumsum(size) - size
+            theirs = col["items"][np.repeat(col["edge"][to] - done, size) + np.arange(int(size.sum()))]
+            common = np.add.reduceat(own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs, done)
+            to = to[100 * common >= limit * (len(own) + size - common)]
+            to = to[np.unique(col["comp"][to], return_index=True)[1]]
+            yield np.full(len(to), col["nid"][a[i]]), col["nid"][to]
+
     def pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
         col = {c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "asks", "nid", "comp", "rest", "n")}
         regs = _matrix(t.column("regs").combine_chunks())
+        items = t.column("items").combine_chunks()
+        col["edge"] = items.offsets.to_numpy().astype(np.int64)
+        col["items"] = items.values.to_numpy(zero_copy_only=False).view(np.uint64)
         new = np.ones(len(regs), bool)
         new[1:] = (col["key"][1:] != col["key"][:-1]) | (col["i"][1:] != col["i"][:-1]) | (col["j"][1:] != col["j"][:-1])
         edge = np.append(np.flatnonzero(new), len(regs))
@@ -324,10 +344,12 @@ def _block_pairs(similarity: float, at_once: int = 40_000):
             b = edge[group[a]] + k - done[which]
             small, large = np.minimum(col["n"][a], col["n"][b]), np.maximum(col["n"][a], col["n"][b])
             ok = ((col["comp"][a] != col["comp"][b]) & (~col["rest"][b] | (col["nid"][a] < col["nid"][b]))
-                  & (100 * small >= round(100 * similarity) * large))
+                  & (100 * small >= limit * large))
             a, b = a[ok], b[ok]
             ok = estimate(regs[a], regs[b], col["n"][a], col["n"][b]) >= similarity - SLACK
-            yield pa.RecordBatch.from_arrays([pa.array(col["nid"][a[ok]]), pa.array(col["nid"][b[ok]])], names=["a", "b"])
+            found = list(confirmed(col, a[ok], b[ok])) if ok.any() else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
@@ -371,13 +393,14 @@ def links(docs: DataFrame, sketched: DataFrame, nodes: DataFrame, similarity: fl
         if stars:
             tried, path = write_stage(_star_pairs(now, _contested(now, turn)), "llm-minhash-tried")
             near = _sided(tried, facts, ["n", "regs"]).filter(_size_fits(similarity)).mapInArrow(_close(similarity), "a long, b long")
+            found = stage_table(_confirm(near, sets, similarity), "minhash-links")
+            n = found.count()
+            few = n <= LEAST_LINKED * tried.count()
+            delete_path(spark, path)
         else:
-            blocks = _blocks(now, facts).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "asks")
-            near, path = write_stage(blocks.mapInArrow(_block_pairs(similarity), "a long, b long").distinct(), "llm-minhash-tried")
-        found = stage_table(_confirm(near, sets, similarity), "minhash-links")
-        n = found.count()
-        few = n == 0 or (stars and n < LEAST_LINKED * tried.count())
-        delete_path(spark, path)
+            blocks = _blocks(now, facts, sets).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "asks")
+            found = stage_table(blocks.mapInArrow(_block_pairs(similarity), "a long, b long").distinct(), "minhash-links")
+            n = found.count()
         if n:
             old = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
             roots = stage_table(components(old.unionByName(found) if turn else found), "minhash-roots")
