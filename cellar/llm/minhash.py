@@ -13,8 +13,8 @@ register with the probability of their Jaccard similarity, small sets too.
 3. Star rounds: in every bucket that holds nodes of several components, each
    node is paired with one node of another component, the one that it shares
    the most buckets with is tried, and components are contracted. A group of
-   near copies thus takes a number of pairs linear in its size. Rounds end when
-   they link little.
+   near copies thus takes a number of pairs linear in its size. Rounds go on
+   while large buckets hold several components.
 4. What is still apart after the rounds is compared exhaustively in blocks:
    every node outside its bucket's main component with all nodes of the bucket.
    Blocks are dealt over tasks and only pairs that pass the estimate leave them.
@@ -51,7 +51,8 @@ BAND = 5
 ROUNDS = 8
 #: Nodes of a block of the exhaustive comparison.
 BLOCK = 256
-#: A round of stars that links fewer of its pairs is the last one.
+#: Star rounds go on while a bucket of several components holds more nodes, and while they link this part of their pairs.
+BIG = 5_000
 LEAST_LINKED = 0.03
 #: Pairs of one node that meet in a task.
 HOT = 200
@@ -262,21 +263,20 @@ def _text_hash() -> list:
 
 
 def _contested(members: DataFrame, turn: int) -> DataFrame:
-    """Buckets of ``members`` (key, nid, comp, copies) with several components: key and one node each of the two outer ones."""
-    if turn == 0:  # a node of many copies is often what the others were made from
-        order = F.struct((-F.col("copies")).alias("x"), F.xxhash64("nid").alias("y"), "nid", "comp")
-    else:
-        order = F.struct(F.xxhash64(F.lit(turn), F.col("comp")).alias("x"), F.xxhash64(F.lit(turn), F.col("nid")).alias("y"), "nid", "comp")
-    ends = members.groupBy("key").agg(F.min(order).alias("lo"), F.max(order).alias("hi"))
-    return ends.filter(F.col("lo.comp") != F.col("hi.comp")).select(
-        "key", F.col("lo.nid").alias("lo"), F.col("lo.comp").alias("lo_comp"), F.col("hi.nid").alias("hi"))
+    """Buckets of ``members`` (key, nid, comp, size, copies): key and the node that the others are tried with.
+
+    First the one of most copies, which is often what the others were made from; then, of the component that has the
+    most nodes, another one in each round.
+    """
+    first = F.col("copies") if turn == 0 else F.col("size")
+    order = F.struct((-first).alias("x"), F.xxhash64(F.lit(turn), F.col("comp")).alias("y"), F.xxhash64(F.lit(turn), F.col("nid")).alias("z"), "nid", "comp")
+    return members.groupBy("key").agg(F.min(order).alias("lo")).select("key", F.col("lo.nid").alias("lo"), F.col("lo.comp").alias("lo_comp"))
 
 
 def _star_pairs(members: DataFrame, buckets: DataFrame) -> DataFrame:
     """(a, b): for each node the node of another component that it is put beside in most buckets."""
     beside = salted_join(members.select("key", "nid", "comp"), buckets, ["key"], "inner", spread=["nid"])
-    other = F.when(F.col("comp") != F.col("lo_comp"), F.col("lo")).otherwise(F.col("hi"))
-    tried = beside.select("nid", other.alias("b")).groupBy("nid", "b").agg(F.count(F.lit(1)).alias("n"))
+    tried = beside.filter(F.col("comp") != F.col("lo_comp")).select("nid", F.col("lo").alias("b")).groupBy("nid", "b").agg(F.count(F.lit(1)).alias("n"))
     best = tried.groupBy("nid").agg(F.max(F.struct("n", "b")).alias("x"))
     return best.select(F.col("nid").alias("a"), F.col("x.b").alias("b"))
 
@@ -388,7 +388,7 @@ def links(docs: DataFrame, sketched: DataFrame, nodes: DataFrame, similarity: fl
         delete_path(spark, path)
     sets = stage_table(_sets_of(docs, facts.select("nid", "doc_id", "x1", "x2"), shingle), "minhash-sets")
     roots, turn, stars = spark.createDataFrame([], "node long, root long"), 0, True
-    now = members.withColumn("comp", F.col("nid"))
+    now = members.withColumns({"comp": F.col("nid"), "size": F.lit(1)})
     while True:
         if stars:
             tried, path = write_stage(_star_pairs(now, _contested(now, turn)), "llm-minhash-tried")
@@ -408,14 +408,16 @@ def links(docs: DataFrame, sketched: DataFrame, nodes: DataFrame, similarity: fl
             delete_path(spark, shown)
             return roots
         turn += 1
-        stars = turn < ROUNDS and not few
         # buckets of one component need not be looked at again
-        now = members.select("key", "nid", "copies").join(roots.withColumnRenamed("node", "nid"), "nid", "left").withColumn(
-            "comp", F.coalesce("root", "nid")).drop("root")
+        sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+        rooted = salted_join(roots.withColumnRenamed("node", "nid"), sizes, ["root"], "inner", spread=["nid"])
+        now = members.select("key", "nid", "copies").join(rooted, "nid", "left").withColumns(
+            {"comp": F.coalesce("root", "nid"), "size": F.coalesce("size", F.lit(1))}).drop("root")
         rooted, path = write_stage(now, "llm-minhash-rooted")
-        open_keys = rooted.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("key")
-        now, after = write_stage(salted_join(rooted, open_keys, ["key"], "inner", spread=["nid"]), "llm-minhash-members")
+        open_keys = rooted.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("c")).filter("x != y")
+        now, after = write_stage(salted_join(rooted, open_keys.select("key", "c"), ["key"], "inner", spread=["nid"]), "llm-minhash-members")
         members = now
+        stars = turn < ROUNDS and not few and (now.agg(F.max("c")).first()[0] or 0) > BIG
         for old in (path, shown):
             delete_path(spark, old)
         shown = after

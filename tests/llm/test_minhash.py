@@ -78,6 +78,7 @@ def near_copies(n=260, size=60, seed=3) -> list[tuple]:
 def test_a_group_of_near_copies(spark, monkeypatch, rounds):
     monkeypatch.setattr(minhash, "ROUNDS", rounds)
     monkeypatch.setattr(minhash, "BLOCK", 50)
+    monkeypatch.setattr(minhash, "BIG", 10)
     rows = near_copies()
     rows += [(1000 + d, t) for d, t in rows[:40]]  # exact copies
     got = ours(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)))
