@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellar.operators.bloom import key_filter, may_hold
 from cellar.operators.project import CELL_KINDS, hook_columns, to_bytes
 from cellar.options import CrawlOptions
 
@@ -110,7 +111,10 @@ def latest_wide(puts: DataFrame, opts: CrawlOptions, with_versions: bool = False
                                            F.col("p.b").alias("__b")).agg(F.collect_set("p.cell").alias("__cells"))
     same = ((F.col("row_key") == F.col("__k")) & F.col("write_ts").eqNullSafe(F.col("__t")) & F.col("seq").eqNullSafe(F.col("__s"))
             & F.col("batch_id").eqNullSafe(F.col("__b")))
-    won = puts.select("row_key", "write_ts", "seq", "batch_id", *[c for c, _ in big]).join(picks, same)
+    version = ["row_key", "write_ts", "seq", "batch_id"]
+    named = key_filter(picks.select(*[F.col(a).alias(b) for a, b in zip(("__k", "__t", "__s", "__b"), version)]), version)
+    # versions that did not win stay out of the join's shuffle
+    won = may_hold(puts.select(*version, *[c for c, _ in big]), version, named).join(picks, same)
     # one row per winner; a record delivered twice is one version, of which the greater bytes are shown
     payload = won.groupBy("row_key").agg(*[F.max(F.when(F.array_contains("__cells", c), F.col(c))).alias(c) for c, _ in big])
     return agg.join(payload, "row_key", "left").select(*order)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellar.functions.timefn import ms_floor
+from cellar.operators.bloom import key_filter, may_hold
 from cellar.operators.joins import salted_join
 from cellar.operators.project import with_row_key
 from cellar.options import UNWRITTEN_SIZE, CrawlOptions
@@ -87,8 +88,15 @@ def write_status(records: DataFrame, keys: DataFrame | None, opts: CrawlOptions)
     The one join is salted, so a hot URL's records meet in several tasks, and
     records without a key are spread apart.
     """
-    ctrl = control_columns(records, opts)
+    return status_of(control_columns(records, opts), keys, opts)
+
+
+def status_of(ctrl: DataFrame, keys: DataFrame | None, opts: CrawlOptions, filtered: bool = False) -> DataFrame:
+    """``write_status`` of control columns. ``filtered``: stored keys that no record can have are left out ahead of the
+    shuffle, by a filter of the records' keys; a pass over ``ctrl``, so for one that is written."""
     if opts.only_new:
+        if filtered and keys is not None:
+            keys = may_hold(keys.select("row_key"), ["row_key"], key_filter(ctrl, ["row_key"]))
         ctrl = salted_join(ctrl, key_facts(ctrl, keys), "row_key", "seq")
         in_table = F.coalesce(F.col("in_table"), F.lit(False))
         after_first = F.col("first_write").isNotNull() & (F.struct("write_ts", "seq") > F.col("first_write"))
@@ -159,13 +167,17 @@ def _mark(keyed: DataFrame, chosen: DataFrame, name: str) -> DataFrame:
     return keyed.join(c.withColumn(name, F.lit(True)), same, "left").withColumn(name, F.coalesce(name, F.lit(False))).drop("__k", "__t", "__s")
 
 
-def pick(records: DataFrame, chosen: DataFrame, opts: CrawlOptions) -> DataFrame:
+def pick(records: DataFrame, chosen: DataFrame, opts: CrawlOptions, filtered: bool = False) -> DataFrame:
     """The records, with payload, that ``chosen`` (row_key, write_ts in ms, seq) names.
 
     The join is on all three, so the records of one hot URL are dealt apart. How
-    ``chosen`` travels is left to the planner's byte sizes.
+    ``chosen`` travels is left to the planner's byte sizes. ``filtered``: payload that is not chosen
+    stays out of the join's shuffle, by a filter of ``chosen`` (a pass over it, so for one that is written).
     """
     keyed = with_row_key(records, opts).filter(F.col("row_key").isNotNull())
+    if filtered:
+        named = key_filter(chosen.select("row_key", F.col("write_ts").alias("__ms"), "seq"), ["row_key", "__ms", "seq"])
+        keyed = may_hold(keyed.withColumn("__ms", ms_floor("write_ts")), ["row_key", "__ms", "seq"], named).drop("__ms")
     c, same = _same_record(keyed, chosen)
     return keyed.join(c, same, "left_semi")
 

@@ -25,7 +25,7 @@ from cellar.operators.project import put_rows, with_row_key
 from cellar.options import CrawlOptions
 from cellar.runtime import delete_path, write_stage
 from cellar.sources.crawl_log import normalize_records
-from cellar.sources.table import KEY_BUCKETS, CrawlTable, key_bucket
+from cellar.sources.table import CrawlTable
 
 
 @dataclass
@@ -55,14 +55,19 @@ def plan_ingest(
     instead of repeating the existence check.
     """
     records = prepare_records(records, opts)
-    statuses = gates.write_status(records, keys, opts)
     stages: list[str] = []
     # the budget reads the join-based statuses a second time: write them once
     measured = opts.max_total_bytes > 0  # else the payload is measured when it is written
     if materialize or (opts.only_new and measured):
-        statuses = statuses if measured else statuses.withColumn("bytes", F.col("content_size"))
-        statuses, path = write_stage(statuses, "statuses")
+        ctrl = gates.control_columns(records, opts)
+        ctrl = ctrl if measured else ctrl.withColumn("bytes", F.col("content_size"))
+        if opts.only_new and keys is not None:
+            ctrl, path = write_stage(ctrl, "control")
+            stages.append(path)
+        statuses, path = write_stage(gates.status_of(ctrl, keys, opts, filtered=True), "statuses")
         stages.append(path)
+    else:
+        statuses = gates.write_status(records, keys, opts)
     cutoff = None
     if opts.max_total_bytes > 0:
         written = statuses.filter(F.col("status") == gates.WRITTEN)
@@ -73,7 +78,7 @@ def plan_ingest(
         counts = [(r["status"], int(r["records"]), int(r["bytes"])) for r in status_counts(statuses).collect()]  # <= 7 rows
     chosen = statuses.filter(F.col("status") == gates.WRITTEN)
     if opts.only_new:
-        picked = gates.pick(records, chosen, opts)
+        picked = gates.pick(records, chosen, opts, filtered=bool(stages))
         if stages:  # a record delivered twice in one input is one write
             n = sum(c for st, c, _ in counts if st == gates.WRITTEN)
             twice = chosen.select("row_key").distinct().count() < n
@@ -103,13 +108,6 @@ def prepare_records(records: DataFrame, opts: CrawlOptions) -> DataFrame:
     return records
 
 
-def batch_buckets(records: DataFrame, opts: CrawlOptions) -> list[int]:
-    """Buckets that the records' keys fall into (at most ``KEY_BUCKETS`` numbers)."""
-    keyed = with_row_key(prepare_records(records, opts), opts).filter(F.col("row_key").isNotNull())
-    found = keyed.select(key_bucket().alias("b")).distinct().limit(KEY_BUCKETS).collect()
-    return sorted(r["b"] for r in found)
-
-
 def ingest(
     records: DataFrame,
     table: CrawlTable,
@@ -146,7 +144,7 @@ def ingest(
 
 def _ingest_decided(records, table: CrawlTable, batch_id: int, opts: CrawlOptions, already_bytes: int | None) -> list:
     """Statuses first, then the payload of what is written; returns (status, records, bytes)."""
-    keys = table.keys(exclude_batch=batch_id, buckets=batch_buckets(records, opts)) if opts.only_new else None
+    keys = table.keys(exclude_batch=batch_id) if opts.only_new else None
     if already_bytes is None:
         already_bytes = written_bytes_before(table, batch_id) if opts.max_total_bytes > 0 else 0
     plan = plan_ingest(records, opts, keys, batch_id, already_bytes, materialize=True)

@@ -87,3 +87,35 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
     fs, p = _file_system(spark, source)
     if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):  # noqa: SLF001
         raise OSError(f"could not rename {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in one go."""
+    fs, p = _file_system(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    fs, p = _file_system(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode("utf-8")  # noqa: SLF001
+    finally:
+        source.close()
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, p = _file_system(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it is not there."""
+    fs, p = _file_system(spark, path)
+    return [str(s.getPath().getName()) for s in fs.listStatus(p)] if fs.exists(p) else []

@@ -1,17 +1,24 @@
-"""The crawl table: a Parquet table of put rows, partitioned by ``batch_id``.
+"""The crawl table: put rows in Parquet files, made visible by snapshots.
 
 Create-if-missing, schema evolution by column addition (case-insensitive
-family check), idempotent batch writes (static overwrite of the batch's
-partition), scans, key lookups, domain scans and key-ordered compaction.
-
-The files are the durable state: a table that the catalog knows is opened at
-the catalog's location, and a catalog that does not know it (a new session)
-recovers columns and partitions from the location given.
+family check), idempotent batch writes (a batch's rows take the place of its
+older ones), scans of the newest or an older version, key lookups, domain scans
+and key-ordered compaction that runs beside ingests.
+
+Files never change and are never deleted while a kept version names them
+(``cellar.sources.snapshots``), so no step of a write or compaction that fails
+hides or loses a row. The catalog entry holds the columns and the location;
+rows are read through ``scan`` and its kin. A catalog that does not know the
+table (a new session) takes the columns from the newest version.
 """
 
 from __future__ import annotations
 
+import json
+import math
 import re
+import uuid
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,9 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellar.functions.keys import host_under_domain
+from cellar.operators.bloom import key_filter, may_hold
 from cellar.operators.cells import latest_wide
 from cellar.options import CrawlOptions
-from cellar.runtime import delete_path, matching_paths, path_exists, rename_path
+from cellar.runtime import delete_path, folder_names, matching_paths, path_bytes, path_exists
+from cellar.sources.snapshots import Run, Snapshot, SnapshotLog, merged, replaced
 
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
@@ -46,12 +55,9 @@ CELL_TYPES = {
 # Side tables kept next to the crawl table (one partition per batch).
 METRICS_DDL = "status STRING, records BIGINT, bytes BIGINT"
 REJECTS_DDL = "seq BIGINT, url STRING, reason STRING"
-# Buckets of the key side files, by key hash: a batch reads those its own keys fall into.
-KEY_BUCKETS = 16
-
-
-def key_bucket(key: str = "row_key") -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+# Bytes of a compacted file, and how many times larger runs of the next size class are.
+FILE_BYTES = 128 << 20
+CLASS_FACTOR = 4
 
 
 def _plain(path: str) -> str:
@@ -124,7 +130,8 @@ class CrawlTable:
             schema = put_schema(self.opts, extra)
             if path_exists(self.spark, self.location):
                 schema = self._stored_schema(schema)
-            self._create(self.name, _ddl(schema), self.location)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({_ddl(schema)}, batch_id BIGINT) "
+                           f"USING parquet PARTITIONED BY (batch_id) LOCATION '{self.location}'")
         else:
             self.evolve(put_schema(self.opts, extra))
         for name, ddl, suffix in (
@@ -144,9 +151,11 @@ class CrawlTable:
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
     def _stored_schema(self, wanted: T.StructType) -> T.StructType:
-        """Columns of the files at the location, then the wanted ones they lack (any case)."""
+        """Columns of the newest version, then the wanted ones they lack (any case)."""
+        told = self.snapshot().schema
         try:
-            found = self.spark.read.option("mergeSchema", "true").parquet(self.location).schema
+            found = (T.StructType.fromJson(json.loads(told)) if told
+                     else self.spark.read.option("mergeSchema", "true").parquet(self.location).schema)
         except AnalysisException:  # a folder without data files
             return wanted
         fields = [f for f in found.fields if f.name != "batch_id"]
@@ -215,14 +224,83 @@ class CrawlTable:
     def columns(self) -> list[str]:
         return self.spark.table(self.name).columns
 
+    # ---- snapshots ----------------------------------------------------------
+    @property
+    def log(self) -> SnapshotLog:
+        return SnapshotLog(self.spark, self.location)
+
+    def snapshot(self, version: int | None = None) -> Snapshot:
+        """The newest version, or an older one that is kept."""
+        return self.log.read(version) or self._adopted()
+
+    def _adopted(self) -> Snapshot:
+        """A table that was stored before there were versions: one run for each folder of a batch."""
+        filed = {p.split("/")[-2] for p in matching_paths(self.spark, f"{self.location}_keys/batch_id=*/_SUCCESS")}
+        names = [n for n in folder_names(self.spark, self.location) if n.startswith("batch_id=")]
+        return Snapshot(0, tuple(Run(n, (int(n.split("=")[1]),), keys=n if n in filed else None,
+                                     bytes=path_bytes(self.spark, f"{self.location}/{n}")) for n in names), adopted=True)
+
+    def _stored(self, runs: list[Run] | tuple[Run, ...], schema: T.StructType) -> DataFrame:
+        """The rows of ``runs`` that count."""
+        old = [r for r in runs if "=" in r.path]  # the batch is part of the folder's name, not of the rows
+        whole = [r for r in runs if not r.without and r not in old]
+        parts = []
+        if old:
+            reader = self.spark.read.schema(schema).option("basePath", self.location)
+            parts.append(reader.parquet(*[f"{self.location}/{r.path}" for r in old]))
+        if whole:
+            parts.append(self.spark.read.schema(schema).parquet(*[f"{self.location}/{r.path}" for r in whole]))
+        for r in runs:
+            if r.without and r not in old:
+                df = self.spark.read.schema(schema).parquet(f"{self.location}/{r.path}")
+                parts.append(df.filter(~F.col("batch_id").isin(list(r.without))))
+        out = self.spark.createDataFrame([], schema)
+        for k, df in enumerate(parts):
+            df = df.select(*schema.names)
+            out = df if k == 0 else out.unionByName(df)
+        return out
+
+    def _run(self, rows: DataFrame, batches: tuple[int, ...]) -> Run:
+        """Write a new run and its key file. Nothing sees them before a commit."""
+        name = f"run-{uuid.uuid4().hex[:16]}"
+        rows.write.parquet(f"{self.location}/{name}")
+        stored = self.spark.read.schema("row_key string, batch_id bigint").parquet(f"{self.location}/{name}").distinct()
+        stored.write.parquet(f"{self.location}_keys/{name}")
+        return Run(name, batches, keys=name, bytes=path_bytes(self.spark, f"{self.location}/{name}"))
+
+    def _commit(self, change) -> Snapshot:
+        schema = self.spark.table(self.name).schema.json()
+        new = self.log.commit(lambda now: replace(now, runs=change(now.runs), schema=schema), base=self._adopted)
+        self.spark.catalog.refreshTable(self.name)
+        return new
+
+    def expire(self, keep: int = 1) -> int:
+        """Forget all but the newest ``keep`` versions and delete the runs that no kept version names; returns how many.
+
+        Run it while no ingest, compaction or reader of an older version is under way: a run that is
+        written but not committed yet is one that no version names.
+        """
+        self.log.forget(keep)
+        named: set[str] = set()
+        for v in self.log.versions():
+            for r in self.log.read(v).runs:
+                named |= {r.path, r.keys}
+        if not named:
+            return 0
+        gone = 0
+        for place in (self.location, f"{self.location}_keys"):
+            for name in folder_names(self.spark, place):
+                if name not in named and name.startswith(("run-", "batch_id=")):
+                    delete_path(self.spark, f"{place}/{name}")
+                    gone += 1
+        return gone
+
     # ---- S4 ---------------------------------------------------------------
-    def write_batch(self, puts: DataFrame, batch_id: int) -> None:
-        """Replace partition ``batch_id`` with ``puts``.
+    def write_batch(self, puts: DataFrame, batch_id: int) -> Snapshot:
+        """Store ``puts`` as the rows of batch ``batch_id``, in place of its older ones; returns the new version.
 
-        A retried batch rewrites its partition, never duplicates it; a batch
-        with no rows still clears a stale one. The partition directory is
-        written by path, so the same job may read the table's other partitions
-        (the existence check does), then registered in the catalog.
+        The rows are written under a new name and shown by one commit: a batch that fails, or is retried, never takes
+        rows away and never doubles them. The job may read the table meanwhile (the existence check does).
         """
         given = {f.name.lower(): f for f in puts.schema.fields}
         self.evolve(T.StructType([f for f in puts.schema.fields if f.name.lower() != "batch_id"]))
@@ -234,83 +312,105 @@ class CrawlTable:
             if own is not None and own.dataType != f.dataType and not isinstance(own.dataType, T.NullType):
                 raise ValueError(f"column {f.name} is stored as {f.dataType.simpleString()}, not {own.dataType.simpleString()}")
             sel.append((F.col(f"`{own.name}`") if own is not None else F.lit(None)).cast(f.dataType).alias(f.name))
-        self._overwrite_partition(self.name, self.location, puts.select(*sel), batch_id)
-        stored = self.partition(batch_id).select("row_key", key_bucket().alias("bucket")).distinct()
-        stored.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.location}_keys/batch_id={int(batch_id)}")
+        run = self._run(puts.select(*sel, F.lit(int(batch_id)).cast("bigint").alias("batch_id")), (int(batch_id),))
+        return self._commit(lambda runs: replaced(runs, run))
 
     def partition(self, batch_id: int) -> DataFrame:
-        """The stored rows of one batch."""
-        return self.spark.table(self.name).filter(F.col("batch_id") == F.lit(int(batch_id)))
+        """The stored rows of one batch; only its run is opened."""
+        bid = int(batch_id)
+        runs = [r for r in self.snapshot().runs if bid in r.live()]
+        return self._stored(runs, self.spark.table(self.name).schema).filter(F.col("batch_id") == F.lit(bid))
 
     # ---- S2 / S3 / O2 / A4 ------------------------------------------------
-    def scan(self, *columns: str) -> DataFrame:
-        """Full scan; Parquet reads only the named columns."""
-        df = self.spark.table(self.name)
+    def scan(self, *columns: str, version: int | None = None) -> DataFrame:
+        """Full scan of the newest or an older version; Parquet reads only the named columns."""
+        df = self._stored(self.snapshot(version).runs, self.spark.table(self.name).schema)
         return df.select(*columns) if columns else df
 
-    def keys(self, exclude_batch: int | None = None, buckets: list[int] | None = None) -> DataFrame:
-        """Stored row keys (one per batch). ``exclude_batch`` leaves a batch out;
-        ``buckets`` reads only the key files of those buckets. Batches without
-        finished key files (stored before there were any) are read from the table."""
-        place = f"{self.location}_keys"
-        filed = {int(p.split("/")[-2].split("=")[1]) for p in matching_paths(self.spark, f"{place}/batch_id=*/_SUCCESS")}
-        stored = {int(r[0].split("=")[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
-        bare = sorted(stored - filed - {exclude_batch})
-        parts = []
-        if filed:
-            schema = "row_key string, batch_id bigint, bucket int"
-            df = self.spark.read.schema(schema).option("basePath", place).parquet(place)
-            parts.append(df.filter(F.col("bucket").isin(buckets)) if buckets is not None else df)
-        if bare or not filed:
-            df = self.spark.table(self.name).filter(F.col("batch_id").isin(bare))
-            parts.append(df.filter(key_bucket().isin(buckets)) if buckets is not None else df)
+    def keys(self, exclude_batch: int | None = None) -> DataFrame:
+        """Stored row keys (one for each run and batch), from the key files. ``exclude_batch`` leaves a batch out.
+        Runs whose key files are not there (stored before there were any) are read themselves."""
+        runs = self.snapshot().runs
+        filed = set(folder_names(self.spark, f"{self.location}_keys"))
         out = None
-        for df in parts:
-            if exclude_batch is not None:
-                df = df.filter(F.col("batch_id") != F.lit(int(exclude_batch)))
-            out = df.select("row_key") if out is None else out.unionByName(df.select("row_key"))
-        return out
+        for has, place in ((True, f"{self.location}_keys"), (False, self.location)):
+            for masked in (False, True):
+                some = [r for r in runs if (r.keys in filed) == has and bool(r.without) == masked and set(r.live()) - {exclude_batch}]
+                if not some:
+                    continue
+                if has:
+                    old = [r for r in some if "=" in r.path]
+                    new = [r for r in some if r not in old]
+                    parts = [self.spark.read.schema("row_key string, batch_id bigint").option("basePath", place).parquet(*[f"{place}/{r.keys}" for r in g])
+                             for g in (old, new) if g]
+                else:
+                    parts = [self._stored(some, self.spark.table(self.name).schema)]
+                for df in parts:
+                    for r in some if masked and has else []:
+                        df = df.filter(~F.col("batch_id").isin(list(r.without)) | ~_of_run(r))
+                    df = df.select("row_key", "batch_id")
+                    out = df if out is None else out.unionByName(df)
+        out = out if out is not None else self.spark.createDataFrame([], "row_key string, batch_id bigint")
+        if exclude_batch is not None:
+            out = out.filter(F.col("batch_id") != F.lit(int(exclude_batch)))
+        return out.select("row_key")
 
     def lookup(self, keys: DataFrame | list[str]) -> DataFrame:
         """Put rows of the given keys. A list becomes a pushed ``IN`` filter;
-        a DataFrame of keys a semi join."""
-        df = self.spark.table(self.name)
+        a DataFrame of keys a semi join, ahead of which a filter of the keys keeps other rows' payload where it is."""
+        df = self.scan()
         if isinstance(keys, list):
             return df.filter(F.col("row_key").isin(keys))
-        return df.join(keys.select("row_key").distinct(), "row_key", "left_semi")
+        keys = keys.select("row_key").distinct()
+        return may_hold(df, ["row_key"], key_filter(keys, ["row_key"])).join(keys, "row_key", "left_semi")
 
     def get(self, keys: DataFrame | list[str]) -> DataFrame:
         """Newest value of every cell for the given keys."""
         return latest_wide(self.lookup(keys), self.opts)
 
     def domain_scan(self, domain: str) -> DataFrame:
-        return domain_scan(self.spark.table(self.name), domain)
+        return domain_scan(self.scan(), domain)
 
     def latest(self) -> DataFrame:
-        return latest_wide(self.spark.table(self.name), self.opts)
+        return latest_wide(self.scan(), self.opts)
 
     # ---- O1 ---------------------------------------------------------------
-    def compact(self, partitions: int | None = None) -> DataFrame:
-        """Replace the table's files by key-ordered ones.
-
-        Range partitions by (batch_id, row_key, seq), sorted within, so each file
-        holds one key range of a batch and Parquet min/max stats prune key and
-        domain scans. The new files are written beside the table and swapped in
-        by two renames; batches keep their partitions, so retries still work.
-        Run it while no ingest writes.
+    def compact(self, partitions: int | None = None, runs: tuple[Run, ...] | None = None) -> DataFrame:
+        """Merge all runs (or ``runs``) into one of key-ordered files.
+
+        Range partitions by (row_key, seq), sorted within, so each file holds one key range and Parquet min/max stats
+        prune key and domain scans. One commit puts the new run in place of the old ones; older versions stay readable
+        until ``expire``. Ingests may write meanwhile: a batch that is written again during the merger wins.
         """
-        n = partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        new, old = f"{self.location}__compacting", f"{self.location}__replaced"
-        for p in (new, old):
-            delete_path(self.spark, p)
-        key_ordered(self.spark.table(self.name), n, "batch_id").write.partitionBy("batch_id").parquet(new)
-        if path_exists(self.spark, self.location):
-            rename_path(self.spark, self.location, old)
-        rename_path(self.spark, new, self.location)
-        delete_path(self.spark, old)
-        self.spark.catalog.refreshTable(self.name)
+        runs = self.snapshot().runs if runs is None else runs
+        n = partitions or max(1, math.ceil(sum(r.bytes for r in runs) / FILE_BYTES))
+        batches = tuple(sorted({b for r in runs for b in r.live()}))
+        if runs:
+            new = self._run(key_ordered(self._stored(runs, self.spark.table(self.name).schema), n), batches)
+            self._commit(lambda now: merged(now, tuple(runs), new))
         return self.scan()
 
+    def upkeep(self, fan: int = 8) -> int:
+        """Merge runs of one size class wherever ``fan`` of them have gathered; returns the number of mergers.
+
+        A class holds runs of up to ``CLASS_FACTOR`` times the size of the one below, so a row is rewritten about
+        once for each class it rises through, and the number of runs stays below ``fan`` for each class.
+        """
+        done = 0
+        while True:
+            classes: dict[int, list[Run]] = {}
+            for r in self.snapshot().runs:
+                classes.setdefault(int(math.log(max(r.bytes, 1 << 16), CLASS_FACTOR)), []).append(r)
+            full = [c for c, rs in sorted(classes.items()) if len(rs) >= fan]
+            if not full:
+                return done
+            self.compact(runs=tuple(classes[full[0]]))
+            done += 1
+
+
+def _of_run(run: Run) -> Column:
+    return F.col("_metadata.file_path").contains(f"/{run.keys}/")
+
 
 def key_ordered(df: DataFrame, partitions: int, *first: str) -> DataFrame:
     """Range-partition by (row_key, seq), after ``first``, and sort within partitions."""
@@ -325,4 +425,4 @@ def domain_scan(df: DataFrame, domain: str) -> DataFrame:
     return df.filter(host_under_domain("host_rev", domain))
 
 
-__all__ = ["CrawlTable", "put_schema", "key_ordered", "domain_scan", "key_bucket"]
+__all__ = ["CrawlTable", "put_schema", "key_ordered", "domain_scan"]

@@ -131,22 +131,47 @@ def test_latest_fetches_only_winning_payload(stored):
     assert "<=>" in p  # versions meet null-safely
 
 
-def test_key_scan_reads_only_the_batch_buckets(spark, stored):
-    import uuid
-
-    from cellar.plans.ingest import batch_buckets, ingest
-    from cellar.sources.table import CrawlTable
-
-    name = f"k_{uuid.uuid4().hex[:8]}"
-    t = CrawlTable(spark, OPTS.with_(table=name), scratch_path(spark, name))
-    ingest(stored, t, 0)
-    few = stored.filter("seq < 2")
-    buckets = batch_buckets(few, t.opts)
-    assert 1 <= len(buckets) <= 2
-    keys = t.keys(exclude_batch=1, buckets=buckets)
-    p = plan(keys)
-    assert "PartitionFilters: [" in p and "bucket" in p.split("PartitionFilters")[1].split("\n")[0]
-    files = [r.f for r in keys.select(F.input_file_name().alias("f")).distinct().collect()]
-    assert files and {int(f.split("bucket=")[1].split("/")[0]) for f in files} <= set(buckets)
-    assert keys.join(gates.with_row_key(few, OPTS).select("row_key").distinct(), "row_key", "left_semi").count() == few.select("url").distinct().count()
-    t.drop(purge=True)
+def _exchanged_under_filter(p, column):
+    """Whether every shuffle that carries ``column`` lies above the look-up in a filter's words (formatted plan text)."""
+    parts = p.split("\n\n")
+    moved = [x for x in parts if "Exchange" in x.split("\n")[0] and "hashpartitioning" in x and column in x]
+    return moved, [x for x in parts if "BroadcastHashJoin" in x.split("\n")[0] and "__word" in x]
+
+
+def test_only_chosen_payload_is_shuffled_without_broadcasts(spark, log1, monkeypatch):
+    from cellar.operators import bloom
+    from cellar.operators.cells import latest_wide
+    from cellar.operators.project import put_rows
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        existing = plan_ingest(log1.existing(), OPTS, batch_id=0).puts
+        opts = OPTS.with_(only_write_new=True)
+        kinds = {"write": lambda: plan_ingest(log1.incoming(), opts, keys=existing, materialize=True).puts.select("row_key", "seq", F.md5("content__raw_data").alias("m")),
+                 "latest": lambda: latest_wide(put_rows(log1.records, OPTS, 0), OPTS).select("row_key", "n_versions", F.md5("content__raw_data").alias("m"))}
+        for kind, build in kinds.items():
+            df = build()
+            moved, looked_up = _exchanged_under_filter(plan(df), "raw_data")
+            assert looked_up, kind
+            with_filter = sorted(map(tuple, df.collect()))
+            assert with_filter
+            monkeypatch.setattr(bloom, "may_hold", lambda rows, columns, words: rows)
+            for module in ("cellar.operators.gates", "cellar.operators.cells"):
+                monkeypatch.setattr(f"{module}.may_hold", lambda rows, columns, words: rows)
+            assert sorted(map(tuple, build().collect())) == with_filter, kind  # a filter that says yes to all
+            monkeypatch.undo()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_filter_lets_every_partner_through_and_few_others(spark):
+    from cellar.operators.bloom import key_filter, may_hold
+
+    keys = spark.range(0, 4000, 2).select(F.concat(F.lit("k"), "id").alias("row_key")).union(spark.createDataFrame([(None,)], "row_key string"))
+    rows = spark.range(20000).select(F.concat(F.lit("k"), "id").alias("row_key"), "id").union(spark.createDataFrame([(None, -1)], "row_key string, id long"))
+    words = key_filter(keys, ["row_key"])
+    got = {r.id for r in may_hold(rows, ["row_key"], words).collect()}
+    assert {-1, *range(0, 4000, 2)} <= got and len(got) < 2050
+    assert words.count() <= 2001
+    assert may_hold(rows, ["row_key"], key_filter(keys.limit(0), ["row_key"])).count() == 0

@@ -1,0 +1,171 @@
+"""The table survives a failure at every step of a write and of a compaction."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from cellar.options import CrawlOptions
+from cellar.plans.ingest import ingest
+from cellar.runtime import scratch_path
+from cellar.sources import snapshots, table
+from cellar.sources.table import CrawlTable
+from helpers import rec, records, ts
+
+
+def _table(spark, **kw):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    return CrawlTable(spark, CrawlOptions(table=name, **kw), scratch_path(spark, name))
+
+
+def _rows(t, version=None):
+    return sorted((r.row_key, r.seq, r.batch_id) for r in t.scan("row_key", "seq", "batch_id", version=version).collect())
+
+
+def _filled(spark, batches=3, **kw):
+    t = _table(spark, **kw)
+    for b in range(batches):
+        ingest(records(spark, [rec(10 * b + k, f"http://a.b/{k}", write=ts(100 * b + k)) for k in range(3)]), t, b)
+    return t
+
+
+class Lost(RuntimeError):
+    pass
+
+
+def _fails_once(monkeypatch, target, name):
+    """The next call of ``name`` fails; later ones work."""
+    real = getattr(target, name)
+    left = [1]
+
+    def call(*args, **kw):
+        if left[0]:
+            left[0] = 0
+            raise Lost(name)
+        return real(*args, **kw)
+
+    monkeypatch.setattr(target, name, call)
+
+
+STEPS = [(snapshots, "write_text"), (snapshots, "rename_path"), (table, "path_bytes"), (snapshots.SnapshotLog, "commit"), (table.CrawlTable, "_run")]
+
+
+@pytest.mark.parametrize("target, name", STEPS)
+def test_every_step_fails_once(spark, monkeypatch, target, name):
+    t = _filled(spark)
+    before = _rows(t)
+    _fails_once(monkeypatch, target, name)
+    with pytest.raises(Lost):
+        t.compact()
+    assert _rows(t) == before
+    t.compact()
+    assert _rows(t) == before
+    monkeypatch.undo()
+    new = t.partition(1).filter("seq = 10")
+    kept = [r for r in before if r[2] != 1 or r[1] == 10]
+    _fails_once(monkeypatch, target, name)
+    with pytest.raises(Lost):
+        t.write_batch(new.drop("batch_id"), 1)
+    assert _rows(t) == before  # neither hidden nor half replaced
+    t.write_batch(new.drop("batch_id"), 1)  # the job reads the batch that it replaces
+    assert _rows(t) == kept and _rows(CrawlTable(spark, CrawlOptions(table=t.name))) == kept
+    t.drop(purge=True)
+
+
+def test_older_versions_stay_readable_until_they_expire(spark):
+    t = _filled(spark)
+    now = t.snapshot().version
+    first = _rows(t, version=1)
+    assert [r[2] for r in first] == [0, 0, 0]
+    t.compact()
+    assert _rows(t, version=1) == first and len(t.snapshot().runs) == 1 and t.snapshot().version == now + 1
+    everything = _rows(t)
+    assert t.expire() >= 3
+    assert _rows(t) == everything
+    with pytest.raises(ValueError):
+        t.scan(version=1)
+    t.drop(purge=True)
+
+
+def test_a_batch_that_is_written_again_is_masked_in_a_merged_run(spark):
+    t = _filled(spark, only_write_new=True)  # batch 0 wrote three keys, the others none
+    ingest(records(spark, [rec(50, "http://a.b/50")]), t, 5)
+    t.compact()
+    ingest(records(spark, [rec(51, "http://a.b/51")]), t, 5)  # in place of 50
+    assert {r[1] for r in _rows(t)} == {0, 1, 2, 51}
+    assert sorted(r.row_key for r in t.keys().collect()) == [f"r:http://b.a/{k}" for k in (0, 1, 2, 51)]
+    ingest(records(spark, [rec(60, "http://a.b/50"), rec(61, "http://a.b/51")]), t, 6)
+    assert {r[1] for r in _rows(t)} == {0, 1, 2, 51, 60}
+    t.compact()
+    assert {r[1] for r in _rows(t)} == {0, 1, 2, 51, 60} and t.snapshot().runs[0].without == ()
+    t.drop(purge=True)
+
+
+def test_a_compaction_beside_an_ingest(spark, monkeypatch):
+    t = _filled(spark)
+    real = CrawlTable._run
+    inside = []
+
+    def run(self, rows, batches):
+        out = real(self, rows, batches)
+        if not inside:  # while the merged run is written, batch 2 is written again and batch 7 arrives
+            inside.append(1)
+            ingest(records(spark, [rec(99, "http://a.b/9")]), self, 2)
+            ingest(records(spark, [rec(70, "http://a.b/7")]), self, 7)
+        return out
+
+    monkeypatch.setattr(CrawlTable, "_run", run)
+    t.compact()
+    assert {r[1] for r in _rows(t)} == {0, 1, 2, 10, 11, 12, 99, 70}
+    t.drop(purge=True)
+
+
+def test_a_faster_writer(spark):
+    log = snapshots.SnapshotLog(spark, scratch_path(spark, "log"))
+    calls = []
+
+    def change(now):
+        calls.append(now.version)
+        if len(calls) == 1:  # another writer commits in between
+            log.commit(lambda s: snapshots.Snapshot(runs=snapshots.replaced(s.runs, snapshots.Run("other", (2,)))))
+        return snapshots.Snapshot(runs=snapshots.replaced(now.runs, snapshots.Run("mine", (1,))))
+
+    got = log.commit(change)
+    assert calls == [0, 1] and got.version == 2 and {r.path for r in log.read().runs} == {"other", "mine"}
+
+
+def test_upkeep_bounds_runs_and_rewritten_bytes(spark):
+    t = _table(spark)
+    wrote = 0
+    for b in range(20):
+        ingest(records(spark, [rec(b, f"http://a.b/{b}")]), t, b)
+        seen = {r.path for r in t.snapshot().runs}
+        t.upkeep(fan=4)
+        wrote += sum(len(r.batches) for r in t.snapshot().runs if r.path not in seen)
+        assert len(t.snapshot().runs) <= 2 * 4
+    assert [r[1] for r in sorted(_rows(t), key=lambda r: r[1])] == list(range(20))
+    assert wrote < 20 * 8  # each batch was rewritten a few times, not with every merger
+    t.drop(purge=True)
+
+
+def test_folders_of_batches_from_before_there_were_versions(spark):
+    t = _table(spark, only_write_new=True).ensure()
+    src = _filled(spark)
+    src.scan().write.partitionBy("batch_id").parquet(t.location)
+    assert _rows(t) == _rows(src) and t.snapshot().adopted
+    ingest(records(spark, [rec(80, "http://a.b/1"), rec(81, "http://a.b/8")]), t, 9)
+    assert _rows(t) == sorted([*_rows(src), ("r:http://b.a/8", 81, 9)])
+    t.compact()
+    assert {r[1] for r in _rows(t)} == {0, 1, 2, 10, 11, 12, 20, 21, 22, 81}
+    t.drop(purge=True)
+    src.drop(purge=True)
+
+
+def test_lookup_of_a_key_table_opens_no_other_payload(spark):
+    t = _filled(spark)
+    wanted = spark.createDataFrame([("r:http://b.a/1",), ("r:http://none/",)], "row_key string")
+    found = t.lookup(wanted)
+    assert sorted(r.seq for r in found.collect()) == [1, 11, 21]
+    assert "__word" in found._jdf.queryExecution().toString()
+    assert t.lookup(wanted.withColumn("n", F.lit(1))).columns == t.columns()
+    t.drop(purge=True)
