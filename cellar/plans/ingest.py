@@ -32,7 +32,7 @@ from cellar.sources.table import CrawlTable
 class IngestPlan:
     statuses: DataFrame  # seq, row_key, write_ts, content_size, bytes, status
     puts: DataFrame  # put rows to store
-    cutoff: object  # budget cutoff (ts, seq), "none", or None
+    cutoff: object  # budget cutoff (ts, seq, row_key), "none", or None
     counts: list | None = None  # (status, records, bytes) when materialised
     stages: list[str] = field(default_factory=list)  # paths to delete once nothing reads the plan
     stored: Observation | None = None  # payload bytes of the put rows, known after their write
@@ -71,15 +71,16 @@ def plan_ingest(
     cutoff = None
     if opts.max_total_bytes > 0:
         written = statuses.filter(F.col("status") == gates.WRITTEN)
-        cutoff = budget.cutoff_key(written, opts.max_total_bytes, already_bytes)
+        cutoff = budget.cutoff_key(written, opts.max_total_bytes, already_bytes, key="row_key")
         statuses = statuses.withColumn("status", _after_budget(F.col("status"), cutoff))
-    counts, twice, stored = None, False, None
+    counts, stored = None, None
     if stages:
         counts = [(r["status"], int(r["records"]), int(r["bytes"])) for r in status_counts(statuses).collect()]  # <= 7 rows
     chosen = statuses.filter(F.col("status") == gates.WRITTEN)
     if opts.only_new:
         picked = gates.pick(records, chosen, opts, filtered=bool(stages))
-        if stages:  # a record delivered twice in one input is one write
+        twice = True  # a record delivered twice in one input is one write; whether there are such is known from written statuses
+        if stages:
             n = sum(c for st, c, _ in counts if st == gates.WRITTEN)
             twice = chosen.select("row_key").distinct().count() < n
         picked = picked.dropDuplicates(["row_key"]) if twice else picked
@@ -89,13 +90,13 @@ def plan_ingest(
         puts = put_rows(picked, opts, batch_id)
     else:
         puts = put_rows(gates.writable(records, None, opts), opts, batch_id)
-        puts = puts.filter(budget.within_cutoff(cutoff)) if cutoff is not None else puts
+        puts = puts.filter(budget.within_cutoff(cutoff, key="row_key")) if cutoff is not None else puts
     return IngestPlan(statuses, puts, cutoff, counts, stages, stored)
 
 
 def _after_budget(status: Column, cutoff) -> Column:
     """Records after the cutoff are over budget; a URL that cannot be keyed is rejected wherever it falls."""
-    return F.when((status != gates.REJECTED) & ~budget.within_cutoff(cutoff), F.lit(gates.OVER_BUDGET)).otherwise(status)
+    return F.when((status != gates.REJECTED) & ~budget.within_cutoff(cutoff, key="row_key"), F.lit(gates.OVER_BUDGET)).otherwise(status)
 
 
 def prepare_records(records: DataFrame, opts: CrawlOptions) -> DataFrame:

@@ -247,3 +247,8 @@ FROM puts""",
 UNION ALL
 SELECT row_key, arg_min(seq, row(write_ms, seq)) AS seq FROM cand GROUP BY row_key""",
 }
+
+ORACLE["write_new_filtered"] = ORACLE["write_new"]
+ORACLE["table_as_of"] = _with() + """SELECT row_key, seq, CAST(0 AS BIGINT) AS batch_id, CAST(strlen(raw_text) AS BIGINT) AS raw_bytes
+FROM puts WHERE seq < m // 5"""
+ORACLE["table_upkeep"] = _with() + "SELECT row_key, seq, CAST(seq * 4 // m AS BIGINT) AS batch_id FROM puts"

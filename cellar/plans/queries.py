@@ -345,6 +345,37 @@ def q_hook_side_output(spark, sf_dir):
     return _result(t, out.select("row_key", "seq", F.col("position").cast("bigint").alias("position"), "link"), target)
 
 
+def q_write_new_filtered(spark, sf_dir):
+    """Only-new ingest into a stored table: stored keys and unchosen payload are filtered ahead of the shuffles."""
+    log = _log(spark, sf_dir)
+    t = _new_table(spark, GATED)
+    ingest(log.existing(), t, 0)
+    ingest(log.incoming(), _reopened(t, GATED.with_(only_write_new=True)), 1)
+    return _result(t, _reopened(t).partition(1).select("row_key", "seq", F.md5("content__raw_data").alias("raw_md5")))
+
+
+def q_table_as_of(spark, sf_dir):
+    """The version after the first batch, read by SQL after a second batch and a compaction."""
+    t = _stored(spark, sf_dir)
+    t.compact()
+    name = _table_name("as_of")
+    _reopened(t).view(name, version=1)
+    out = _result(t, spark.sql(f"SELECT row_key, seq, batch_id, octet_length(content__raw_data) AS raw_bytes FROM {name}").withColumn(
+        "raw_bytes", F.col("raw_bytes").cast("bigint")))
+    spark.catalog.dropTempView(name)
+    return out
+
+
+def q_table_upkeep(spark, sf_dir):
+    """The log stored as four batches, the third one twice, with upkeep after each write."""
+    log = _log(spark, sf_dir)
+    t = _new_table(spark, BASE)
+    for b in (0, 1, 2, 3, 2):
+        ingest(log.records.filter(F.floor(F.col("seq") * 4 / log.n_events) == b), _reopened(t) if t.exists() else t, b)
+        t.upkeep(fan=2)
+    return _result(t, _reopened(t).scan("row_key", "seq", "batch_id"))
+
+
 # ---- T1-T4 ---------------------------------------------------------------------------
 
 # Records per source file of the stream query.
@@ -415,5 +446,8 @@ QUERIES = {
     "ensure_table": q_ensure_table,
     "evolve_table": q_evolve_table,
     "hook_side_output": q_hook_side_output,
+    "write_new_filtered": q_write_new_filtered,
+    "table_as_of": q_table_as_of,
+    "table_upkeep": q_table_upkeep,
     "stream_ingest": q_stream_ingest,
 }

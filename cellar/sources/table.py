@@ -327,6 +327,10 @@ class CrawlTable:
         df = self._stored(self.snapshot(version).runs, self.spark.table(self.name).schema)
         return df.select(*columns) if columns else df
 
+    def view(self, name: str, version: int | None = None) -> None:
+        """Make a version's rows known to SQL under ``name``, for this session."""
+        self.scan(version=version).createOrReplaceTempView(name)
+
     def keys(self, exclude_batch: int | None = None) -> DataFrame:
         """Stored row keys (one for each run and batch), from the key files. ``exclude_batch`` leaves a batch out.
         Runs whose key files are not there (stored before there were any) are read themselves."""

@@ -60,3 +60,24 @@ def test_missing_times_come_first(spark):
     df = _df(spark, rows)
     assert sorted(r.seq for r in byte_budget(df, 15).collect()) == [1, 2]
     assert sorted(r.seq for r in byte_budget(df, 25).collect()) == [1, 2, 3]
+
+
+def test_ties_are_told_apart_by_row_key_and_never_share_a_window(spark, monkeypatch):
+    from cellar.operators import budget
+
+    monkeypatch.setattr(budget, "WINDOW_ROWS", 5)
+    rows = [(ts(1), 1, 10, f"k{i:03d}") for i in range(60)] + [(ts(0), i, 1, "a") for i in range(30)]
+    df = spark.createDataFrame(rows, "write_ts timestamp_ntz, seq bigint, bytes bigint, row_key string")
+    for n in ("1", "8"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        for limit in (5, 29, 30, 45, 333, 10_000):
+            kept, total = [], 0
+            for r in sorted(rows):
+                if total > limit:
+                    break
+                kept.append(r)
+                total += r[2]
+            assert sorted(map(tuple, byte_budget(df, limit, key="row_key").collect())) == kept, (n, limit)
+    same = spark.createDataFrame([(ts(1), 1, 10, "k")] * 50, df.schema)  # one key throughout: they pass or fall together
+    assert cutoff_key(same, 15, key="row_key") == (ts(1), 1, "k")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -190,3 +190,11 @@ def test_observed_counts_equal_recount(log1, budget):
     plan = plan_ingest(log1.incoming(), opts, keys=existing, batch_id=1, materialize=True)
     want = sorted((r.status, r.records, r.bytes) for r in status_counts(plan.statuses).collect())
     assert sorted(plan.counts) == want
+
+
+def test_a_record_delivered_twice_is_planned_once_with_and_without_stages(spark):
+    from helpers import rec, records
+
+    rows = records(spark, [rec(1, "http://a.b/"), rec(1, "http://a.b/"), rec(2, "http://c.d/")])
+    for materialize in (False, True):
+        assert plan_ingest(rows, BASE.with_(only_write_new=True), materialize=materialize).puts.count() == 2
