@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellar.llm.common import free_name
+
 #: Elements that end a line of the plain text, and elements whose content is no text (fixed values).
 BLOCKS = ("address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
           "head header hr html legend li main nav ol option p pre section select table tbody td tfoot th thead title tr ul").split()
@@ -55,19 +57,50 @@ def _numbered(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&#")), F.concat(F.get(parts, 0), F.array_join(rest, ""))).otherwise(text)
 
 
-def plain_text(html: Column) -> Column:
-    """Visible text of a page: one line for each block, single spaces, no empty lines."""
-    t = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    for tag in HIDDEN:
-        t = F.regexp_replace(t, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
-    t = F.regexp_replace(t, r"\s+", " ")
-    t = F.regexp_replace(t, rf"(?i)</?(?:{'|'.join(BLOCKS)})\b[^>]*>", "\n")
-    t = F.regexp_replace(t, r"<[/!?a-zA-Z][^>]*>", "")
-    t = _numbered(t)
+def _any_of(names: list[str]) -> str:
+    """A pattern for any of ``names``, which are in order, with first letters shared."""
+    shared = ((first, [n[1:] for n in names if n[0] == first]) for first in sorted({n[0] for n in names}))
+    return "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in shared)
+
+
+def _named(text: Column) -> Column:
+    """Named character references resolved; texts that hold the commonest ones alone take a short way."""
+    t = F.replace(text, F.lit("&nbsp;"), F.lit(ENTITIES["nbsp"]))
+    every = t
     for name, letter in ENTITIES.items():
-        t = F.replace(t, F.lit(f"&{name};"), F.lit(letter))
-    t = F.regexp_replace(F.regexp_replace(t, " +", " "), " ?\n[ \n]*", "\n")
-    return F.regexp_replace(t, "^[ \n]+|[ \n]+$", "")
+        if name not in ("nbsp", "amp"):
+            every = F.replace(every, F.lit(f"&{name};"), F.lit(letter))
+    t = F.when(F.rlike(t, F.lit("&(?!amp;)[a-z]")), every).otherwise(t)
+    return F.replace(t, F.lit("&amp;"), F.lit(ENTITIES["amp"]))
+
+
+def _without_tags(html: Column) -> Column:
+    """A page without comments, hidden elements and tags; blocks end lines."""
+    t = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    for tags in (HIDDEN[:2], HIDDEN[2:]):  # the rarer two are looked for together first
+        cut = t
+        for tag in tags:
+            cut = F.regexp_replace(cut, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
+        t = cut if tags == HIDDEN[:2] else F.when(F.rlike(t, F.lit(rf"(?i)<(?:{'|'.join(tags)})\b")), cut).otherwise(t)
+    t = F.regexp_replace(t, r"[\t\n\x0B\f\r]", " ")
+    t = F.regexp_replace(t, rf"(?i)</?(?:{_any_of(BLOCKS)})\b[^>]*>", "\n")
+    return F.regexp_replace(t, r"<[/!?a-zA-Z][^>]*>", "")
+
+
+def _tidy(text: Column) -> Column:
+    """Single spaces, no empty lines."""
+    t = F.regexp_replace(F.regexp_replace(text, " {2,}", " "), " ?\n[ \n]*", "\n")
+    return F.btrim(t, F.lit(" \n"))
+
+
+def with_plain_text(pages: DataFrame, html: str, out: str) -> DataFrame:
+    """``pages`` with the visible text of column ``html``: one line for each block, single spaces, no empty lines.
+
+    Each step is a column of its own: what several branches of a step read is worked out once.
+    """
+    step = free_name(pages, "stripped")
+    df = pages.withColumn(step, _without_tags(F.col(html))).withColumn(step, _numbered(F.col(step)))
+    return df.withColumn(out, _tidy(_named(F.col(step)))).drop(step)
 
 
 def derivatives(responses: DataFrame) -> DataFrame:
@@ -79,7 +112,8 @@ def derivatives(responses: DataFrame) -> DataFrame:
     r = responses.select("record_id", "target_uri", "date", F.coalesce("http_headers", F.lit("")).alias("headers"),
                          F.coalesce("body", F.lit("")).alias("body"))
     r = r.withColumn("record_id", F.coalesce("record_id", derived_id(F.lit("response"), F.coalesce("target_uri", F.lit("")), F.col("body"))))
-    r = r.select("*", plain_text(F.col("body")).alias("plain"), F.sha1(F.col("body").cast("binary")).alias("body_sha"),
+    r = with_plain_text(r, "body", "plain")
+    r = r.select("*", F.sha1(F.col("body").cast("binary")).alias("body_sha"),
                  derived_id(F.lit("metadata"), F.col("record_id")).alias("metadata_id"),
                  derived_id(F.lit("conversion"), F.col("record_id")).alias("conversion_id"))
     r = r.withColumn("plain_sha", F.sha1(F.col("plain").cast("binary")))
