@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from cellar.llm.common import slices
-from cellar.llm.tokens import Encoder
+from cellar.llm.tokens import worker_encoder
 
 TIERS = (64, 128, 256, 512, 1024, 2048)
 PIECE_COLUMNS = ["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset", "tier", "step_group"]
@@ -128,7 +128,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, tiers: tuple[int, ...
         ("offset", T.LongType()), ("tier", T.IntegerType()), ("step_group", T.LongType()))]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, base = Encoder(tokenizer, encode_special_tokens), TaskContext.get().partitionId() << 33
+        encoder, base = worker_encoder(tokenizer, encode_special_tokens), TaskContext.get().partitionId() << 33
         kept: dict[int, tuple] = {}  # document number: (doc_id, ids, first token held, tokens in all)
         pieces: list[Piece] = []
         numbers, count, sequences, groups, kind = 0, 0, 0, 0, None

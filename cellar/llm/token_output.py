@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from cellar.llm.common import slices
-from cellar.llm.tokens import Encoder
+from cellar.llm.tokens import worker_encoder
 
 Piece = tuple[int, int, int]  # length, document number, first token
 
@@ -96,7 +96,7 @@ def pack_rows(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int
     dtype = "<u4" if wide else "<u2"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, base = Encoder(tokenizer), TaskContext.get().partitionId() << 33
+        encoder, base = worker_encoder(tokenizer), TaskContext.get().partitionId() << 33
         if not wide and encoder.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this tokenizer need wide=True")
         kept: dict[int, tuple] = {}  # document number: (doc_id, ids, first token held)

@@ -9,13 +9,15 @@ a time as one text: a token that begins with a space begins the next piece.
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 from cellar.llm.common import text_bytes
 
-_KEPT = 600_000
+#: Pieces kept in each of two generations.
+_KEPT = 300_000
 _JOINED = 2_000
 #: How a byte-level vocabulary writes the byte 0x20 (fixed value).
 _SPACE = "Ġ"
@@ -50,6 +52,17 @@ def piece_edges(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(edge[:-1])
 
 
+def _holds(buf: np.ndarray, parts: list[bytes]) -> bool:
+    raw = buf.tobytes() if parts else b""
+    return any(p in raw for p in parts)
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, encode_special_tokens: bool = True) -> Encoder:
+    """The encoder of this Python worker, kept from task to task with the pieces it knows."""
+    return Encoder(path, encode_special_tokens)
+
+
 class Encoder:
     """Encodes lists of texts with the ``tokenizers`` file at ``path``, without adding special tokens.
 
@@ -74,6 +87,12 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self._age()
+
+    def _age(self) -> None:
+        """The known pieces become the older generation; what it held is forgotten."""
+        self.older = (self.known, self.ids, self.edge) if self.known else ({}, None, None)
+        self.known = {}
         self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
         self.edge = np.zeros(1 << 18, np.int64)
 
@@ -88,7 +107,7 @@ class Encoder:
         bounds = pa.py_buffer(np.append(edges, len(buf)).astype(np.int64))
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges), [None, bounds, pa.py_buffer(np.ascontiguousarray(buf))])
         codes = pieces.dictionary_encode()
-        slot = self._slots(codes.dictionary.to_pylist())[codes.indices.to_numpy()]
+        slot = self._slots(codes.dictionary.to_pylist(), _holds(buf, self.added))[codes.indices.to_numpy()]
         begin = self.edge[slot]
         size = self.edge[slot + 1] - begin
         done = np.concatenate([[0], np.cumsum(size)])
@@ -99,15 +118,19 @@ class Encoder:
             offsets = offsets + np.arange(len(texts) + 1)
         return flat, offsets
 
-    def _slots(self, keys: list[bytes]) -> np.ndarray:
+    def _slots(self, keys: list[bytes], special: bool) -> np.ndarray:
+        """Slots of the pieces ``keys``; some may hold an added token if ``special``."""
         known = self.known
         new = [k for k in keys if k not in known]
         if len(known) + len(new) > _KEPT and known:
-            self._forget()
+            self._age()
             known, new = self.known, keys
+        new = self._again(new)
+        added = self.added if special else []
         plain, mixed = [], []
         for k in new:  # a plain piece has one space, in front, does not end in white space and holds no added token
-            (plain if k[0] == 32 and not any(a in k for a in self.added) and k.count(32) == 1 and (k[-1] < 128 and not _SPACES[k[-1]] or not k.decode()[-1].isspace()) else mixed).append(k)
+            fits = k[0] == 32 and k.count(32) == 1 and (k[-1] < 128 and not _SPACES[k[-1]] or not k.decode()[-1].isspace())
+            (plain if fits and not (added and any(a in k for a in added)) else mixed).append(k)
         self._add(mixed, [e.ids for e in self.tokenizer.encode_batch_fast([k.decode() for k in mixed], add_special_tokens=False)])
         joined = 1 if self.whole else _JOINED
         groups = [plain[i:i + joined] for i in range(0, len(plain), joined)]
@@ -119,6 +142,18 @@ class Encoder:
             self._store(group, ids, np.append(first[1:], len(ids)))
         return np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
 
+    def _again(self, keys: list[bytes]) -> list[bytes]:
+        """Take what the older generation knows of ``keys``; the rest."""
+        slots, ids, edge = self.older
+        back = [k for k in keys if k in slots]
+        if not back:
+            return keys
+        at = np.fromiter(map(slots.__getitem__, back), np.int64, len(back))
+        size = edge[at + 1] - edge[at]
+        done = np.cumsum(size)
+        self._store(back, ids[np.repeat(edge[at] - done + size, size) + np.arange(int(done[-1]))], done)
+        return [k for k in keys if k not in slots]
+
     def _add(self, keys: list[bytes], each: list[list[int]]) -> None:
         self._store(keys, np.array([i for x in each for i in x], np.uint32), np.cumsum([len(x) for x in each]))
 

@@ -161,3 +161,16 @@ def test_segment_tree_finds_the_best_fit():
     pieces = [(rng.randint(1, 250), i, 0) for i in range(300)]
     rows = token_output.best_fit_decreasing(pieces, 100)
     assert all(sum(p[0] for p in r) <= 100 for r in rows) and sum(p[0] for r in rows for p in r) == sum(p[0] for p in pieces)
+
+
+def test_pieces_known_from_older_texts_keep_their_ids(monkeypatch):
+    """Generations of known pieces age and come back; the ids stay those of a fresh encoder."""
+    from cellar.llm import tokens
+
+    monkeypatch.setattr(tokens, "_KEPT", 40)
+    path = queries.tokenizer_path()
+    kept = Encoder(path, encode_special_tokens=False)
+    for round_ in range(30):
+        texts = [" ".join(f"word{(7 * round_ + k * k) % 90} <|endoftext|>x{k % 5}" for k in range(25)), None, "", " a  b "]
+        got, fresh = kept.encode(texts, 7), Encoder(path, encode_special_tokens=False).encode(texts, 7)
+        assert got[0].tolist() == fresh[0].tolist() and got[1].tolist() == fresh[1].tolist()
