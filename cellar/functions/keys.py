@@ -74,9 +74,14 @@ def host_rev(url: Column | str) -> Column:
     return F.lower(reverse_host(url_host(url)))
 
 
+def reversed_domain(domain: str) -> str:
+    """'Example.org.' -> 'org.example', the form of ``host_rev``."""
+    return ".".join(reversed([p for p in domain.lower().strip(".").split(".") if p]))
+
+
 def host_under_domain(rev: Column | str, domain: str) -> Column:
     """The reversed host is the domain or a subdomain of it, whatever the URL's scheme,
     user part, port or key form; both conditions are pushed to Parquet."""
     c = _c(rev)
-    want = ".".join(reversed([p for p in domain.lower().strip(".").split(".") if p]))
+    want = reversed_domain(domain)
     return (c == want) | c.startswith(want + ".")

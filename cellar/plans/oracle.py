@@ -252,3 +252,5 @@ ORACLE["write_new_filtered"] = ORACLE["write_new"]
 ORACLE["table_as_of"] = _with() + """SELECT row_key, seq, CAST(0 AS BIGINT) AS batch_id, CAST(strlen(raw_text) AS BIGINT) AS raw_bytes
 FROM puts WHERE seq < m // 5"""
 ORACLE["table_upkeep"] = _with() + "SELECT row_key, seq, CAST(seq * 4 // m AS BIGINT) AS batch_id FROM puts"
+ORACLE["domain_time_scan"] = _with() + f"""SELECT row_key, seq, url FROM puts
+WHERE {_domain('example.org')} AND write_ms >= TIMESTAMP '2024-01-08' AND write_ms < TIMESTAMP '2024-01-18'"""

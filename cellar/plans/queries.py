@@ -13,6 +13,7 @@ time by name, keep their (narrow) result and drop the table and its files.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -376,6 +377,14 @@ def q_table_upkeep(spark, sf_dir):
     return _result(t, _reopened(t).scan("row_key", "seq", "batch_id"))
 
 
+def q_domain_time_scan(spark, sf_dir):
+    """Pages of one domain stored in ten days, from files laid out by host and time."""
+    t = _stored(spark, sf_dir)
+    t.compact(32, layout="host_time")
+    days = {"since": dt.datetime(2024, 1, 8), "until": dt.datetime(2024, 1, 18)}
+    return _result(t, _reopened(t).scan_where("row_key", "seq", F.col("curi__url").alias("url"), domain=DOMAIN, **days))
+
+
 # ---- T1-T4 ---------------------------------------------------------------------------
 
 # Records per source file of the stream query.
@@ -449,5 +458,6 @@ QUERIES = {
     "write_new_filtered": q_write_new_filtered,
     "table_as_of": q_table_as_of,
     "table_upkeep": q_table_upkeep,
+    "domain_time_scan": q_domain_time_scan,
     "stream_ingest": q_stream_ingest,
 }

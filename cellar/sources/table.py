@@ -14,6 +14,7 @@ table (a new session) takes the columns from the newest version.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import math
 import re
@@ -31,6 +32,7 @@ from cellar.operators.cells import latest_wide
 from cellar.options import CrawlOptions
 from cellar.runtime import delete_path, folder_names, matching_paths, path_bytes, path_exists
 from cellar.sources.snapshots import Run, Snapshot, SnapshotLog, merged, replaced
+from cellar.sources.zones import Wanted, file_zones, z_ordered
 
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
@@ -55,6 +57,8 @@ CELL_TYPES = {
 # Side tables kept next to the crawl table (one partition per batch).
 METRICS_DDL = "status STRING, records BIGINT, bytes BIGINT"
 REJECTS_DDL = "seq BIGINT, url STRING, reason STRING"
+_ZONES_DDL = ("file STRING, rows BIGINT, row_key_min STRING, row_key_max STRING, host_rev_min STRING, host_rev_max STRING, "
+              "write_ts_min TIMESTAMP_NTZ, write_ts_max TIMESTAMP_NTZ")
 # Bytes of a compacted file, and how many times larger runs of the next size class are.
 FILE_BYTES = 128 << 20
 CLASS_FACTOR = 4
@@ -164,7 +168,7 @@ class CrawlTable:
 
     def drop(self, purge: bool = False) -> None:
         """Remove the catalog entries, and with ``purge`` the files."""
-        places = [self.location, f"{self.location}_metrics", f"{self.location}_rejects", f"{self.location}_keys"]
+        places = [self.location, f"{self.location}_metrics", f"{self.location}_rejects", f"{self.location}_keys", f"{self.location}_zones"]
         for name in (self.name, self.metrics_table, self.rejects_table):
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         if purge:
@@ -240,8 +244,16 @@ class CrawlTable:
         return Snapshot(0, tuple(Run(n, (int(n.split("=")[1]),), keys=n if n in filed else None,
                                      bytes=path_bytes(self.spark, f"{self.location}/{n}")) for n in names), adopted=True)
 
-    def _stored(self, runs: list[Run] | tuple[Run, ...], schema: T.StructType) -> DataFrame:
-        """The rows of ``runs`` that count."""
+    def _stored(self, runs: list[Run] | tuple[Run, ...], schema: T.StructType,
+                files: dict[str, list[str]] | None = None) -> DataFrame:
+        """The rows of ``runs`` that count; of the runs named in ``files`` only those files are opened."""
+        files = files or {}
+        runs = [r for r in runs if files.get(r.path) != []]
+
+        def paths(r: Run) -> list[str]:
+            place = f"{self.location}/{r.path}"
+            return [f"{place}/{f}" for f in files[r.path]] if r.path in files else [place]
+
         old = [r for r in runs if "=" in r.path]  # the batch is part of the folder's name, not of the rows
         whole = [r for r in runs if not r.without and r not in old]
         parts = []
@@ -249,10 +261,10 @@ class CrawlTable:
             reader = self.spark.read.schema(schema).option("basePath", self.location)
             parts.append(reader.parquet(*[f"{self.location}/{r.path}" for r in old]))
         if whole:
-            parts.append(self.spark.read.schema(schema).parquet(*[f"{self.location}/{r.path}" for r in whole]))
+            parts.append(self.spark.read.schema(schema).parquet(*[p for r in whole for p in paths(r)]))
         for r in runs:
             if r.without and r not in old:
-                df = self.spark.read.schema(schema).parquet(f"{self.location}/{r.path}")
+                df = self.spark.read.schema(schema).parquet(*paths(r))
                 parts.append(df.filter(~F.col("batch_id").isin(list(r.without))))
         out = self.spark.createDataFrame([], schema)
         for k, df in enumerate(parts):
@@ -261,12 +273,14 @@ class CrawlTable:
         return out
 
     def _run(self, rows: DataFrame, batches: tuple[int, ...]) -> Run:
-        """Write a new run and its key file. Nothing sees them before a commit."""
+        """Write a new run, its key file and its zone map. Nothing sees them before a commit."""
         name = f"run-{uuid.uuid4().hex[:16]}"
         rows.write.parquet(f"{self.location}/{name}")
         stored = self.spark.read.schema("row_key string, batch_id bigint").parquet(f"{self.location}/{name}").distinct()
         stored.write.parquet(f"{self.location}_keys/{name}")
-        return Run(name, batches, keys=name, bytes=path_bytes(self.spark, f"{self.location}/{name}"))
+        whole = self.spark.read.schema(self.spark.table(self.name).schema).parquet(f"{self.location}/{name}")
+        file_zones(whole).coalesce(1).write.parquet(f"{self.location}_zones/{name}")
+        return Run(name, batches, keys=name, zones=name, bytes=path_bytes(self.spark, f"{self.location}/{name}"))
 
     def _commit(self, change) -> Snapshot:
         schema = self.spark.table(self.name).schema.json()
@@ -284,11 +298,11 @@ class CrawlTable:
         named: set[str] = set()
         for v in self.log.versions():
             for r in self.log.read(v).runs:
-                named |= {r.path, r.keys}
+                named |= {r.path, r.keys, r.zones}
         if not named:
             return 0
         gone = 0
-        for place in (self.location, f"{self.location}_keys"):
+        for place in (self.location, f"{self.location}_keys", f"{self.location}_zones"):
             for name in folder_names(self.spark, place):
                 if name not in named and name.startswith(("run-", "batch_id=")):
                     delete_path(self.spark, f"{place}/{name}")
@@ -327,6 +341,30 @@ class CrawlTable:
         df = self._stored(self.snapshot(version).runs, self.spark.table(self.name).schema)
         return df.select(*columns) if columns else df
 
+    def matching_files(self, wanted: Wanted, runs: tuple[Run, ...]) -> dict[str, list[str]]:
+        """Files of each run that may hold a wanted row, from the zone maps; runs without one are left out.
+
+        What reaches the driver is the list of files to open, as for any scan.
+        """
+        mapped = [r for r in runs if r.zones]
+        out: dict[str, list[str]] = {r.path: [] for r in mapped}
+        if mapped:
+            by_zones = {r.zones: r.path for r in mapped}
+            found = self.spark.read.schema(_ZONES_DDL).parquet(*[f"{self.location}_zones/{r.zones}" for r in mapped])
+            place = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+            for row in found.filter(wanted.files()).select(place.alias("run"), "file").collect():
+                out[by_zones[row["run"]]].append(row["file"])
+        return out
+
+    def scan_where(self, *columns: str, keys: list[str] | None = None, domain: str | None = None,
+                   since: dt.datetime | None = None, until: dt.datetime | None = None, version: int | None = None) -> DataFrame:
+        """Rows with any of ``keys``, of hosts under ``domain``, with ``since <= write_ts < until``; only files whose
+        zones allow such rows are opened. A row without a write time is in no time range."""
+        wanted = Wanted(keys, domain, since, until)
+        runs = self.snapshot(version).runs
+        df = self._stored(runs, self.spark.table(self.name).schema, self.matching_files(wanted, runs)).filter(wanted.rows())
+        return df.select(*columns) if columns else df
+
     def view(self, name: str, version: int | None = None) -> None:
         """Make a version's rows known to SQL under ``name``, for this session."""
         self.scan(version=version).createOrReplaceTempView(name)
@@ -360,11 +398,11 @@ class CrawlTable:
         return out.select("row_key")
 
     def lookup(self, keys: DataFrame | list[str]) -> DataFrame:
-        """Put rows of the given keys. A list becomes a pushed ``IN`` filter;
+        """Put rows of the given keys. A list becomes a pushed ``IN`` filter on the files whose zones hold one;
         a DataFrame of keys a semi join, ahead of which a filter of the keys keeps other rows' payload where it is."""
-        df = self.scan()
         if isinstance(keys, list):
-            return df.filter(F.col("row_key").isin(keys))
+            return self.scan_where(keys=keys)
+        df = self.scan()
         keys = keys.select("row_key").distinct()
         return may_hold(df, ["row_key"], key_filter(keys, ["row_key"])).join(keys, "row_key", "left_semi")
 
@@ -373,24 +411,28 @@ class CrawlTable:
         return latest_wide(self.lookup(keys), self.opts)
 
     def domain_scan(self, domain: str) -> DataFrame:
-        return domain_scan(self.scan(), domain)
+        return self.scan_where(domain=domain)
 
     def latest(self) -> DataFrame:
         return latest_wide(self.scan(), self.opts)
 
     # ---- O1 ---------------------------------------------------------------
-    def compact(self, partitions: int | None = None, runs: tuple[Run, ...] | None = None) -> DataFrame:
+    def compact(self, partitions: int | None = None, runs: tuple[Run, ...] | None = None, layout: str = "key") -> DataFrame:
         """Merge all runs (or ``runs``) into one of key-ordered files.
 
         Range partitions by (row_key, seq), sorted within, so each file holds one key range and Parquet min/max stats
         prune key and domain scans. One commit puts the new run in place of the old ones; older versions stay readable
-        until ``expire``. Ingests may write meanwhile: a batch that is written again during the merger wins.
+        until ``expire``. With ``layout="host_time"`` files follow a Z-order curve over (host_rev, write_ts) instead, for
+        scans by domain and time. Ingests may write meanwhile: a batch that is written again during the merger wins.
         """
+        if layout not in ("key", "host_time"):
+            raise ValueError(f"unknown layout {layout!r}")
+        arrange = key_ordered if layout == "key" else z_ordered
         runs = self.snapshot().runs if runs is None else runs
         n = partitions or max(1, math.ceil(sum(r.bytes for r in runs) / FILE_BYTES))
         batches = tuple(sorted({b for r in runs for b in r.live()}))
         if runs:
-            new = self._run(key_ordered(self._stored(runs, self.spark.table(self.name).schema), n), batches)
+            new = self._run(arrange(self._stored(runs, self.spark.table(self.name).schema), n), batches)
             self._commit(lambda now: merged(now, tuple(runs), new))
         return self.scan()
 
