@@ -1,6 +1,6 @@
 """Language identification: known words first, then ever shorter character n-grams.
 
-A text's letters form words. A word of the vocabulary adds its log frequency in
+A text's letters (Unicode category L, with the marks that follow them) form words. A word of the vocabulary adds its log frequency in
 each language; any other word adds the mean log frequency of its longest known
 n-grams (five letters down to one; two or more with marks at the word's ends), and nothing
 if it has none. The language with the highest total wins; the score is its
@@ -8,8 +8,9 @@ share among all languages (softmax of the totals).
 
 Word and n-gram counts are Spark aggregates over a bounded sample of labelled
 texts (about ``per_language`` each, by hash); the vocabulary and the n-gram
-table are bounded by ``max_words`` and ``max_grams``, the model's size. Scoring
-streams whole texts in Arrow batches.
+table are bounded by ``max_words`` and ``max_grams``, their columns by
+``max_languages`` (the languages with the most labelled texts, ties by name):
+the model's size. Scoring streams whole texts in Arrow batches.
 
 Defined results: ``und`` with score 0 for a null text, a text without letters,
 and for every text if no language was learned; ties go to the first language by
@@ -18,13 +19,13 @@ name.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ from cellar.llm.common import slices, stage_table
 
 GRAMS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 _CACHE = 300_000
 
 
@@ -119,10 +120,11 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, per_language: int = 1_500, max_words: int = 100_000, max_grams: int = 100_000,
-          least: int = 3) -> Model:
+          least: int = 3, max_languages: int = 200) -> Model:
     """A model from ``docs`` (doc_id, text, lang); the caller leaves out held-out rows."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    total = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
     part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
     pick = F.lit(0.0)
     for lang, n in total.items():
@@ -150,7 +152,7 @@ def _frequencies(counts: DataFrame, languages: list[str], most: int, least: int,
 
 def with_language(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of every whole text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words and max_grams
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words, max_grams and max_languages
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

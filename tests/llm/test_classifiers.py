@@ -35,6 +35,21 @@ def test_language_edge_rows(spark):
     assert [tuple(r) for r in language.predict_documents(unlabelled).collect()] == [(1, language.held_out is None, "und", 0.0)]
 
 
+def test_language_letters_are_those_of_unicode():
+    assert language.text_words("\u00bd \u00b2 \u2460 \u2167 7_\u0301") == []  # numerals, a mark on no letter
+    assert language.text_words("\u0939\u093f\u0928\u094d\u0926\u0940 E\u0301t\u00e9 x2y") == ["\u0939\u093f\u0928\u094d\u0926\u0940", "e\u0301t\u00e9", "x", "y"]
+    model = language.Model(["a", "b"], {"x": 0}, np.log([[0.9, 0.1]]), {}, np.zeros((0, 2)))
+    assert model.predict(["\u00bd \u00b2 \u2460", "x"])[0] == ["und", "a"]
+
+
+def test_language_dirty_labels_are_bounded(spark):
+    rows = [(i, "the cat and the dog", "en") for i in range(20)] + [(100 + i, "der Hund", "de") for i in range(9)]
+    rows += [(200 + i, "noise", f"dirty-{i}") for i in range(300)]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), least=1, max_languages=2)
+    assert model.languages == ["de", "en"] and model.word_scores.shape[1] == 2
+    assert model.predict(["the dog", "der Hund"])[0] == ["en", "de"]
+
+
 def test_language_scores_against_a_plain_version():
     rng = random.Random(3)
     words = {"und": 0, "the": 1}
