@@ -31,6 +31,11 @@ def _key(u: str) -> str:
     )
 
 
+def _host_rev(u: str) -> str:
+    return (f"array_to_string(list_reverse(list_filter(string_split(lower(regexp_extract({u}, '{P}', 2)), '.'), "
+            f"lambda x: x <> '')), '.')")
+
+
 def _jtrim(x: str) -> str:
     return f"regexp_replace({x}, '{JAVA_TRIM}', '', 'g')"
 
@@ -151,6 +156,50 @@ def _text_sql(h: str = "html") -> str:
 LINKS = f"""lk AS (SELECT row_key, seq, regexp_extract_all(html, '{HREF.replace("'", "''")}', 1) AS l FROM puts)"""
 LINKS_OUT = "SELECT row_key, seq, unnest(range(len(l))) AS position, unnest(l) AS link FROM lk"
 
+# A page cut into comments, raw elements, tags, other markup and text, for pages without unclosed markup.
+SCAN_TOKEN = ("(?is)<!--.*?-->|<script[^>]*>.*?</script[^>]*>|<style[^>]*>.*?</style[^>]*>|<title[^>]*>.*?</title[^>]*>|"
+              """</?[a-z](?:[^>"'']|"[^"]*"|''[^'']*'')*>|<[!?/][^>]*>|[^<]+|<""")
+INLINE = "a|abbr|acronym|b|bdi|bdo|big|cite|code|em|font|i|kbd|mark|s|samp|small|span|strike|strong|sub|sup|tt|u|var|wbr"
+HREF_TAG = """(?is)^<a[ \\t\\r\\n\\f](?:[^>]*[ "''])?href=["'']?([^"''>]*)"""
+
+
+def _references(x: str) -> str:
+    for name, char in (("quot", "chr(34)"), ("copy", "chr(169)"), ("middot", "chr(183)"), ("lt", "'<'"), ("gt", "'>'"), ("amp", "'&'")):
+        x = f"replace({x}, '&{name};', {char})"
+    return x
+
+
+def _fold(x: str) -> str:
+    return f"trim(regexp_replace({x}, '{BLANKS}', ' ', 'g'))"
+
+
+SCAN = f"""pg AS (SELECT page_id, url, regexp_extract_all(html, '{SCAN_TOKEN}', 0) AS t FROM pages),
+sc AS (
+  SELECT page_id, url, {_fold(_references("regexp_extract(list_filter(t, lambda x: regexp_matches(x, '(?is)^<title'))[1], '(?is)^<title[^>]*>(.*)</title', 1)"))} AS title,
+         {_fold(f"""array_to_string(list_transform(t, lambda x: CASE
+           WHEN x[1] <> '<' OR x = '<' THEN {_references('x')}
+           WHEN x[1:4] = '<!--' OR regexp_matches(x, '(?is)^</?(?:{INLINE})[ />]') THEN '' ELSE ' ' END), '')""")} AS text,
+         list_transform(list_filter(t, lambda x: regexp_matches(x, '{HREF_TAG}')), lambda x: {_references(f"regexp_extract(x, '{HREF_TAG}', 1)")}) AS hrefs
+  FROM pg)"""
+# Targets of references without dot segments; another kind of reference in the table would be an error.
+INLINKS = f"""ref AS (SELECT page_id, url, unnest(hrefs) AS h FROM sc),
+tgt AS (
+  SELECT page_id, CASE
+    WHEN regexp_matches(h, '(^|/)[.][.]?(/|[?#]|$)') THEN error('dot segment')
+    WHEN regexp_matches(h, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN h
+    WHEN h LIKE '//%' THEN regexp_extract(url, '^[^:]+:') || h
+    WHEN h LIKE '/%' THEN regexp_extract(url, '^[^:]+://[^/?#]*') || h
+    WHEN h LIKE '?%' THEN regexp_extract(url, '^[^?#]*') || h
+    WHEN h = '' OR h LIKE '#%' THEN regexp_extract(url, '^[^#]*') || h
+    ELSE regexp_extract(url, '^[^:]+://[^/?#]*/(?:[^?#]*/)?') || h END AS target
+  FROM ref),
+cut_t AS (SELECT page_id, regexp_replace(target, '#.*$', '') AS target FROM tgt),
+tk AS (SELECT page_id, {_key('target')} AS target_key, {_host_rev('target')} AS host_rev FROM cut_t),
+one AS (SELECT p.row_key, tk.target_key, tk.host_rev, count(*) AS n FROM puts p JOIN tk USING (page_id) GROUP BY ALL),
+st_k AS (SELECT DISTINCT row_key, {_host_rev('url')} AS host_rev FROM puts),
+st_h AS (SELECT host_rev, count(*) AS host_pages FROM st_k GROUP BY host_rev)"""
+
+
 STORED_OUT = f"""SELECT row_key, seq, CAST(CASE WHEN seq < m // 5 THEN 0 ELSE 1 END AS BIGINT) AS batch_id,
        fetch_ms AS fetch_ts, write_ms AS write_ts, url, ip,
        CASE WHEN is_seed THEN TRUE END AS is_seed,
@@ -241,6 +290,13 @@ FROM puts""",
     "evolve_table": _with() + f"""SELECT row_key, seq, CAST(CASE WHEN seq < m // 5 THEN 0 ELSE 1 END AS BIGINT) AS batch_id,
        CASE WHEN seq >= m // 5 THEN {TITLE_SQL} END AS title FROM puts""",
     "hook_side_output": _with(LINKS) + LINKS_OUT,
+    "scan_page": _with(SCAN) + """SELECT p.row_key, p.seq, CASE WHEN length(sc.title) > 0 THEN sc.title END AS title, md5(sc.text) AS text_md5,
+       length(sc.text) AS text_chars, CAST(len(sc.hrefs) AS BIGINT) AS n_links
+FROM puts p JOIN sc USING (page_id)""",
+    "inlinks": _with(SCAN, INLINKS) + """SELECT one.target_key, one.host_rev,
+       CAST(sum(one.n) AS BIGINT) AS n_links, count(DISTINCT one.row_key) AS n_pages,
+       one.target_key IN (SELECT row_key FROM st_k) AS stored, CAST(coalesce(any_value(st_h.host_pages), 0) AS BIGINT) AS host_pages
+FROM one LEFT JOIN st_h ON st_h.host_rev = one.host_rev GROUP BY one.target_key, one.host_rev""",
     "stream_ingest": _with(
         f"""cand AS (SELECT * FROM inc WHERE content_size <= {MAXB} AND row_key NOT IN (SELECT row_key FROM ex))"""
     ) + f"""SELECT row_key, seq FROM puts WHERE seq < m // 5 AND content_size <= {MAXB}

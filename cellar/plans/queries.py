@@ -19,12 +19,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellar.functions import html
+from cellar.functions import html, htmlscan
 from cellar.functions.body import response_body
 from cellar.functions.keys import row_key
 from cellar.operators import gates
 from cellar.operators.cells import cells, latest_cells, latest_wide
 from cellar.operators.hooks import base64_serializer, links, resolve_ip, title_hook
+from cellar.operators.linkgraph import inlinks
 from cellar.operators.metrics import status_counts, total_bytes
 from cellar.operators.project import with_row_key
 from cellar.options import CrawlOptions
@@ -246,6 +247,20 @@ def q_extract_text(spark, sf_dir):
     return b.select("row_key", "seq", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("text_chars"))
 
 
+def q_scan_page(spark, sf_dir):
+    """Title, text and number of links by the left-to-right scan."""
+    b = _written_with_body(spark, sf_dir).withColumn("t", htmlscan.tokens(html.as_text("body")))
+    b = b.select("row_key", "seq", htmlscan.page_title("t").alias("title"), htmlscan.page_text("t").alias("text"),
+                 F.size(htmlscan.page_links("t", F.lit(None).cast("string"))).cast("bigint").alias("n_links"))
+    return b.select("row_key", "seq", "title", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("text_chars"), "n_links")
+
+
+def q_inlinks(spark, sf_dir):
+    w = gates.writable(_log(spark, sf_dir).records, None, BASE)
+    pages = w.select("row_key", "url", html.as_text(response_body("raw_data")).alias("page"))
+    return inlinks(pages, w.select("row_key", "url"))
+
+
 # ---- S2-S7, O1, O2 (physical table) ---------------------------------------------
 
 def _table_name(prefix: str) -> str:
@@ -447,6 +462,8 @@ QUERIES = {
     "extract_title": q_extract_title,
     "extract_links": q_extract_links,
     "extract_text": q_extract_text,
+    "scan_page": q_scan_page,
+    "inlinks": q_inlinks,
     "put_rows": q_put_rows,
     "table_scan": q_table_scan,
     "lookup_keys": q_lookup_keys,
