@@ -71,6 +71,12 @@ def _of_code(code: Column) -> Column:
 
 def decode_references(text: Column | str) -> Column:
     """Character references resolved once, from left to right."""
+    return uri.bound(_c(text), _decoded)
+
+
+def _decoded(text: Column) -> Column:
+    """``decode_references`` of a value that costs nothing to name again."""
+
     def resolved(p: Column, ref: Column) -> Column:
         number = F.when(F.lower(F.substr(ref, F.lit(2), F.lit(1))) == "x", F.conv(F.substr(ref, F.lit(3)), 16, 10)).otherwise(F.substr(ref, F.lit(2)))
         char = F.when(ref.startswith("#"), _character(number.cast("bigint"))).otherwise(F.try_element_at(_literal_map(_named()), ref))
@@ -80,8 +86,7 @@ def decode_references(text: Column | str) -> Column:
         ref = F.regexp_extract(p, _REFERENCE, 1)
         return F.when(i == 0, p).otherwise(uri.bound(ref, lambda r: F.when(r == "", F.concat(F.lit("&"), p)).otherwise(resolved(p, r))))
 
-    every = lambda t: F.array_join(F.transform(F.split(t, "&", -1), piece), "")
-    return uri.bound(_c(text), lambda t: F.when(t.contains("&"), every(t)).otherwise(t))
+    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&", -1), piece), "")).otherwise(text)
 
 
 def tokens(page: Column | str) -> Column:
@@ -90,7 +95,8 @@ def tokens(page: Column | str) -> Column:
 
 
 def _is_element(token: Column, names: str) -> Column:
-    return token.rlike(rf"(?is)^<(?:{names}){_END_OF_NAME}")
+    likely = F.lower(F.substr(token, F.lit(1), F.lit(2))).isin(sorted({f"<{n[0]}" for n in names.split("|")}))  # spares most tokens the pattern
+    return likely & token.rlike(rf"(?is)^<(?:{names}){_END_OF_NAME}")
 
 
 def _content(token: Column) -> Column:
@@ -115,7 +121,7 @@ def page_text(found: Column | str) -> Column:
 
     def shown(t: Column) -> Column:
         return (
-            F.when(~t.startswith("<") | (t == "<"), decode_references(t))
+            F.when(~t.startswith("<") | (t == "<"), _decoded(t))
             .when(_is_element(t, "textarea"), F.concat(F.lit(" "), decode_references(_content(t)), F.lit(" ")))
             .when(t.startswith("<!--") | t.rlike(rf"(?is)^</?(?:{_INLINE}){_END_OF_NAME}"), F.lit(""))
             .otherwise(F.lit(" "))
@@ -136,13 +142,19 @@ def attribute(tag: Column | str, name: str) -> Column:
 def page_links(found: Column | str, url: Column | str) -> Column:
     """ARRAY<STRUCT<href, target>> of the anchors with an href, in order. Targets are resolved against the first
     ``base`` element's href (itself resolved against ``url``) or else ``url``; NULL where that cannot be done."""
-    f, u = _c(found), _c(url)
-    bases = F.filter(F.transform(F.filter(f, lambda t: _is_element(t, "base")), lambda t: attribute(t, "href")), lambda h: h.isNotNull())
-    base = F.coalesce(uri.resolve(u, uri.clean_reference(F.try_element_at(bases, F.lit(1)))), u)
-    refs = F.transform(F.filter(f, lambda t: _is_element(t, "a")), lambda t: attribute(t, "href"))
-    hrefs = F.filter(refs, lambda h: h.isNotNull())
-    return uri.bound(base, lambda b: F.transform(
-        hrefs, lambda h: F.struct(h.alias("href"), uri.resolve(b, uri.clean_reference(h)).alias("target"))))
+    u = _c(url)
+    marked = F.filter(_c(found), lambda t: _is_element(t, "a|base"))
+    hrefs = F.filter(F.transform(marked, lambda t: F.struct(_is_element(t, "base").alias("base"), attribute(t, "href").alias("href"))),
+                     lambda x: x["href"].isNotNull())
+
+    def resolved(xs: Column) -> Column:
+        first = F.try_element_at(F.filter(xs, lambda x: x["base"]), F.lit(1))["href"]
+        base = F.when(first.isNotNull(), uri.resolve(u, uri.clean_reference(first)))
+        return uri.bound(uri.parts(F.coalesce(base, u)), lambda b: F.transform(
+            F.filter(xs, lambda x: ~x["base"]),
+            lambda x: F.struct(x["href"].alias("href"), uri.resolve_parts(b, uri.clean_reference(x["href"])).alias("target"))))
+
+    return uri.bound(hrefs, resolved)
 
 
 def link_rows(pages: DataFrame, page: Column, url: str = "url", md5: bool = False) -> DataFrame:

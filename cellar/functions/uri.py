@@ -24,14 +24,17 @@ def bound(value: Column, fn: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), fn), 1)
 
 
-def _parts(uri: Column) -> Column:
-    return F.struct(*[F.regexp_extract(uri, URI, i).alias(name)
+def parts(uri: Column | str) -> Column:
+    """STRUCT of the five parts, each with its delimiter; all '' for NULL."""
+    u = F.coalesce(_c(uri), F.lit(""))
+    return F.struct(*[F.regexp_extract(u, URI, i).alias(name)
                       for i, name in enumerate(("scheme", "authority", "path", "query", "fragment"), 1)])
 
 
 def clean_reference(ref: Column | str) -> Column:
     """A reference as an attribute holds it, without blanks at its ends and tabs and line ends inside."""
-    return F.regexp_replace(F.regexp_replace(_c(ref), EDGE_BLANKS, ""), INNER_BLANKS, "")
+    r = _c(ref)
+    return F.when(r.rlike(r"[\x00-\x20]"), F.regexp_replace(F.regexp_replace(r, EDGE_BLANKS, ""), INNER_BLANKS, "")).otherwise(r)
 
 
 def remove_dot_segments(path: Column | str) -> Column:
@@ -66,20 +69,25 @@ def resolve(base: Column | str, ref: Column | str) -> Column:
     NULL if the reference is NULL, or if it is relative and the base is NULL or has
     no scheme and authority (``mailto:``, a bare path).
     """
-    def target(b: Column, r: Column) -> Column:
-        absolute = r["scheme"] != ""
-        full = absolute | (r["authority"] != "")
-        merged = F.when(b["path"] == "", F.concat(F.lit("/"), r["path"])).otherwise(
-            F.concat(F.regexp_extract(b["path"], r"(?s)^(.*/)", 1), r["path"]))
-        path = F.when(full | r["path"].startswith("/"), r["path"]).when(r["path"] == "", b["path"]).otherwise(merged)
-        cleaned = F.when(~full & (r["path"] == ""), path).otherwise(remove_dot_segments(path))
-        query = F.when(full | (r["path"] != "") | (r["query"] != ""), r["query"]).otherwise(b["query"])
-        out = F.concat(F.when(absolute, r["scheme"]).otherwise(b["scheme"]),
-                       F.when(full, r["authority"]).otherwise(b["authority"]), cleaned, query, r["fragment"])
-        return F.when(absolute | ((b["scheme"] != "") & (b["authority"] != "")), out)
-
-    blank = F.coalesce(_c(base), F.lit(""))  # an absolute reference needs no base
-    return bound(_parts(blank), lambda b: bound(_parts(_c(ref)), lambda r: target(b, r)))
+    return bound(parts(base), lambda b: resolve_parts(b, ref))  # an absolute reference needs no base
+
+
+def resolve_parts(base: Column, ref: Column | str) -> Column:
+    """``resolve`` against a base given by its ``parts``, for many references of one page."""
+    return F.when(_c(ref).isNotNull(), bound(parts(ref), lambda r: _target(base, r)))
+
+
+def _target(b: Column, r: Column) -> Column:
+    absolute = r["scheme"] != ""
+    full = absolute | (r["authority"] != "")
+    merged = F.when(b["path"] == "", F.concat(F.lit("/"), r["path"])).otherwise(
+        F.concat(F.regexp_extract(b["path"], r"(?s)^(.*/)", 1), r["path"]))
+    path = F.when(full | r["path"].startswith("/"), r["path"]).when(r["path"] == "", b["path"]).otherwise(merged)
+    cleaned = F.when(~full & (r["path"] == ""), path).otherwise(remove_dot_segments(path))
+    query = F.when(full | (r["path"] != "") | (r["query"] != ""), r["query"]).otherwise(b["query"])
+    out = F.concat(F.when(absolute, r["scheme"]).otherwise(b["scheme"]),
+                   F.when(full, r["authority"]).otherwise(b["authority"]), cleaned, query, r["fragment"])
+    return F.when(absolute | ((b["scheme"] != "") & (b["authority"] != "")), out)
 
 
 def without_fragment(uri: Column | str) -> Column:
