@@ -1,7 +1,8 @@
 """Example content hooks over HTML bodies: title, links and visible text.
 
 All three are built-in regex expressions (JVM-side, codegen'd); the patterns
-stay within the subset that Java regex and RE2 read the same way.
+stay within the subset that Java regex and RE2 read the same way. For a scan
+that knows comments, quotes and character references see ``htmlscan``.
 """
 
 from __future__ import annotations
