@@ -263,3 +263,32 @@ def test_no_private_scratch_folder_off_local_mode(spark, monkeypatch):
     monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         runtime.checkpoint_root(spark)
+
+
+def test_runs_are_small_and_compacted_by_what_a_task_sorts(spark, monkeypatch):
+    """Versions of a page compress across rows, in both layouts; the number of files follows the bytes before compression."""
+    import random
+    import uuid
+
+    from cellar.options import CrawlOptions
+    from cellar.runtime import folder_names, scratch_path
+    from cellar.sources import table as tables
+
+    rng = random.Random(3)
+    pages = [bytes(rng.choices(range(256), k=100_000)) for _ in range(6)]
+    opts = CrawlOptions(table=f"z_{uuid.uuid4().hex[:8]}")
+    t = tables.CrawlTable(spark, opts, scratch_path(spark, opts.table)).ensure()
+    rows = [(f"r:http://h/{k}", k * 10 + v, "h", pages[k]) for k in range(6) for v in range(10)]
+    puts = spark.createDataFrame(rows, "row_key string, seq bigint, host_rev string, content__raw_data binary").coalesce(1)
+    t.write_batch(puts, 0)
+    run = t.snapshot().runs[0]
+    assert run.plain == sum(len(r[0]) + len(r[2]) + len(r[3]) for r in rows)
+    assert run.bytes < run.plain // 4
+    monkeypatch.setattr(tables, "PLAIN_BYTES", 2 << 20)
+    for layout in ("key", "host_time"):
+        t.compact(layout=layout)
+        new = t.snapshot().runs[0]
+        assert new.plain == run.plain and new.bytes < new.plain // 4
+        assert len([f for f in folder_names(spark, f"{t.location}/{new.path}") if f.startswith("part-")]) == 3
+        assert sorted(r.seq for r in t.scan("seq").collect()) == sorted(r[1] for r in rows)
+    t.drop(purge=True)
