@@ -160,8 +160,9 @@ def page_links(found: Column | str, url: Column | str) -> Column:
 def link_rows(pages: DataFrame, page: Column, url: str = "url", md5: bool = False) -> DataFrame:
     """One row per link: all columns of ``pages``, position (from 0), href, target, target_key (the target's row key
     without its fragment)."""
-    cut = pages.withColumn("__tokens", tokens(page))  # cut once, then read by both expressions
-    out = cut.withColumn("__links", page_links("__tokens", url)).select(
+    from cellar.functions.pagescan import scan_links  # reads this module's patterns
+
+    out = pages.withColumn("__links", scan_links(page, _c(url))).select(
         *pages.columns, F.posexplode("__links").alias("position", "__link"))
     out = out.select(*pages.columns, F.col("position").cast("bigint").alias("position"), "__link.href", "__link.target")
     return out.withColumn("target_key", row_key(uri.without_fragment("target"), md5))
