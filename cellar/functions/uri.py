@@ -91,4 +91,4 @@ def _target(b: Column, r: Column) -> Column:
 
 
 def without_fragment(uri: Column | str) -> Column:
-    return F.regexp_replace(_c(uri), r"(?s)#.*$", "")
+    return F.substring_index(_c(uri), "#", 1)
